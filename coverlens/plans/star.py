@@ -20,7 +20,7 @@ class Star:
     runs: one row per stage run.  rules: one row per run and rule.
     """
 
-    enrolment: DataFrame
+    enrolment: DataFrame | None = None
     network: DataFrame | None = None
     locality: DataFrame | None = None
     carrier: DataFrame | None = None
