@@ -69,7 +69,7 @@ def unpack_archives(files: DataFrame, columns: Sequence[str], separator: str = "
                 with archive.open(members[0]) as body:
                     reader = pc.open_csv(
                         body,
-                        read_options=pc.ReadOptions(block_size=1 << 22),
+                        read_options=pc.ReadOptions(block_size=1 << 24),
                         parse_options=pc.ParseOptions(delimiter=separator, newlines_in_values=True),
                         convert_options=pc.ConvertOptions(
                             column_types={h: pa.string() for h in header},
@@ -109,7 +109,9 @@ def unpack_archives(files: DataFrame, columns: Sequence[str], separator: str = "
 
 
 def readable_rows(unpacked: DataFrame) -> DataFrame:
-    return unpacked.where(F.col(FAILURE).isNull()).drop(FAILURE)
+    """Rows of the files that were read to the end; a file that broke half way counts as unread."""
+    broken = unpacked.where(F.col(FAILURE).isNotNull()).select(FILE)
+    return unpacked.where(F.col(FAILURE).isNull()).drop(FAILURE).join(broken, FILE, "left_anti")
 
 
 def failed_files(unpacked: DataFrame) -> DataFrame:
@@ -157,8 +159,8 @@ def pack_rows(df: DataFrame, separator: str = ";") -> DataFrame:
     names = df.columns
 
     def pack(batches: Iterator) -> Iterator:
+        import hashlib
         import io
-        import uuid
         import zipfile
 
         import pyarrow as pa
@@ -171,9 +173,10 @@ def pack_rows(df: DataFrame, separator: str = ";") -> DataFrame:
             )
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("rows.csv", text.getvalue())
+                archive.writestr(zipfile.ZipInfo("rows.csv"), text.getvalue(), zipfile.ZIP_DEFLATED)
+            name = hashlib.sha256(text.getvalue()).hexdigest()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{uuid.uuid4().hex}.zip"]), pa.array([packed.getvalue()], pa.binary())],
+                [pa.array([f"{name}.zip"]), pa.array([packed.getvalue()], pa.binary())],
                 ["path", "content"],
             )
 

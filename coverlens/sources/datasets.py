@@ -13,10 +13,20 @@ class DatasetMissing(FileNotFoundError):
     """The dataset or period was not written yet."""
 
 
+def by_part(df: DataFrame, part_column: str) -> DataFrame:
+    """Bring the rows of a part together for writing.
+
+    Spark balances the result at run time: a part with most of the rows is split
+    over tasks, small parts share one, and no part is scattered over every task.
+    """
+    return df.hint("rebalance", F.col(part_column))
+
+
 def write_period(df: DataFrame, path: str, period_column: str = "period_key") -> None:
     """Overwrite the periods the frame holds; other periods stay."""
     (
-        df.write.mode("overwrite")
+        by_part(df, period_column)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(period_column)
         .parquet(path)
@@ -99,7 +109,8 @@ class PublishedTable:
         """
         version = 1 + max((v for v, _ in self._newest().values()), default=0)
         target = f"{self.root}/data/version={version}"
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        placed = df if self.part_column is None else by_part(df, self.part_column)
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.part_column is None:
             writer.parquet(target)
             lines = [("all", version, True, note)]

@@ -85,5 +85,14 @@ def latest_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:
-    """Export with a header, UTF-8."""
-    df.write.mode("overwrite").option("header", True).option("sep", separator).option("encoding", "UTF-8").csv(path)
+    """Export with a header, UTF-8; quotes are doubled and no text is trimmed."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("sep", separator)
+        .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
