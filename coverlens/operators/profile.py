@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 QUARTILES = (0.25, 0.5, 0.75)
-BUCKETS = 128
+BUCKETS = 64
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -43,28 +43,40 @@ def profile_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
+def _bucket(value: Column, borders: Sequence[float], first: int = 0) -> Column:
+    """Number of borders below the value, as a balanced tree of comparisons (stays in generated code)."""
+    if not borders:
+        return F.lit(first)
+    middle = len(borders) // 2
+    lower = _bucket(value, borders[:middle], first)
+    upper = _bucket(value, borders[middle + 1 :], first + middle + 1)
+    return F.when(value <= borders[middle], lower).otherwise(upper)
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str] | None = None, probabilities: Sequence[float] = QUARTILES
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per column, ``quantiles`` in order.
 
-    A sketch proposes bucket borders (at most 127 numbers per column reach the
+    A sketch proposes bucket borders (63 numbers per column at most reach the
     driver); values are counted, buckets are added up, and inside its bucket each
     value gets its exact position.  Borders only spread the work: the result is
-    exact for any of them.
+    exact for any of them.  The frame is read twice, so hand over a written one
+    where it is costly.
     """
     names = list(columns or numeric_columns(df))
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    proposed = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), steps, 2000).alias(c) for c in names]).first()
-    borders = df.sparkSession.createDataFrame(
-        [(c, sorted(set(proposed[c] or []))) for c in names], "column string, borders array<double>"
-    )
-    values = _long(df, names, "double").where("value is not null")
-    counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    # One row per column of the frame.
-    placed = counted.join(F.broadcast(borders), "column").select(
-        "column", "value", "n", F.size(F.filter("borders", lambda b: b < F.col("value"))).alias("bucket")
-    )
+    sketches = [F.percentile_approx(F.col(f"`{c}`").cast("double"), steps, 500).alias(f"b{i}") for i, c in enumerate(names)]
+    proposed = df.agg(*sketches).first()
+    entries = []
+    for i, c in enumerate(names):
+        value = F.col(f"`{c}`").cast("double")
+        borders = sorted(set(proposed[i] or []))
+        entries.append(
+            F.struct(F.lit(c).alias("column"), value.alias("value"), _bucket(value, borders).alias("bucket"))
+        )
+    values = df.select(F.inline(F.array(*entries))).where("value is not null")
+    placed = values.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
     inside = Window.partitionBy("column", "bucket").orderBy("value")
     running = placed.withColumn("upto", F.sum("n").over(inside))
     sizes = placed.groupBy("column", "bucket").agg(F.sum("n").alias("size"))

@@ -27,10 +27,11 @@ def _value_band(value: Column) -> Column:
     """Order-preserving band of a number: equal values share one, greater values never get a lower one.
 
     Bands are logarithmic (64 per doubling), so there are a few thousand at most
-    whatever the data, and they do not depend on a sample.
+    whatever the data, and they do not depend on a sample.  Null comes last.
     """
     v = value.cast("double")
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)).cast("int")
+    band = F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)
+    return F.coalesce(band.cast("int"), F.lit(-(2**31)))
 
 
 def rank_spread(
@@ -47,28 +48,28 @@ def rank_spread(
     into value bands, ranked inside the bands, and lifted by what lies in the
     higher bands; the band table is small (groups times a few thousand), so its
     window is cheap.  The result is the exact rank.
+
+    The group is carried as one struct: structs with null fields are equal, so
+    null groups survive the join, and window, counts and join share one shuffle.
     """
-    banded = df.withColumn("_band", _value_band(F.col(value)))
-    inside = Window.partitionBy(*by, "_band").orderBy(F.col(value).desc())
+    banded = df.withColumns({"_group": F.struct(*by), "_band": _value_band(F.col(value))})
+    inside = Window.partitionBy("_group", "_band").orderBy(F.col(value).desc())
     ranked = banded.withColumn("_rank", F.rank().over(inside))
     if dense_rank:
         ranked = ranked.withColumn("_dense", F.dense_rank().over(inside))
-    bands = ranked.groupBy(*by, "_band").agg(
+    bands = ranked.groupBy("_group", "_band").agg(
         F.count(F.lit(1)).alias("_rows"),
         (F.max("_dense") if dense_rank else F.lit(0)).alias("_values"),
         F.sum(value).alias("_sum"),
     )
-    above = Window.partitionBy(*by).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("_group").orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lifts = bands.select(
-        *[F.col(c).alias(f"_b_{c}") for c in by],
-        F.col("_band").alias("_b_band"),
+        "_group",
+        "_band",
         F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows_above"),
         F.coalesce(F.sum("_values").over(above), F.lit(0)).alias("_values_above"),
-        F.sum("_sum").over(Window.partitionBy(*by)).alias("_total"),
+        F.sum("_sum").over(Window.partitionBy("_group")).alias("_total"),
     )
-    same = F.col("_band").eqNullSafe(F.col("_b_band"))
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
     out = [F.col(c) for c in df.columns]
     if rank:
         out.append((F.col("_rank") + F.col("_rows_above")).cast("int").alias(rank))
@@ -76,7 +77,7 @@ def rank_spread(
         out.append((F.col("_dense") + F.col("_values_above")).cast("int").alias(dense_rank))
     if group_total:
         out.append(F.col("_total").alias(group_total))
-    return ranked.join(lifts, same).select(*out)
+    return ranked.join(lifts, ["_group", "_band"]).select(*out)
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str, drop_null: Sequence[str] = ()) -> DataFrame:

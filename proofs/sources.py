@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from coverlens.operators import quality as q
 from coverlens.operators.lookups import without_match
 from coverlens.plans import marts
-from coverlens.session import scratch_path
+from coverlens.session import materialise, scratch_path
 from coverlens.sources import archives, datasets, delimited, manifest
 from proofs import roles, sql
 from proofs.mart_queries import DATE, STATES
@@ -58,7 +58,9 @@ def new_files(spark, sf_dir):
 def zip_csv(spark, sf_dir):
     """Whole texts, with their quotes and line breaks, into archives and back; an absent column is null."""
     packed = archives.pack_rows(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    rows = archives.readable_rows(archives.unpack_archives(packed, ["doc_id", "text", "lang", "source", "absent"]))
+    # Unpacked once: rows and failures are both read from the written copy.
+    unpacked = archives.unpack_archives(packed, ["doc_id", "text", "lang", "source", "absent"])
+    rows = archives.readable_rows(materialise(unpacked, "unpacked"))
     return rows.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_hash"), "absent")
 
 
