@@ -8,7 +8,9 @@ error row instead of a failed job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,21 @@ def read_archives(
     spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";", pattern: str = "*.zip"
 ) -> DataFrame:
     """Rows of the first delimited member of every archive below ``path``; all text."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return unpack_archives(files.select("path", "content"), columns, separator)
+    files = _landed(spark, path, pattern)
+    rows = unpack_archives(files.select("path", "content"), columns, separator)
+    empty = empty_files(files).select(F.col("path").alias(FILE), F.lit("empty file").alias(FAILURE))
+    return rows.unionByName(empty, allowMissingColumns=True)
+
+
+def _landed(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+
+
+def empty_files(files: DataFrame) -> DataFrame:
+    """(path) of the files without a byte: they are listed, but no scan returns them."""
+    listed = [re.sub(r"^(\w+):/+", r"\1:/", unquote(name)) for name in files.inputFiles()]
+    names = files.sparkSession.createDataFrame([(n,) for n in listed], "path string")
+    return names.join(files.select("path"), "path", "left_anti")
 
 
 def unpack_archives(files: DataFrame, columns: Sequence[str], separator: str = ";") -> DataFrame:
@@ -150,8 +165,11 @@ def check_archives(files: DataFrame) -> DataFrame:
 
 
 def check_landed_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return check_archives(files)
+    files = _landed(spark, path, pattern)
+    empty = empty_files(files).select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.lit("empty file").alias("problem")
+    )
+    return check_archives(files).unionByName(empty)
 
 
 def pack_rows(df: DataFrame, separator: str = ";") -> DataFrame:

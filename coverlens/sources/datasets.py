@@ -13,6 +13,17 @@ class DatasetMissing(FileNotFoundError):
     """The dataset or period was not written yet."""
 
 
+def spread_scan(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A file of one row group is one task however large the cluster is, and with it
+    everything up to the next shuffle.  Tables with enough splits stay as they
+    are, so a large input is not shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def by_part(df: DataFrame, part_column: str) -> DataFrame:
     """Bring the rows of a part together for writing.
 

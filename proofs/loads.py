@@ -9,7 +9,7 @@ from coverlens.operators import dimensions, facts
 from coverlens.operators.grain import sum_to_grain
 from coverlens.plans import loading
 from coverlens.plans.loading import Warehouse
-from coverlens.session import scratch_path
+from coverlens.session import materialise, scratch_path
 from proofs import roles, sql
 from proofs.joins import NEW_SUPPLIER, next_suppliers
 from proofs.registry import proof
@@ -233,7 +233,8 @@ def warehouse_load(spark, sf_dir):
             "state": F.lit("SP"),
         }
     )
-    batch = sum_to_grain(batch, layouts.ENROLMENT_GRAIN, layouts.MEASURES)
+    # The load reads its batch several times, so it is written first, as the validated layer would be.
+    batch = materialise(sum_to_grain(batch, layouts.ENROLMENT_GRAIN, layouts.MEASURES), "batch")
     none = F.lit(None).cast("string")
     register = table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
         F.col("s_suppkey").cast("string").alias("carrier_code"),
@@ -266,3 +267,104 @@ def warehouse_load(spark, sf_dir):
     for more in parts[1:]:
         stacked = stacked.unionByName(more)
     return stacked
+
+
+STATE_VALUES = ", ".join(f"({i}, '{c}', '{n}', '{r}')" for i, (c, n, r) in enumerate(layouts.STATES))
+
+
+def customer_states(spark, sf_dir):
+    """Customers with a state code by nation; three nations have a code that no state has."""
+    codes = F.array(*[F.lit(c) for c in layouts.STATE_CODES])
+    nation = F.col("c_nationkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(nation < 22, F.element_at(codes, nation + 1)).otherwise("??").alias("state"),
+        nation.cast("string").alias("locality_code"),
+        F.concat(F.lit("place "), nation.cast("string")).alias("locality_name"),
+    )
+
+
+@proof(
+    "state_lookup",
+    f"""WITH s(i, code, name, region) AS (VALUES {STATE_VALUES})
+SELECT coalesce(name, 'Não informado') AS state_name, coalesce(region, 'Não informado') AS region, count(*) AS customers
+FROM customer LEFT JOIN s ON i = c_nationkey AND c_nationkey < 22 GROUP BY ALL""",
+)
+def state_lookup(spark, sf_dir):
+    """Name and region of a state, with a default for unknown codes; counted before the lookup."""
+    counted = customer_states(spark, sf_dir).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    named = counted.join(layouts.states(spark), "state", "left").fillna(
+        layouts.NOT_INFORMED, ["state_name", "region"]
+    )
+    return named.groupBy("state_name", "region").agg(F.sum("n").alias("customers"))
+
+
+@proof(
+    "locality_members",
+    f"""WITH s(i, code, name, region) AS (VALUES {STATE_VALUES})
+SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS locality_code, 'place ' || c_nationkey AS locality_name, code AS state,
+  name AS state_name, region FROM customer JOIN s ON i = c_nationkey WHERE c_nationkey < 22""",
+)
+def locality_members(spark, sf_dir):
+    """Distinct localities of a batch; those without a valid state are left to the unknown member."""
+    batch = customer_states(spark, sf_dir).withColumn(
+        "state", F.when(F.col("state") == "??", layouts.UNKNOWN_STATE).otherwise(F.col("state"))
+    )
+    return loading.locality_members(batch, layouts.states(spark))
+
+
+@proof(
+    "type_members",
+    """SELECT p_brand AS type_code, coalesce(min(p_type) FILTER (p_size > 40), 'Tipo ' || p_brand) AS type_label
+FROM part WHERE p_brand <> 'Brand#3' GROUP BY 1""",
+)
+def type_members(spark, sf_dir):
+    """Distinct facility types with the first label there is, or one made from the code."""
+    batch = table(spark, sf_dir, "part").select(
+        F.when(F.col("p_brand") != "Brand#3", F.col("p_brand")).alias("type_code"),
+        F.when(F.col("p_size") > 40, F.col("p_type")).alias("type_label"),
+    )
+    return loading.type_members(batch)
+
+
+@proof(
+    "network_load",
+    f"""WITH {sql.NETWORK}, b AS (SELECT DISTINCT l_partkey, l_suppkey, p_type, locality_sk FROM network
+  WHERE period_key = {LOAD_PERIOD})
+SELECT 'network' AS name, count(*) AS rows, count(DISTINCT p_type) AS kinds, count(DISTINCT locality_sk) AS places FROM b
+UNION ALL SELECT 'facility', count(*) + 1, count(DISTINCT p_type) + 1, count(DISTINCT locality_sk) + 1 FROM b
+UNION ALL SELECT 'second_load_inserts', 0, 0, 0""",
+)
+def network_load(spark, sf_dir):
+    """Types, localities, facility versions and the network fact of one period, loaded twice."""
+    codes = F.array(*[F.lit(c) for c in layouts.STATE_CODES])
+    batch = roles.network(spark, sf_dir).where(F.col("period_key") == LOAD_PERIOD).select(
+        "facility_code",
+        F.concat(F.lit("facility "), "facility_code").alias("facility_name"),
+        F.col("facility_type_sk").alias("type_code"),
+        F.lit(None).cast("string").alias("type_label"),
+        F.col("locality_sk").cast("string").alias("locality_code"),
+        F.concat(F.lit("place "), F.col("locality_sk").cast("string")).alias("locality_name"),
+        F.element_at(codes, (F.col("locality_sk") + 1).cast("int")).alias("state"),
+    )
+    batch = materialise(batch, "batch")
+    house = Warehouse(spark, scratch_path(spark, "warehouse"))
+    house.load_network(batch, LOAD_PERIOD, 1, FIRST_DAY)
+    again = house.load_network(batch, LOAD_PERIOD, 2, SECOND_DAY)
+
+    def line(name, df):
+        kinds = df.select("facility_type_sk", "locality_sk").distinct()
+        return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")).select(
+            "*",
+            kinds.select("facility_type_sk").distinct().agg(F.count(F.lit(1))).scalar().alias("kinds"),
+            kinds.select("locality_sk").distinct().agg(F.count(F.lit(1))).scalar().alias("places"),
+        )
+
+    fact = house.read("network")
+    repeat = fact.agg(
+        F.lit("second_load_inserts").alias("name"),
+        F.lit(again.inserted).cast("bigint").alias("rows"),
+        (F.lit(again.updated) - F.count(F.lit(1))).alias("kinds"),
+        F.lit(0).cast("bigint").alias("places"),
+    )
+    return line("network", fact).unionByName(line("facility", house.read("facility"))).unionByName(repeat)

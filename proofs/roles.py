@@ -14,15 +14,25 @@ from pyspark.sql import functions as F
 from coverlens.functions.periods import period_of_date
 from coverlens.plans.star import Star
 from coverlens.session import configure
+from coverlens.sources.datasets import spread_scan
 
 PERIOD = 199806
 FACILITY_SIZE = 5
 ATTENTION, CRITICAL = 250, 750
 
 
+# Columns to spread the larger tables by, the usual join key where there is one.
+LARGE = {
+    "lineitem": ("l_orderkey",),
+    "documents": ("doc_id",),
+    "events": ("event_id",),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(rows, *LARGE[name]) if name in LARGE else rows
 
 
 def enrolment(spark: SparkSession, sf_dir: str, locality: bool = True) -> DataFrame:
