@@ -44,23 +44,32 @@ def rank_spread(
 ) -> DataFrame:
     """Rank by descending value within groups of any size.
 
-    A plain window would put a whole group into one task.  Here each group is cut
-    into value bands, ranked inside the bands, and lifted by what lies in the
+    A plain window would put a whole group into one task.  Here the distinct values
+    of a group are counted first, so ties, however many, are one row.  The values
+    are cut into bands, numbered inside the bands, and lifted by what lies in the
     higher bands; the band table is small (groups times a few thousand), so its
-    window is cheap.  The result is the exact rank.
+    window is cheap.  Rows then take the rank of their value.  The result is the
+    exact rank.
 
     The group is carried as one struct: structs with null fields are equal, so
-    null groups survive the join, and window, counts and join share one shuffle.
+    null groups survive the joins.
     """
-    banded = df.withColumns({"_group": F.struct(*by), "_band": _value_band(F.col(value))})
-    inside = Window.partitionBy("_group", "_band").orderBy(F.col(value).desc())
-    ranked = banded.withColumn("_rank", F.rank().over(inside))
-    if dense_rank:
-        ranked = ranked.withColumn("_dense", F.dense_rank().over(inside))
-    bands = ranked.groupBy("_group", "_band").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        (F.max("_dense") if dense_rank else F.lit(0)).alias("_values"),
-        F.sum(value).alias("_sum"),
+    grouped = df.withColumn("_group", F.struct(*by))
+    # A struct again, so that rows without a value find each other too.
+    keyed = grouped.withColumn("_value", F.struct(F.col(value).alias("v")))
+    values = keyed.groupBy("_group", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    banded = values.withColumn("_band", _value_band(F.col("_value.v")))
+    inside = Window.partitionBy("_group", "_band").orderBy(F.col("_value.v").desc())
+    ranked = banded.withColumns(
+        {
+            "_before": F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)),
+            "_place": F.row_number().over(inside),
+        }
+    )
+    bands = banded.groupBy("_group", "_band").agg(
+        F.sum("_n").alias("_rows"),
+        F.count(F.lit(1)).alias("_values"),
+        F.sum(F.col("_n") * F.col("_value.v")).alias("_sum"),
     )
     above = Window.partitionBy("_group").orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lifts = bands.select(
@@ -70,14 +79,18 @@ def rank_spread(
         F.coalesce(F.sum("_values").over(above), F.lit(0)).alias("_values_above"),
         F.sum("_sum").over(Window.partitionBy("_group")).alias("_total"),
     )
-    out = [F.col(c) for c in df.columns]
+    placed = ranked.join(lifts, ["_group", "_band"])
+    added = []
     if rank:
-        out.append((F.col("_rank") + F.col("_rows_above")).cast("int").alias(rank))
+        before = F.coalesce("_before", F.lit(0)) + F.col("_rows_above")
+        added.append((before + 1).cast("int").alias(rank))
     if dense_rank:
-        out.append((F.col("_dense") + F.col("_values_above")).cast("int").alias(dense_rank))
+        added.append((F.col("_place") + F.col("_values_above")).cast("int").alias(dense_rank))
     if group_total:
-        out.append(F.col("_total").alias(group_total))
-    return ranked.join(lifts, ["_group", "_band"]).select(*out)
+        added.append(F.col("_total").alias(group_total))
+    names = [n for n in (rank, dense_rank, group_total) if n]
+    found = placed.select("_group", "_value", *added)
+    return keyed.join(found, ["_group", "_value"]).select(*df.columns, *names)
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str, drop_null: Sequence[str] = ()) -> DataFrame:

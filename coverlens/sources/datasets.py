@@ -13,15 +13,20 @@ class DatasetMissing(FileNotFoundError):
     """The dataset or period was not written yet."""
 
 
+# Below this many splits (about a gigabyte) a scan is spread, into at most so many tasks.
+FEW_SPLITS, SPREAD_TASKS = 8, 64
+
+
 def spread_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Spread a small scan that would run in one or two tasks.
 
-    A file of one row group is one task however large the cluster is, and with it
-    everything up to the next shuffle.  Tables with enough splits stay as they
-    are, so a large input is not shuffled for this.
+    A file of one row group is one task however many cores there are, and with it
+    everything up to the next shuffle.  Tables with more than a few splits stay as
+    they are, so a large input is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
+    return df.repartition(min(cores, SPREAD_TASKS), *columns) if few else df
 
 
 def by_part(df: DataFrame, part_column: str) -> DataFrame:

@@ -21,9 +21,9 @@ FACILITY_SIZE = 5
 ATTENTION, CRITICAL = 250, 750
 
 
-# Columns to spread the larger tables by, the usual join key where there is one.
+# Row-identifying columns of the tables worth spreading while they are one small file.
 LARGE = {
-    "lineitem": ("l_orderkey",),
+    "lineitem": ("l_orderkey", "l_partkey"),
     "documents": ("doc_id",),
     "events": ("event_id",),
 }
