@@ -9,6 +9,8 @@ integers, so no rounding) and gives each text the smallest id its links reach.
 * Points alone do not tell large sets apart, so they are indexed inside blocks: sets that share a shingle
   among the rarest quarter of theirs.  Any two linked sets share such a shingle (prefix rule), so blocks lose
   nothing.  Rarity comes from one count over all texts.
+* Blocks come from one count by shingle.  A bit map of the shared ones keeps the rest from being shuffled again, and blocks of the same
+  members are one block.
 * Pairs of a block's members with its lowest and highest member are bounded and verified first.  What these links
   join needs no more work, so a group of copies costs links in proportion to its size.  Blocks that
   still hold several classes go to R-trees, cut at random into chunks of ``CHUNK`` points: each pair of chunks is
@@ -24,9 +26,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ from coverlens.session import materialise
 
 SHINGLE = 5
 GROUPS = 64
+BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
 CHUNK = 512
 LEAF = 16
@@ -69,39 +72,25 @@ def _rarity(docs: DataFrame, shingle: int) -> np.ndarray:
     return rarity
 
 
-def _signatures(docs: DataFrame, shingle: int, rarity: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, counts, prefix) of each text."""
-    held = docs.sparkSession.sparkContext.broadcast(rarity)
-    schema = "doc_id long, n long, digest binary, counts array<int>, prefix array<long>"
-    arrow = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("counts", pa.list_(pa.int32())),
-         ("prefix", pa.list_(pa.int64()))]
-    )
+def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, n, digest, counts) of each text."""
+    schema = "doc_id long, n long, digest binary, counts array<int>"
+    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("counts", pa.list_(pa.int32()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = held.value
         for batch in batches:
-            ids = batch.column(0)
             for block in words(batch.column(1), NOT_SPACE):
-                sizes, digests, counts, prefixes = [], [], [], []
-                for found in shingles(block, shingle):
-                    n = len(found)
-                    sizes.append(n)
-                    digests.append(xxhash.xxh3_128_digest(found.tobytes()) if n else None)
-                    counts.append(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS))
-                    by_rarity = np.lexsort((found, order[_cells(found)]))
-                    prefixes.append(found[by_rarity[: n - (3 * n + 3) // 4 + 1]].view(np.int64) if n else np.zeros(0, np.int64))
-                ends = np.cumsum([0, *map(len, prefixes)])
+                sets = shingles(block, shingle)
+                counts = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids[block.first : block.first + block.rows],
-                        pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.binary()),
+                        batch.column(0)[block.first : block.first + block.rows],
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(
                             np.arange(0, GROUPS * block.rows + 1, GROUPS, dtype=np.int32),
                             pa.array(np.concatenate(counts).astype(np.int32)),
                         ),
-                        pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(np.concatenate(prefixes))),
                     ],
                     schema=arrow,
                 )
@@ -109,35 +98,55 @@ def _signatures(docs: DataFrame, shingle: int, rarity: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
 
 
-def _whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefixes(docs: DataFrame, shingle: int, rarity: Broadcast, shared: Broadcast | None = None) -> DataFrame:
+    """(doc_id, key): the rarest quarter of each text's shingles; with ``shared`` only keys of that bit map."""
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = rarity.value
         for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for block in words(batch.column(1), NOT_SPACE):
-                sets = [s.view(np.int64) for s in shingles(block, shingle)]
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[block.first : block.first + block.rows],
-                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))],
-                    names=["rep", "grams"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(rebuild, "rep long, grams array<long>")
+                owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for i, found in enumerate(shingles(block, shingle)):
+                    n = len(found)
+                    if not n:
+                        continue
+                    first = found[np.lexsort((found, order[_cells(found)]))[: n - (3 * n + 3) // 4 + 1]].view(np.int64)
+                    if shared is not None:
+                        bit = first & (BITS - 1)
+                        first = first[shared.value[bit >> 6] >> (bit & 63) & 1 == 1]
+                    keys.append(first)
+                    owners.append(np.full(len(first), ids[block.first + i]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(owners)), pa.array(np.concatenate(keys))], names=["doc_id", "key"])
+
+    known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    return known.mapInArrow(rarest, "doc_id long, key long")
+
+
+def _bit_map(blocks: DataFrame) -> np.ndarray:
+    """A bit for each block's key."""
+    bit = F.col("key").bitwiseAND(F.lit(BITS - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    words_ = blocks.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()  # BITS / 64 rows
+    out = np.zeros(BITS // 64, dtype=np.int64)
+    out[words_["at"].to_numpy(dtype=np.int64)] = words_["bits"].to_numpy(dtype=np.int64)
+    return out
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sets = [[s for block in words(batch.column(c), NOT_SPACE) for s in shingles(block, shingle)] for c in (2, 3)]
+            for one, two in zip(*sets, strict=True):
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(shared > 0 and 100 * shared >= 75 * (len(one) + len(two) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-def _linked(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
-    # A repeated id stands for one set: the one its representative was chosen for.
-    sets = _whole_sets(texts, shingle)
-    one, two = sets.toDF("a", "ga"), sets.toDF("b", "gb")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .where(100 * shared >= 75 * (F.size("ga") + F.size("gb") - shared))
-        .select("a", "b")
-    )
+    one, two = texts.toDF("a", "ta"), texts.toDF("b", "tb")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -188,21 +197,42 @@ class RTree:
                     yield part[x], rows_b[y]
 
 
-def _chunk_pairs(block: pd.DataFrame) -> pd.DataFrame:
-    points = np.vstack(block["counts"].to_numpy()).astype(np.int32)
-    sizes, reps, classes = (block[c].to_numpy(dtype=np.int64) for c in ("n", "rep", "class"))
-    sides = block["side"].to_numpy()
-    one = np.flatnonzero(sides != 1)
-    two = np.flatnonzero(sides != 0)
+def _chunk_pairs(points: np.ndarray, sizes: np.ndarray, reps: np.ndarray, classes: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Pairs of different classes, one of each side, whose bound reaches the required overlap."""
+    one, two = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
     found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     if len(one) and len(two):
         for x, y in RTree(points[one], sizes[one]).pairs(RTree(points[two], sizes[two])):
             x, y = one[x], two[y]
             apart = classes[x] != classes[y]
             a, b = reps[x[apart]], reps[y[apart]]
-            found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+    return np.concatenate(found)
+
+
+def _stream_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """R-tree joins of the chunk pairs that stand one after another in the input; one that goes on in the next batch waits."""
+    held: list[np.ndarray] = []
+
+    def join(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        found = [np.zeros((0, 2), np.int64)]
+        for part in np.split(rows, cuts):
+            found.append(_chunk_pairs(part[:, 7:], part[:, 6], part[:, 3], part[:, 4], part[:, 5]))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    for batch in batches:
+        plain = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)], axis=1)
+        counts = batch.column(7).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, GROUPS)
+        rows = np.concatenate([*held, np.concatenate([plain, counts], axis=1)])
+        last = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
+        whole = int(last[-1]) + 1 if len(last) else 0
+        if whole:
+            yield from join(rows[:whole])
+        held = [rows[whole:]]
+    if held and len(held[0]):
+        yield from join(held[0])
 
 
 def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
@@ -225,44 +255,57 @@ def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> D
             F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
             F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1).alias("side"),
         )
-        .groupBy("key", "i", "j")
-        .applyInPandas(_chunk_pairs, "a long, b long")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .select("key", "i", "j", "rep", "class", "side", "n", "counts")
+        .mapInArrow(_stream_chunks, "a long, b long")
         .distinct()
     )
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
-    signed = materialise(_signatures(docs, shingle, _rarity(docs, shingle)), "jaccard-signatures")
+    spark = docs.sparkSession
+    rarity = spark.sparkContext.broadcast(_rarity(docs, shingle))
+    signed = materialise(_signatures(docs, shingle), "jaccard-signatures")
     filled = signed.where("n > 0")
     leads = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    points = materialise(
-        filled.join(leads, "digest").where("doc_id = rep").select("rep", "n", "counts", "prefix").dropDuplicates(["rep"]),
-        "jaccard-points",
-    )
-    rows = points.select("rep", F.explode("prefix").alias("key"))
-    blocks = materialise(
-        rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("rows > 1"),
-        "jaccard-blocks",
+    led = materialise(filled.select("doc_id", "digest").join(leads, "digest").select("doc_id", "rep").distinct(), "jaccard-leads")
+    blocks = (
+        _prefixes(docs, shingle, rarity)
+        .groupBy("key")
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("doc_id").alias("lo"),
+            F.max("doc_id").alias("hi"),
+            F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+            F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y"),
+        )
+        .where("rows > 1")
     )
-    members = materialise(rows.join(blocks.where("rows > 2"), "key"), "jaccard-members")
+    alike = materialise(blocks.groupBy("rows", "lo", "hi", "x", "y").agg(F.min("key").alias("key")).select("key"), "jaccard-blocks")
+    shared = spark.sparkContext.broadcast(_bit_map(alike))
+    members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc_id").select("key", "rep").distinct()
+    members = materialise(members, "jaccard-members")
+    ends = members.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     stars = (
-        members.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
-                                         F.struct(F.col("rep").alias("a"), F.col("hi").alias("b")))).alias("p"))
+        members.join(ends, "key")
+        .select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
+                                  F.struct(F.col("rep").alias("a"), F.col("hi").alias("b")))).alias("p"))
         .select("p.a", "p.b")
         .where("a < b")
-        .unionByName(blocks.where("rows = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")))
         .distinct()
     )
-    points = points.select("rep", "n", "counts")
+    taking_part = members.join(ends.select("key"), "key", "left_semi").select("rep").distinct()
+    points = signed.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "counts").join(taking_part, "rep", "left_semi")
+    points = materialise(points.dropDuplicates(["rep"]), "jaccard-points")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(taking_part, "rep", "left_semi")
+    texts = materialise(texts.dropDuplicates(["rep"]), "jaccard-texts")
     tried = materialise(_bounded(stars, points), "jaccard-stars")
-    links = materialise(_linked(tried, docs, shingle), "jaccard-links")
+    links = materialise(_linked(tried, texts, shingle), "jaccard-links")
     classes = components(links, members.select(F.col("rep").alias("id")).distinct())
-    later = materialise(
-        _open_blocks(members.select("key", "rep"), classes, points).join(tried, ["a", "b"], "left_anti"),
-        "jaccard-later",
-    )
-    links = links.unionByName(_linked(later, docs, shingle))
+    later = _open_blocks(members, classes, points).join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(_linked(materialise(later, "jaccard-later"), texts, shingle))
     classes = components(links).select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
     own = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(leads, "digest", "left")
     return own.join(classes, "rep", "left").select(
