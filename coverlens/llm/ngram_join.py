@@ -11,8 +11,9 @@ integers, so no rounding) and gives each text the smallest id its links reach.
   nothing.  Rarity comes from one count over all texts.
 * Blocks come from one count by shingle.  A bit map of the shared ones keeps the rest from being shuffled again, and blocks of the same
   members are one block.
-* Pairs of a block's members with its lowest and highest member are bounded and verified first.  What these links
-  join needs no more work, so a group of copies costs links in proportion to its size.  Blocks that
+* Pairs of a block's members with a few hubs (its lowest and highest member and the one that stands in most blocks; then one outside
+  that one's class) are bounded and verified first.  What these links join needs no more work, so a group of copies costs
+  links in proportion to its size.  Blocks that
   still hold several classes go to R-trees, cut at random into chunks of ``CHUNK`` points: each pair of chunks is
   one task that emits only pairs of different classes whose bound reaches the threshold.
 * Surviving pairs are verified on the whole sets, rebuilt from the texts that take part.
@@ -37,7 +38,8 @@ from coverlens.llm.components import components
 from coverlens.session import materialise
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 256
+MOST = 0xFFFF  # sets of more shingles are bounded by their size alone
 BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
 CHUNK = 512
@@ -72,25 +74,32 @@ def _rarity(docs: DataFrame, shingle: int) -> np.ndarray:
     return rarity
 
 
+def _point(found: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each group."""
+    if len(found) > MOST:
+        return np.full(GROUPS, MOST, dtype=np.uint16)
+    return np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
+
+
+def _points(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int32)
+
+
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, n, digest, counts) of each text."""
-    schema = "doc_id long, n long, digest binary, counts array<int>"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("counts", pa.list_(pa.int32()))])
+    schema = "doc_id long, n long, digest binary, counts binary"
+    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("counts", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in words(batch.column(1), NOT_SPACE):
                 sets = shingles(block, shingle)
-                counts = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[block.first : block.first + block.rows],
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(
-                            np.arange(0, GROUPS * block.rows + 1, GROUPS, dtype=np.int32),
-                            pa.array(np.concatenate(counts).astype(np.int32)),
-                        ),
+                        pa.array([_point(s).tobytes() for s in sets], pa.binary()),
                     ],
                     schema=arrow,
                 )
@@ -153,8 +162,19 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs whose summed coordinate minima reach the required overlap."""
     one = points.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     two = points.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-    minima = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(one, "a").join(two, "b").where(7 * minima >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(len(batch), dtype=bool)
+            total = batch.column(2).to_numpy(zero_copy_only=False) + batch.column(3).to_numpy(zero_copy_only=False)
+            for at in range(0, len(batch), 2000):
+                rows = slice(at, at + 2000)
+                minima = np.minimum(_points(batch.column(4)[rows]), _points(batch.column(5)[rows])).sum(axis=1)
+                keep[rows] = minima >= required(total[rows])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ca", "cb")
+    return joined.mapInArrow(bound, "a long, b long")
 
 
 class RTree:
@@ -218,14 +238,13 @@ def _stream_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
         found = [np.zeros((0, 2), np.int64)]
         for part in np.split(rows, cuts):
-            found.append(_chunk_pairs(part[:, 7:], part[:, 6], part[:, 3], part[:, 4], part[:, 5]))
+            found.append(_chunk_pairs(part[:, 7:].astype(np.int32), part[:, 6], part[:, 3], part[:, 4], part[:, 5]))
         pairs = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
     for batch in batches:
         plain = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)], axis=1)
-        counts = batch.column(7).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, GROUPS)
-        rows = np.concatenate([*held, np.concatenate([plain, counts], axis=1)])
+        rows = np.concatenate([*held, np.concatenate([plain, _points(batch.column(7))], axis=1)])
         last = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
         whole = int(last[-1]) + 1 if len(last) else 0
         if whole:
@@ -235,6 +254,13 @@ def _stream_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from join(held[0])
 
 
+def _spokes(members: DataFrame, *hubs: str) -> DataFrame:
+    """Distinct pairs (a, b) of each row's ``rep`` with its hubs."""
+    ends = F.explode(F.array(*hubs)).alias("hub")
+    pairs = members.select("rep", ends).where("rep <> hub")
+    return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+
+
 def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs of different classes within a block, by R-trees over chunks of its points."""
     labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")), "rep")
@@ -287,15 +313,13 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     shared = spark.sparkContext.broadcast(_bit_map(alike))
     members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc_id").select("key", "rep").distinct()
     members = materialise(members, "jaccard-members")
-    ends = members.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    stars = (
-        members.join(ends, "key")
-        .select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
-                                  F.struct(F.col("rep").alias("a"), F.col("hi").alias("b")))).alias("p"))
-        .select("p.a", "p.b")
-        .where("a < b")
-        .distinct()
-    )
+    degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
+    members = materialise(members.join(degree, "rep"), "jaccard-members")
+    ends = members.groupBy("key").agg(
+        F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.max(F.struct("degree", "rep")).alias("hub")
+    )
+    ends = materialise(ends.where("lo < hi").select("key", "lo", "hi", F.col("hub.rep").alias("hub")), "jaccard-hubs")
+    stars = _spokes(members.join(ends, "key"), "lo", "hi", "hub")
     taking_part = members.join(ends.select("key"), "key", "left_semi").select("rep").distinct()
     points = signed.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "counts").join(taking_part, "rep", "left_semi")
     points = materialise(points.dropDuplicates(["rep"]), "jaccard-points")
@@ -303,8 +327,18 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     texts = materialise(texts.dropDuplicates(["rep"]), "jaccard-texts")
     tried = materialise(_bounded(stars, points), "jaccard-stars")
     links = materialise(_linked(tried, texts, shingle), "jaccard-links")
-    classes = components(links, members.select(F.col("rep").alias("id")).distinct())
-    later = _open_blocks(members, classes, points).join(tried, ["a", "b"], "left_anti")
+    # Blocks still apart: one more hub for each, the best placed outside the class of the first.
+    classes = components(links, taking_part.select(F.col("rep").alias("id")))
+    labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")), "rep")
+    first = ends.join(classes.select(F.col("id").alias("hub"), F.col("component").alias("hub_class")), "hub")
+    others = labelled.join(first.select("key", "hub_class"), "key").where("class <> hub_class")
+    second = others.groupBy("key").agg(F.max(F.struct("degree", "rep")).alias("hub"))
+    more = _spokes(others.join(second.select("key", F.col("hub.rep").alias("hub")), "key"), "hub")
+    more = materialise(_bounded(more.join(tried, ["a", "b"], "left_anti"), points), "jaccard-stars")
+    tried = tried.unionByName(more)
+    links = links.unionByName(materialise(_linked(more, texts, shingle), "jaccard-links"))
+    classes = components(links, taking_part.select(F.col("rep").alias("id")))
+    later = _open_blocks(members.select("key", "rep"), classes, points).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_linked(materialise(later, "jaccard-later"), texts, shingle))
     classes = components(links).select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
     own = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(leads, "digest", "left")
