@@ -26,7 +26,7 @@ from coverlens.session import materialise
 
 EDITS = 2
 LEAST_CHARS = 20
-CROWD = 64
+CROWD = 16
 
 
 def _let(value: Column, body) -> Column:
@@ -119,17 +119,32 @@ _PARTS = "array<struct<text:string,target:int,budget:int>>"
 _WAYS = f"array<struct<i:int,part:string,unshifted:boolean,rest:{_PARTS}>>"
 
 
-def _keys(lines: DataFrame, edits: int, own_only: bool) -> DataFrame:
-    """(key, id, own, rest): segments of each line as index entries (own) and probes."""
-    if own_only:
-        targets = F.array(F.length("line"))
-    else:
-        targets = F.filter(F.sequence(F.length("line") - edits, F.length("line")), lambda t: t >= LEAST_CHARS)
+def _first_keys(lines: DataFrame, edits: int, own_only: bool) -> DataFrame:
+    """(key, id) of each line's segments: of its own cut, or also of all substrings that the cuts of shorter lengths ask for.
+
+    The ways are the same for all lines, so they are written out one by one and compiled.
+    """
+    length, keys = F.length("line"), []
+    for extra in range(1 if own_only else edits + 1):
+        target = length - extra
+        for i in range(edits + 1):
+            begin = F.floor(F.lit(i) * target / (edits + 1)).cast("int")
+            size = F.floor(F.lit(i + 1) * target / (edits + 1)).cast("int") - begin
+            for shift in range(max(-i, extra - edits + i), min(i, extra + edits - i) + 1):
+                if own_only and shift:
+                    continue
+                key = F.xxhash64(target, F.lit(i), F.substring("line", begin + shift + 1, size))
+                keys.append(F.when(target >= LEAST_CHARS, key) if extra else key)
+    return lines.select("id", F.explode(F.array(*keys)).alias("key")).where(F.col("key").isNotNull())
+
+
+def _keys(lines: DataFrame, edits: int) -> DataFrame:
+    """As all of ``_first_keys``, with whether each is of the line's own cut and the parts it leaves open."""
+    targets = F.filter(F.sequence(F.length("line") - edits, F.length("line")), lambda t: t >= LEAST_CHARS)
     each = lines.select("id", "line", F.explode(targets).alias("target"))
     ways = each.select("id", "line", "target", F.explode(_splits(F.col("line"), F.col("target"), F.lit(edits))).alias("w"))
     own = (F.col("target") == F.length("line")) & F.col("w.unshifted")
-    out = ways.select(F.xxhash64("target", "w.i", "w.part").alias("key"), "id", own.alias("own"), F.col("w.rest").alias("rest"))
-    return out.where("own") if own_only else out
+    return ways.select(F.xxhash64("target", "w.i", "w.part").alias("key"), "id", own.alias("own"), F.col("w.rest").alias("rest"))
 
 
 def _pairs(index: DataFrame, probes: DataFrame) -> DataFrame:
@@ -172,10 +187,12 @@ def _firsts(crowd: DataFrame) -> DataFrame:
 
 
 def _candidates(lines: DataFrame, edits: int) -> DataFrame:
-    index, probes = _keys(lines, edits, True), _keys(lines, edits, False)
+    index, probes = _first_keys(lines, edits, True), _first_keys(lines, edits, False)
     crowded = materialise(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "line-crowds")
     found = [_pairs(index.select("key", "id").join(crowded, "key", "left_anti"), probes)]
-    crowd = materialise(probes.join(crowded, "key", "left_semi"), "line-crowd")
+    crowded_lines = probes.join(crowded, "key", "left_semi").select("id").distinct()
+    crowd = _keys(lines.join(crowded_lines, "id", "left_semi"), edits).join(crowded, "key", "left_semi")
+    crowd = materialise(crowd, "line-crowd")
     while crowd.limit(1).count():
         found.append(_firsts(crowd))
         state = materialise(_split_again(crowd.where(_is_open())), "line-crowd")
