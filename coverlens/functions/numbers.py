@@ -15,7 +15,10 @@ HUNDRED = Decimal("100.0")
 def safe_long(value: Column | str) -> Column:
     """Whole number from text; fractions are cut off, anything unreadable is 0."""
     c = as_column(value)
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    # The engine also reads type suffixes (12d, 1f); digits, sign, point and exponent alone make a number here.
+    plain = c.cast("string").rlike(r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    number = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    return F.coalesce(F.when(plain, number), F.lit(0).cast("bigint"))
 
 
 def safe_date(value: Column | str) -> Column:

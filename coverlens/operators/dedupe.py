@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverlens.session import materialise
+
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
@@ -58,21 +60,22 @@ def repeats_removed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
-    """Add ``flag``: true for every row of a key but the first.
+    """Add ``flag``: true for every row of a key but exactly one, the first in ``order``.
 
-    ``order`` must identify a row within its key (file and position, say).  The
-    first position of each key comes from an aggregation; rows find it by key
-    *and* position, so even a hot key is joined evenly.
+    Rows that are equal in key and order are told apart by a row number, so of identical copies one stays.  The
+    numbered rows are written to the shared folder once: both sides of the join then see the same numbers, also
+    after a retry.  The first position of each key comes from an aggregation; rows find it by key *and*
+    position, so even a hot key is joined evenly.
     """
-    firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    placed = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "repeats")
+    position = [*order, "_row"]
+    firsts = placed.groupBy(*keys).agg(F.min(F.struct(*position)).alias("_first"))
     firsts = firsts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        *[F.col(f"_first.{o}").alias(f"_o{i}") for i, o in enumerate(order)],
+        F.col("_first._row").alias("_first_row"),
         F.lit(True).alias("_is_first"),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    same += [F.col(o).eqNullSafe(F.col(f"_o{i}")) for i, o in enumerate(order)]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return df.join(firsts, condition, "left").select(*df.columns, F.col("_is_first").isNull().alias(flag))
+    condition = F.col("_row") == F.col("_first_row")
+    for i, k in enumerate(keys):
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return placed.join(firsts, condition, "left").select(*df.columns, F.col("_is_first").isNull().alias(flag))

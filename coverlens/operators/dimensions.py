@@ -104,7 +104,10 @@ def upsert_type2(
     columns = [sk, natural_key, *attributes, "valid_from", "valid_to", "is_current"]
 
     history = dimension.where(~F.col("is_current")).select(*columns)
-    current = dimension.where("is_current")
+    # A load dated before a current version would close it before it began: such a load fails when it runs.
+    too_late = F.concat(F.lit("version begins after the load's day, key "), F.col(natural_key).cast("string"))
+    dated = F.when((F.col("valid_from") > day) & (F.col(sk) > 0), F.raise_error(too_late).cast("date")).otherwise(F.col("valid_from"))
+    current = dimension.where("is_current").withColumn("valid_from", dated)
     fresh = incoming.select(
         F.col(natural_key).alias("_key"), *[F.col(a).alias(f"_new_{a}") for a in attributes]
     )

@@ -216,7 +216,7 @@ def several_names(code: str, name: str, skip: Column | None = None):
 
 
 def repeated_key(keys: Sequence[str], order: Sequence[str]):
-    """Every row of a key but the first; ``order`` identifies a row within its key."""
+    """Every row of a key but one: the first in ``order``, any single one of rows that are equal in it."""
 
     def add(df: DataFrame, flag: str) -> DataFrame:
         return flag_repeats(df, keys, order, flag)

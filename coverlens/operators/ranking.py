@@ -31,7 +31,13 @@ def _value_band(value: Column) -> Column:
     """
     v = value.cast("double")
     band = F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)
-    return F.coalesce(band.cast("int"), F.lit(-(2**31)))
+    # Not-a-number sorts above all others, as in a plain rank; infinities stand at the ends.
+    return (
+        F.when(v.isNull(), F.lit(-(2**31)))
+        .when(F.isnan(v), F.lit(2**31 - 1))
+        .when(F.abs(v) == float("inf"), F.signum(v).cast("int") * F.lit(2**31 - 2))
+        .otherwise(band.cast("int"))
+    )
 
 
 def rank_spread(

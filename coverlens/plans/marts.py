@@ -26,8 +26,9 @@ CLASSES = (ADEQUATE, ATTENTION, CRITICAL)
 PLACE = ("locality_code", "locality_name", "state", "state_name", "region")
 
 
-def _members(star: Star, *keys: str) -> DataFrame:
-    return star.enrolment.groupBy("period_key", *keys).agg(F.sum("active").alias("active_members"))
+def _members(star: Star, *keys: str, periods: list[int] | None = None) -> DataFrame:
+    rows = star.enrolment if periods is None else star.enrolment.where(F.col("period_key").isin(*periods))
+    return rows.groupBy("period_key", *keys).agg(F.sum("active").alias("active_members"))
 
 
 def _facilities(star: Star, *keys: str) -> DataFrame:
@@ -38,9 +39,16 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn("period_date", period_date("period_key"))
 
 
-def monthly_trend(star: Star) -> DataFrame:
+def change_of_period(star: Star, period: int) -> DataFrame:
+    """``monthly_trend`` of one period: only its rows and those of the period loaded before it are read."""
+    before = star.enrolment.where(F.col("period_key") < period).agg(F.max("period_key")).first()[0]
+    trend = monthly_trend(star, [period] if before is None else [before, period])
+    return trend.where(F.col("period_key") == period)
+
+
+def monthly_trend(star: Star, periods: list[int] | None = None) -> DataFrame:
     """Active members per period, change against the period loaded before."""
-    months = with_previous(_members(star), "active_members", "period_key", name="previous_members")
+    months = with_previous(_members(star, periods=periods), "active_members", "period_key", name="previous_members")
     return _dated(months).withColumns(
         {
             "period_label": period_label("period_key"),
@@ -96,12 +104,12 @@ def coverage_class(star: Star, attention: int = 2000, critical: int = 5000) -> D
     return members_per_facility(star).withColumn("coverage", label)
 
 
-def carrier_ranking(star: Star) -> DataFrame:
+def carrier_ranking(star: Star, periods: list[int] | None = None) -> DataFrame:
     """Carriers per period by members, dense rank and share of the period's total.
 
     A period may hold every registered carrier, so the rank is the spread one.
     """
-    joined = _members(star, "carrier_sk").join(star.carrier, "carrier_sk")
+    joined = _members(star, "carrier_sk", periods=periods).join(star.carrier, "carrier_sk")
     carriers = joined.groupBy("period_key", "carrier_code", "legal_name", "kind").agg(
         F.sum("active_members").alias("active_members")
     )
@@ -136,9 +144,9 @@ def rule_history(star: Star) -> DataFrame:
     )
 
 
-def carriers_by_region(star: Star) -> DataFrame:
+def carriers_by_region(star: Star, periods: list[int] | None = None) -> DataFrame:
     """Carriers per period and region, ranked inside the region."""
-    joined = _members(star, "carrier_sk", "locality_sk").join(star.locality.select("locality_sk", "region"), "locality_sk")
+    joined = _members(star, "carrier_sk", "locality_sk", periods=periods).join(star.locality.select("locality_sk", "region"), "locality_sk")
     regional = joined.groupBy("period_key", "region", "carrier_sk").agg(F.sum("active_members").alias("active_members"))
     named = regional.join(star.carrier.select("carrier_sk", "carrier_code", "legal_name"), "carrier_sk")
     carriers = named.groupBy("period_key", "region", "carrier_code", "legal_name").agg(

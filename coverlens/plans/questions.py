@@ -72,8 +72,8 @@ def critical_share(star: Star, period: int, attention: int = 2000, critical: int
 
 
 def national_change(star: Star, period: int) -> DataFrame:
-    """Change of one period against the one before; the filter comes after the window."""
-    return marts.monthly_trend(star).where(F.col("period_key") == period).select(
+    """Change of one period against the one loaded before."""
+    return marts.change_of_period(star, period).select(
         "period_label", "active_members", "previous_members", "change_percent"
     )
 

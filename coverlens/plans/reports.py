@@ -15,9 +15,8 @@ from coverlens.operators.ranking import latest, share_of_top, top_by_stored_rank
 from coverlens.operators.shape import require_columns
 from coverlens.plans import marts
 from coverlens.plans.star import Star
+from coverlens.sources.datasets import capped
 
-ROW_CAP = 200_000
-DISPLAY_CAP = 5_000
 VALIDATE_STAGE = "validate_trusted"
 LOAD_STAGE = "load"
 
@@ -43,7 +42,7 @@ def localities_of_period(star: Star, period: int, state: str | None = None) -> D
 
 
 def carriers_of_period(star: Star, period: int) -> DataFrame:
-    return _of_period(marts.carrier_ranking(star), period).orderBy("carrier_rank", "carrier_code")
+    return marts.carrier_ranking(star, [period]).orderBy("carrier_rank", "carrier_code")
 
 
 def available_periods(star: Star) -> DataFrame:
@@ -78,7 +77,7 @@ def coverage(star: Star, period: int, state: str | None = None, **thresholds: in
 
 
 def carrier_series(star: Star, carrier_code: str) -> DataFrame:
-    """One carrier over all periods; only its own fact rows are read."""
+    """One carrier over all periods.  The fact is partitioned by period, so all of it is scanned and other carriers are dropped."""
     keys = star.carrier.where(F.col("carrier_code") == carrier_code).select("carrier_sk")
     rows = star.enrolment.join(keys, "carrier_sk", "left_semi")
     sums = rows.groupBy("period_key").agg(F.sum("active").alias("active_members"))
@@ -86,7 +85,7 @@ def carrier_series(star: Star, carrier_code: str) -> DataFrame:
 
 
 def regional_carriers(star: Star, period: int) -> DataFrame:
-    return _of_period(marts.carriers_by_region(star), period).orderBy("region", "region_rank", "carrier_code")
+    return marts.carriers_by_region(star, [period]).orderBy("region", "region_rank", "carrier_code")
 
 
 def recent_runs(star: Star, n: int = 200) -> DataFrame:
@@ -137,7 +136,7 @@ def kpi_row(star: Star, period: int, include_unknown: bool = True, load_stage: s
     if not include_unknown:
         sold = sold.where("carrier_sk <> -1")
     carriers = star.carrier.join(sold, "carrier_sk", "left_semi").agg(F.countDistinct("carrier_code").alias("carriers"))
-    change = marts.monthly_trend(star).where(F.col("period_key") == period).select("change_percent")
+    change = marts.change_of_period(star, period).select("change_percent")
     figures = head.select("*", carriers.scalar().alias("carriers"), change.scalar().alias("change_percent"))
     if star.runs is not None:
         run = last_load(star, load_stage)
@@ -163,7 +162,7 @@ def without_facility(star: Star, period: int) -> DataFrame:
 
 def leading_share(star: Star, period: int, n: int = 5) -> DataFrame:
     """Summed market share of the leading carriers."""
-    rows = _of_period(marts.carrier_ranking(star), period)
+    rows = marts.carrier_ranking(star, [period])
     return share_of_top(rows, n, ["carrier_rank", "carrier_code"], "share_percent", "leading_share")
 
 
@@ -181,7 +180,7 @@ def chart_localities(star: Star, period: int, n: int = 20) -> DataFrame:
 
 
 def chart_carriers(star: Star, period: int, n: int = 15) -> DataFrame:
-    rows = _of_period(marts.carrier_ranking(star), period)
+    rows = marts.carrier_ranking(star, [period])
     return top_n(rows, n, "carrier_rank", "carrier_code").select("legal_name", "active_members", "carrier_rank")
 
 
@@ -197,7 +196,7 @@ def chart_classes(star: Star, period: int, **thresholds: int) -> DataFrame:
 
 
 def chart_region_leaders(star: Star, period: int, n: int = 1) -> DataFrame:
-    rows = _of_period(marts.carriers_by_region(star), period)
+    rows = marts.carriers_by_region(star, [period])
     return top_by_stored_rank(rows, "region_rank", n).select("region", "legal_name", "active_members", "region_rank")
 
 
@@ -227,10 +226,9 @@ def explore(
     columns: Sequence[str] | None = None,
     order: str | Column | None = None,
     ascending: bool = False,
-    cap: int = DISPLAY_CAP,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """A listed mart, filtered, projected, sorted and capped (all inside the plan)."""
+    """A listed mart, filtered, projected and sorted, all of its rows."""
     if mart not in marts.MARTS:
         raise KeyError(f"unknown mart {mart!r}; choose one of {sorted(marts.MARTS)}")
     rows = marts.MARTS[mart](star)
@@ -239,13 +237,17 @@ def explore(
     if order is not None:
         key = F.col(order) if isinstance(order, str) else order
         rows = rows.orderBy(key.asc() if ascending else key.desc(), *tie_break)
-    rows = rows.limit(cap)
     return rows.select(*require_columns(rows, columns).select(*columns).columns) if columns else rows
 
 
-def filter_choices(df: DataFrame, most: int = 200, first_columns: int = 5) -> dict[str, list[str]]:
+def explore_capped(cap: int, *args: object, **options: object) -> tuple[DataFrame, bool]:
+    """``explore`` cut to the first ``cap`` rows, and whether there were more."""
+    return capped(explore(*args, **options), cap)
+
+
+def filter_choices(df: DataFrame, most: int = 200) -> dict[str, list[str]]:
     """Values to offer per text column: the columns with 2 to ``most`` distinct values."""
-    names = profile.text_columns(df)[:first_columns]
+    names = profile.text_columns(df)
     if not names:
         return {}
     distinct = {r["column"]: r["unique"] for r in profile.profile_texts(df, names).collect()}

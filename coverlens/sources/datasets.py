@@ -2,33 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverlens.session import materialise
+
 
 class DatasetMissing(FileNotFoundError):
     """The dataset or period was not written yet."""
 
 
-# Below this many splits (about a gigabyte) a scan is spread, into at most so many tasks.
-FEW_SPLITS, SPREAD_TASKS = 8, 64
-
-
-def spread_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread a small scan that would run in one or two tasks.
-
-    A file of one row group is one task however many cores there are, and with it
-    everything up to the next shuffle.  Tables with more than a few splits stay as
-    they are, so a large input is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
-    return df.repartition(min(cores, SPREAD_TASKS), *columns) if few else df
-
-
 def by_part(df: DataFrame, part_column: str) -> DataFrame:
     """Bring the rows of a part together for writing.
 
@@ -67,7 +54,11 @@ def read_period(spark: SparkSession, path: str, period: int, period_column: str
     return rows
 
 
-LOG_SCHEMA = "part string, version long, filled boolean, note string"
+LOG_SCHEMA = "part string, version long, filled boolean, note string, folder string"
+
+
+class ConcurrentLoad(RuntimeError):
+    """Another load was published while this one was written."""
 
 
 class PublishedTable:
@@ -90,12 +81,12 @@ class PublishedTable:
                 return None
             raise
 
-    def _newest(self) -> dict[str, tuple[int, bool]]:
+    def _newest(self) -> dict[str, tuple[int, bool, str]]:
         log = self._log()
         if log is None:
             return {}
-        newest = log.groupBy("part").agg(F.max(F.struct("version", "filled")).alias("v"))
-        return {r["part"]: (r["v"]["version"], r["v"]["filled"]) for r in newest.collect()}
+        newest = log.groupBy("part").agg(F.max(F.struct("version", "filled", "folder")).alias("v"))
+        return {r["part"]: (r["v"]["version"], r["v"]["filled"], r["v"]["folder"]) for r in newest.collect()}
 
     def exists(self) -> bool:
         return bool(self._newest())
@@ -104,7 +95,7 @@ class PublishedTable:
         """The published rows, of all or the named parts; None if there are none."""
         newest = self._newest()
         wanted = newest if parts is None else {str(p): newest[str(p)] for p in parts if str(p) in newest}
-        filled = {p: version for p, (version, has_rows) in wanted.items() if has_rows}
+        filled = {p: folder for p, (_, has_rows, folder) in wanted.items() if has_rows}
         if not filled:
             return None
         if self.part_column is None:
@@ -123,20 +114,25 @@ class PublishedTable:
         A partitioned table needs the names of the parts this load replaces; one
         without rows is published as empty.
         """
-        version = 1 + max((v for v, _ in self._newest().values()), default=0)
-        target = f"{self.root}/data/version={version}"
+        seen = max((v for v, *_ in self._newest().values()), default=0)
+        version = seen + 1
+        # A folder of its own: another writer's files are never touched.
+        folder = f"{version}-{uuid.uuid4().hex}"
+        target = f"{self.root}/data/version={folder}"
         placed = df if self.part_column is None else by_part(df, self.part_column)
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = placed.write.mode("errorifexists")
         if self.part_column is None:
             writer.parquet(target)
-            lines = [("all", version, True, note)]
+            lines = [("all", version, True, note, folder)]
         else:
             if parts is None:
                 raise ValueError("name the parts this load replaces")
             writer.partitionBy(self.part_column).parquet(target)
             found = self.spark.read.schema(df.schema).parquet(target).select(self.part_column).distinct().collect()
             present = {str(r[0]) for r in found}
-            lines = [(str(p), version, str(p) in present, note) for p in parts]
+            lines = [(str(p), version, str(p) in present, note, folder) for p in parts]
+        if max((v for v, *_ in self._newest().values()), default=0) != seen:
+            raise ConcurrentLoad(f"another load was published at {self.root} meanwhile; run this one again")
         log = self.spark.createDataFrame(lines, LOG_SCHEMA)
         log.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
         return version
@@ -200,15 +196,15 @@ def export_marts(marts: Mapping[str, DataFrame], path: str, period: int) -> list
     return written
 
 
-def query_mart(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, cap: int = 200_000):
-    """Bound parameters and a row cap; returns the frame and whether rows were cut.
-
-    The cap is part of the plan, so no more than ``cap + 1`` rows leave the cluster.
-    """
+def query_mart(
+    spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, cap: int | None = None
+) -> tuple[DataFrame, bool]:
+    """Bound parameters; the frame and whether rows were cut.  Nothing is cut unless a cap is named."""
     rows = spark.sql(sql, args=dict(args or {}))
-    return capped(rows, cap)
+    return (rows, False) if cap is None else capped(rows, cap)
 
 
-def capped(rows: DataFrame, cap: int):
-    """The first ``cap`` rows and whether there were more."""
-    return rows.limit(cap), rows.limit(cap + 1).count() > cap
+def capped(rows: DataFrame, cap: int) -> tuple[DataFrame, bool]:
+    """The first ``cap`` rows and whether there were more; the plan runs once, and no more than ``cap + 1`` rows are kept."""
+    kept = materialise(rows.limit(cap + 1), "capped")
+    return kept.limit(cap), kept.count() > cap

@@ -84,8 +84,11 @@ def latest_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     return df.where(F.col(column) == newest)
 
 
-def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:
-    """Export with a header, UTF-8; quotes are doubled and no text is trimmed."""
+def write_delimited(df: DataFrame, path: str, separator: str = ",", mark: bool = False) -> None:
+    """Export with a header, UTF-8; quotes are doubled and no text is trimmed.  ``mark`` puts the byte-order mark first in each file."""
+    if mark:
+        first, *others = df.columns
+        df = df.select(F.col(first).alias("\ufeff" + first), *others)
     (
         df.write.mode("overwrite")
         .option("header", True)

@@ -256,3 +256,19 @@ def table_checks(spark, sf_dir):
     return stacked.select("rule", "evaluated", "violated")
 
 
+
+
+@proof(
+    "repeated_identical",
+    """WITH d AS (SELECT text FROM documents UNION ALL SELECT text FROM documents)
+SELECT count(*) AS rows_read, count(DISTINCT text) AS accepted, count(*) - count(DISTINCT text) AS repeated FROM d""",
+)
+def repeated_identical(spark, sf_dir):
+    """Copies that are equal in the rule's order too: exactly one of each stays."""
+    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("carrier_code"))
+    rows = docs.unionAll(docs).withColumns({"legal_name": F.lit("same"), "registration_no": F.lit("00000000000000")})
+    listed = rulesets.carrier_rules()
+    flagged = q.evaluate(rows, listed)
+    return q.totals(flagged).select(
+        F.col("evaluated").alias("rows_read"), "accepted", F.col("rejected").alias("repeated")
+    )

@@ -305,15 +305,30 @@ ORDER BY active_members DESC, period_key, state LIMIT 500""",
 )
 def explore(spark, sf_dir):
     """A listed mart, filtered, sorted, capped and projected."""
-    return reports.explore(
+    rows, _cut = reports.explore_capped(
+        500,
         "state_growth",
         star(spark, sf_dir, "enrolment", "locality"),
         filters={"region": ["ASIA", "EUROPE"]},
         columns=["period_key", "state_name", "active_members", "previous_members"],
         order="active_members",
-        cap=500,
         tie_break=["period_key", "state"],
     )
+    return rows
+
+
+@proof(
+    "explore_all",
+    f"""WITH {STATES} SELECT period_key, state, active_members FROM states WHERE region IN ('ASIA', 'EUROPE')""",
+)
+def explore_all(spark, sf_dir):
+    """All rows of a listed mart: nothing is cut unless a cap is named."""
+    return reports.explore(
+        "by_state",
+        star(spark, sf_dir, "enrolment", "locality"),
+        filters={"region": ["ASIA", "EUROPE"]},
+        columns=["period_key", "state", "active_members"],
+    )
 
 
 # Profile -------------------------------------------------------------------

@@ -40,7 +40,7 @@ def stream_upsert(spark, sf_dir):
         "o_orderstatus",
     )
     target = BatchUpsert(
-        spark, scratch_path(spark, "upserted"), ["period_key", "age_band"], ["active"], accumulate=True
+        spark, scratch_path(spark, "upserted"), ["period_key", "age_band"], ["active"], accumulate=True, stream="orders"
     )
     delivered = orders.drop("o_orderstatus")
     for status in ("F", "O", "P"):

@@ -16,12 +16,10 @@ def spark():
         "coverlens-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "2",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
-            # Compiling every plan costs more than these tiny inputs; proofs.check runs with it.
-            "spark.sql.codegen.wholeStage": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -141,7 +141,7 @@ def test_each_file_is_ingested_once(spark, tmp_path):
 def test_stream_upsert_applies_corrections_and_ignores_repeats(spark, tmp_path):
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     schema = "period_key int, k string, v long"
-    target = BatchUpsert(spark, scratch_path(spark, "stream"), ["period_key", "k"], ["v"], blank_is_null=["k"])
+    target = BatchUpsert(spark, scratch_path(spark, "stream"), ["period_key", "k"], ["v"], blank_is_null=["k"], stream="s")
     for batch in ([(1, "a", 5), (2, None, 7)], [(1, "a", 6), (2, "", 8), (3, "n", 1)]):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(landing)
         each_batch(landed_stream(spark, landing, schema), target, checkpoint)
