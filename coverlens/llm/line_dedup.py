@@ -26,7 +26,7 @@ from coverlens.session import materialise
 
 EDITS = 2
 LEAST_CHARS = 20
-CROWD = 16
+CROWD = 32
 
 
 def _let(value: Column, body) -> Column:

@@ -13,6 +13,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -274,12 +275,30 @@ def score_blocks(net: Network, column: pa.Array) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.float32), *out]).astype(np.float64)
 
 
+def _fitted(sample: DataFrame) -> tuple[Network | None, float]:
+    """The network and the share of toxic labels; one task fits it, as the sample is bounded, and only the model leaves it."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("toxic", pa.int64())]))
+        truth = found.column("toxic").to_numpy().astype(np.float32)
+        net = train(_samples(found.column("text").to_pylist()), truth) if len(set(truth)) == 2 else None
+        model = pickle.dumps(net.p if net else None)
+        flat = float(truth.mean()) if len(truth) else 0.0
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary()), pa.array([flat])], names=["model", "flat"])
+
+    typed = sample.select("text", F.col("toxic").cast("long").alias("toxic"))
+    made = typed.coalesce(1).mapInArrow(fit, "model binary, flat double").collect()
+    parameters = pickle.loads(made[0]["model"]) if made else None
+    net = None
+    if parameters is not None:
+        net = Network()
+        net.p = parameters
+    return net, made[0]["flat"] if made else 0.0
+
+
 def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of each row of ``docs``; the model is fitted on ``labelled`` (doc_id, text) with ``labels`` (doc_id, toxic)."""
-    sample = training_sample(labelled, labels).toPandas()  # at most TRAIN_DOCS rows of TRAIN_CHARS
-    truth = sample["toxic"].to_numpy(dtype=np.float32)
-    net = train(_samples(sample["text"].tolist()), truth) if len(set(truth)) == 2 else None
-    flat = float(truth.mean()) if len(truth) else 0.0
+    net, flat = _fitted(training_sample(labelled, labels))
     held = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
