@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import LETTERS, words
+from coverlens.llm.sampling import thinning
 from coverlens.llm.wordfeatures import char_grams, distinct
 
 TRAIN_DOCS = 1000
@@ -80,7 +81,8 @@ class Model:
 
 def training_sample(labelled: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> DataFrame:
     """(text, lang): at most ``most`` texts of each language."""
-    usable = labelled.where(F.col("lang").isNotNull() & F.length("text").between(1, chars)).select("doc_id", "text", "lang")
+    marked = labelled.where(F.col("lang").isNotNull())
+    usable = marked.where(thinning(marked, "lang", most) & F.length("text").between(1, chars)).select("doc_id", "text", "lang")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     return usable.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).select("text", "lang")
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import ALPHANUMERIC, LETTERS, NOT_SPACE, blocks, mix, table, text_bytes, words
+from coverlens.llm.sampling import thinning
 
 LABELLED, UNLABELLED = 4000, 8000
 ROUNDS, EXCHANGED, CONFIDENT = 5, 200, 0.9
@@ -168,6 +169,7 @@ COLUMNS = ("doc_id", "text", "source", "lang", "n_chars")
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     marked = docs.where("doc_id is not null").select(*COLUMNS).join(known, "doc_id", "left").withColumn("marked", F.col("quality").isNotNull())
+    marked = marked.where(thinning(marked.select("doc_id", "marked"), "marked", UNLABELLED))
     order = Window.partitionBy("marked").orderBy(F.xxhash64("doc_id"), "doc_id")
     ranked = marked.where(F.coalesce(F.length("text"), F.lit(0)) <= 20_000).withColumn("nth", F.row_number().over(order))
     return ranked.where(F.col("nth") <= F.when(F.col("marked"), LABELLED).otherwise(UNLABELLED))
