@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from coverlens.functions.periods import period_attributes
 from coverlens.operators import dedupe, dimensions, facts
 from coverlens.operators.grain import sum_to_grain
 from coverlens.operators.lookups import lookup_key
-from coverlens.sources.datasets import PublishedTable
+from coverlens.sources.datasets import Prepared, PublishedTable, publish
 
 CARRIER_TRACKED = ("legal_name", "kind", "seat_state")
 CARRIER_OTHERS = ("registration_no", "trade_name", "seat_locality", "registered_on")
@@ -110,18 +112,44 @@ class LoadCounts:
 
 
 class Warehouse:
-    """The published tables of the star below one root."""
+    """The published tables of the star below one root.
+
+    They share one log.  A load writes all its tables first and publishes them with
+    one record, so a load that fails leaves neither dimensions nor facts behind.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         facts_by_period = ("enrolment", "network", "state_summary")
         self.tables = {
-            name: PublishedTable(spark, f"{self.root}/{name}", "period_key" if name in facts_by_period else None)
+            name: PublishedTable(
+                spark, f"{self.root}/{name}", "period_key" if name in facts_by_period else None,
+                f"{self.root}/published", name,
+            )
             for name in SCHEMAS
-        }
+        }
+        self._written: dict[str, Prepared] | None = None
+
+    @contextmanager
+    def _one_load(self) -> Iterator[None]:
+        """Tables written inside are published together at the end, or not at all."""
+        self._written = {}
+        try:
+            yield
+            publish(list(self._written.values()))
+        finally:
+            self._written = None
+
+    def _write(self, name: str, rows: DataFrame, periods: list[int] | None = None) -> None:
+        self._written[name] = self.tables[name].prepare(rows, periods)
 
     def read(self, name: str, periods: list[int] | None = None) -> DataFrame:
-        """A table's published rows; empty with the right columns before the first load."""
+        """A table's published rows; empty with the right columns before the first load.
+
+        Within a load, a dimension it has written is read as written.
+        """
+        if self._written and name in self._written and self.tables[name].part_column is None:
+            return self.spark.read.parquet(self._written[name].target)
         found = self.tables[name].read(periods)
         if found is not None:
             return found
@@ -131,18 +159,19 @@ class Warehouse:
         return empty
 
     def load_carriers(self, carriers: DataFrame, effective: str, **options: bool) -> None:
-        loaded = dimensions.upsert_type2(
-            self.read("carrier"), carriers, "carrier_code", CARRIER_TRACKED, CARRIER_OTHERS, "carrier_sk",
-            effective, **options,
-        )
-        self.tables["carrier"].write(loaded)
+        with self._one_load():
+            loaded = dimensions.upsert_type2(
+                self.read("carrier"), carriers, "carrier_code", CARRIER_TRACKED, CARRIER_OTHERS, "carrier_sk",
+                effective, **options,
+            )
+            self._write("carrier", loaded)
 
     def _add_period(self, period: int) -> None:
         have = self.read("time")
         wanted = self.spark.createDataFrame([(period,)], "period_key int")
         new = time_members(wanted).join(have, "period_key", "left_anti")
         if not new.isEmpty():
-            self.tables["time"].write(have.unionByName(new))
+            self._write("time", have.unionByName(new))
 
     def _add_localities(self, batch: DataFrame, mode: str) -> None:
         members = locality_members(batch, layouts.states(self.spark))
@@ -150,49 +179,51 @@ class Warehouse:
         loaded = dimensions.upsert_type1(
             self.read("locality"), members, ["locality_code", "state"], attributes, "locality_sk", mode
         )
-        self.tables["locality"].write(loaded.select(*layouts.LOCALITY_COLUMNS))
+        self._write("locality", loaded.select(*layouts.LOCALITY_COLUMNS))
 
     def load_network(
         self, facilities: DataFrame, period: int, run_id: int, effective: str, dim_mode: str = "overwrite",
         fact_mode: str = "upsert",
     ) -> LoadCounts:
         """Types, localities, facility versions, then the network fact of the period."""
-        self._add_period(period)
-        self._add_localities(facilities, dim_mode)
-        types = dimensions.upsert_type1(
-            self.read("facility_type"), type_members(facilities), ["type_code"], ["type_label"], "facility_type_sk",
-            dim_mode,
-        )
-        self.tables["facility_type"].write(types)
-        resolved = resolve_facilities(facilities, self.read("facility_type"), self.read("locality"))
-        versions = dimensions.upsert_type2(
-            self.read("facility"), resolved, "facility_code", FACILITY_TRACKED, (), "facility_sk", effective
-        )
-        self.tables["facility"].write(versions)
-        staged = facts.network_members(self.read("facility"), facilities, "facility_code").select(
-            F.lit(period).alias("period_key"),
-            "facility_sk",
-            "facility_type_sk",
-            "locality_sk",
-            F.lit(1).cast("bigint").alias("facilities"),
-            F.lit(run_id).cast("bigint").alias("run_id"),
-        )
-        values = ["facility_type_sk", "locality_sk", "facilities", "run_id"]
-        return self._upsert("network", staged, period, ["period_key", "facility_sk"], values, (), fact_mode)
+        with self._one_load():
+            self._add_period(period)
+            self._add_localities(facilities, dim_mode)
+            types = dimensions.upsert_type1(
+                self.read("facility_type"), type_members(facilities), ["type_code"], ["type_label"], "facility_type_sk",
+                dim_mode,
+            )
+            self._write("facility_type", types)
+            resolved = resolve_facilities(facilities, self.read("facility_type"), self.read("locality"))
+            versions = dimensions.upsert_type2(
+                self.read("facility"), resolved, "facility_code", FACILITY_TRACKED, (), "facility_sk", effective
+            )
+            self._write("facility", versions)
+            staged = facts.network_members(self.read("facility"), facilities, "facility_code").select(
+                F.lit(period).alias("period_key"),
+                "facility_sk",
+                "facility_type_sk",
+                "locality_sk",
+                F.lit(1).cast("bigint").alias("facilities"),
+                F.lit(run_id).cast("bigint").alias("run_id"),
+            )
+            values = ["facility_type_sk", "locality_sk", "facilities", "run_id"]
+            return self._upsert("network", staged, period, ["period_key", "facility_sk"], values, (), fact_mode)
 
     def load_enrolment(
         self, enrolment: DataFrame, period: int, run_id: int, dim_mode: str = "overwrite", fact_mode: str = "upsert"
     ) -> LoadCounts:
         """Localities, keys, second sum, then the enrolment fact of the period."""
-        self._add_period(period)
-        self._add_localities(enrolment, dim_mode)
-        staged = resolve_enrolment(enrolment, self.read("carrier"), self.read("locality")).withColumn(
-            "run_id", F.lit(run_id).cast("bigint")
-        )
-        values = [*layouts.MEASURES, "run_id"]
-        return self._upsert(
-            "enrolment", staged, period, layouts.ENROLMENT_FACT_GRAIN, values, layouts.BLANK_IS_NULL, fact_mode
-        )
+        with self._one_load():
+            self._add_period(period)
+            self._add_localities(enrolment, dim_mode)
+            staged = resolve_enrolment(enrolment, self.read("carrier"), self.read("locality")).withColumn(
+                "run_id", F.lit(run_id).cast("bigint")
+            )
+            values = [*layouts.MEASURES, "run_id"]
+            return self._upsert(
+                "enrolment", staged, period, layouts.ENROLMENT_FACT_GRAIN, values, layouts.BLANK_IS_NULL, fact_mode
+            )
 
     def _upsert(self, name, staged, period, grain, values, blank_is_null, mode) -> LoadCounts:
         """Merge one period, write it once, check the counters, publish.
@@ -210,7 +241,7 @@ class Warehouse:
         expected = staged.count()
         if done.updated + done.inserted != expected:
             raise LoadMismatch(f"{name}: {expected} rows staged, {done.updated} updated + {done.inserted} inserted")
-        self.tables[name].write(merged.drop("_action"), [period])
+        self._write(name, merged.drop("_action"), [period])
         return done
 
     def load_state_summary(self, period: int, facility_agg: str = "sum") -> None:
@@ -219,7 +250,8 @@ class Warehouse:
 
         star = Star(self.read("enrolment", [period]), self.read("network", [period]), self.read("locality"))
         rows = state_summary(star, facility_agg, [period])
-        self.tables["state_summary"].write(rows, [period])
+        with self._one_load():
+            self._write("state_summary", rows, [period])
 
     def star(self, runs: DataFrame | None = None, rules: DataFrame | None = None):
         from coverlens.plans.star import Star

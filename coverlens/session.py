@@ -37,8 +37,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a local one is made,
-    once per session.
+    Only where the session names none and runs on one machine (tests) a local one is
+    made, once per session; a cluster without one is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -46,6 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("spark.coverlens.scratch", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="coverlens-")
         spark.conf.set("spark.coverlens.scratch", folder)
     return folder

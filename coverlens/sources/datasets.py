@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,28 +55,42 @@ def read_period(spark: SparkSession, path: str, period: int, period_column: str
     return rows
 
 
-LOG_SCHEMA = "part string, version long, filled boolean, note string, folder string"
+LOG_SCHEMA = "table string, part string, version long, filled boolean, note string, folder string"
 
 
 class ConcurrentLoad(RuntimeError):
     """Another load was published while this one was written."""
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A written version of a table that no reader sees yet."""
+
+    table: PublishedTable
+    seen: int
+    target: str
+    lines: list[tuple[str, str, int, bool, str | None, str]]
+
+
 class PublishedTable:
     """A table whose readers see whole loads only.
 
     A load writes new files beside the old ones and then appends one line per
     written part to a log; readers take the newest line of each part.  A load that
     dies half way has published nothing, and a rerun publishes again.  The log has
-    one line per part and load, never per row.
+    one line per part and load, never per row.  Tables that are loaded together
+    share a log (``log``, with a ``name`` for each) and are published together.
     """
 
-    def __init__(self, spark: SparkSession, root: str, part_column: str | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, part_column: str | None = None, log: str | None = None, name: str = ""
+    ):
         self.spark, self.root, self.part_column = spark, root.rstrip("/"), part_column
+        self.log, self.name = log or f"{self.root}/published", name
 
     def _log(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/published")
+            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log).where(F.col("table") == self.name)
         except AnalysisException as problem:
             if problem.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -88,6 +103,9 @@ class PublishedTable:
         newest = log.groupBy("part").agg(F.max(F.struct("version", "filled", "folder")).alias("v"))
         return {r["part"]: (r["v"]["version"], r["v"]["filled"], r["v"]["folder"]) for r in newest.collect()}
 
+    def last_version(self) -> int:
+        return max((v for v, *_ in self._newest().values()), default=0)
+
     def exists(self) -> bool:
         return bool(self._newest())
 
@@ -109,12 +127,18 @@ class PublishedTable:
         return log is not None and not log.where(F.col("note") == note).isEmpty()
 
     def write(self, df: DataFrame, parts: Sequence[int | str] | None = None, note: str | None = None) -> int:
-        """Write the frame as a new version and publish it.
+        """Write the frame as a new version and publish it; see ``prepare``."""
+        prepared = self.prepare(df, parts, note)
+        publish([prepared])
+        return prepared.seen + 1
+
+    def prepare(self, df: DataFrame, parts: Sequence[int | str] | None = None, note: str | None = None) -> Prepared:
+        """Write the frame as a new version that ``publish`` makes visible.
 
         A partitioned table needs the names of the parts this load replaces; one
         without rows is published as empty.
         """
-        seen = max((v for v, *_ in self._newest().values()), default=0)
+        seen = self.last_version()
         version = seen + 1
         # A folder of its own: another writer's files are never touched.
         folder = f"{version}-{uuid.uuid4().hex}"
@@ -123,19 +147,30 @@ class PublishedTable:
         writer = placed.write.mode("errorifexists")
         if self.part_column is None:
             writer.parquet(target)
-            lines = [("all", version, True, note, folder)]
+            filled = {"all": True}
         else:
             if parts is None:
                 raise ValueError("name the parts this load replaces")
             writer.partitionBy(self.part_column).parquet(target)
             found = self.spark.read.schema(df.schema).parquet(target).select(self.part_column).distinct().collect()
             present = {str(r[0]) for r in found}
-            lines = [(str(p), version, str(p) in present, note, folder) for p in parts]
-        if max((v for v, *_ in self._newest().values()), default=0) != seen:
-            raise ConcurrentLoad(f"another load was published at {self.root} meanwhile; run this one again")
-        log = self.spark.createDataFrame(lines, LOG_SCHEMA)
-        log.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
-        return version
+            filled = {str(p): str(p) in present for p in parts}
+        lines = [(self.name, part, version, has_rows, note, folder) for part, has_rows in filled.items()]
+        return Prepared(self, seen, target, lines)
+
+
+def publish(load: Sequence[Prepared]) -> None:
+    """Make all tables of a load visible at once: their lines are one file of their common log."""
+    if not load:
+        return
+    first = load[0].table
+    if {p.table.log for p in load} != {first.log}:
+        raise ValueError("tables published together share one log")
+    for prepared in load:
+        if prepared.table.last_version() != prepared.seen:
+            raise ConcurrentLoad(f"another load was published at {prepared.table.root} meanwhile; run this one again")
+    lines = first.spark.createDataFrame([line for p in load for line in p.lines], LOG_SCHEMA)
+    lines.coalesce(1).write.mode("append").parquet(first.log)
 
 
 def reject_records(

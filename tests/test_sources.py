@@ -150,3 +150,29 @@ def test_stream_upsert_applies_corrections_and_ignores_repeats(spark, tmp_path):
     # The same batch number again, as after a failure between merge and commit.
     target(spark.createDataFrame([(1, "a", 100)], schema), 1)
     assert {tuple(r) for r in target.result().select("period_key", "k", "v").collect()} == wanted
+
+
+def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
+    from coverlens.operators import facts
+    from coverlens.plans.loading import Warehouse
+
+    house = Warehouse(spark, str(tmp_path / "house"))
+    batch = spark.createDataFrame(
+        [("A1", "100", "SP", "Town", "F", "20", "T", "S", 3, 1, 0, 202401)],
+        "carrier_code string, locality_code string, state string, locality_name string, sex string, age_band string, "
+        "tie_type string, segment string, active long, joined long, cancelled long, "
+        "period_key int",
+    )
+
+    def broken(*_args, **_kwargs):
+        raise RuntimeError("fact step")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(facts, "upsert_fact", broken)
+        with pytest.raises(RuntimeError, match="fact step"):
+            house.load_enrolment(batch, 202401, 1)
+    assert not any(table.exists() for table in house.tables.values())
+    assert house.load_enrolment(batch, 202401, 2).inserted == 1
+    assert {name for name, table in house.tables.items() if table.exists()} == {"time", "locality", "enrolment"}
+    log = spark.read.parquet(str(tmp_path / "house" / "published"))
+    assert log.count() == 3
