@@ -11,7 +11,8 @@ one.  Repeats are dropped, the rest of the text stays as it is; shorter lines ar
 * A segment that more than ``CROWD`` lines of a length share is not joined: its lines are split again at the longest part
   that is still open, until fewer share all parts matched so far.  Lines that agree in everything that can be
   matched are within the threshold, so the first of them stands for all.  No group is turned into all its pairs.
-* Pairs are verified by bit-parallel edit distance over a band of ``2 * edits + 1`` diagonals: one step a character.
+* Pairs are verified by bit-parallel edit distance over a band of ``2 * edits + 1`` diagonals: one step a character, after equal
+  beginnings and ends, which do not change the distance, are taken off.
 
 Null texts stay null and have no lines; empty texts have one empty line.  Ties cannot occur within a document; repeated rows of one id are
 one place, so they keep the same lines.  Other columns are left alone.
@@ -80,11 +81,28 @@ def band_distance(a: Column, b: Column, edits: int) -> Column:
         start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(edits).alias("score"))
         return F.aggregate(F.transform(y, matches), start, step, lambda s: s["score"])
 
+    def same(x: Column, y: Column) -> Column:
+        """How many characters two texts begin with alike."""
+        differs = F.array_position(F.zip_with(x, y, lambda c, d: c.eqNullSafe(d)), False).cast("int")
+        return F.when(differs == 0, F.size(y)).otherwise(differs - 1)
+
+    def trimmed(x: Column, y: Column) -> Column:
+        """The walk over what is left of both texts, at least a band's width of the shorter."""
+        most = F.greatest(F.size(y) - width, F.lit(0))
+        ends = F.struct(F.least(same(x, y), most).alias("head"), F.least(same(F.reverse(x), F.reverse(y)), most).alias("tail"))
+
+        def inner(e: Column) -> Column:
+            cut = e["head"] + F.least(e["tail"], most - e["head"])
+            rest = [F.slice(t, e["head"] + 1, F.size(t) - cut).alias(n) for t, n in ((x, "x"), (y, "y"))]
+            return _let(F.struct(*rest), lambda p: walk(p["x"], p["y"]))
+
+        return _let(ends, inner)
+
     chars = lambda t: F.split(t, "")
     near = F.length(long) - F.length(short) <= edits
     # Texts no longer than the band are compared in a band of their own length.
     tiny = F.levenshtein(a, b)
-    banded = _let(F.struct(chars(long).alias("x"), chars(short).alias("y")), lambda p: walk(p["x"], p["y"]))
+    banded = _let(F.struct(chars(long).alias("x"), chars(short).alias("y")), lambda p: trimmed(p["x"], p["y"]))
     return F.when(~near, edits + 1).when(F.length(short) <= edits, tiny).otherwise(banded)
 
 
@@ -119,23 +137,29 @@ _PARTS = "array<struct<text:string,target:int,budget:int>>"
 _WAYS = f"array<struct<i:int,part:string,unshifted:boolean,rest:{_PARTS}>>"
 
 
+def _share(i: int, target: Column, edits: int) -> Column:
+    return F.floor(F.lit(i) * target / (edits + 1)).cast("int")
+
+
 def _first_keys(lines: DataFrame, edits: int, own_only: bool) -> DataFrame:
     """(key, id) of each line's segments: of its own cut, or also of all substrings that the cuts of shorter lengths ask for.
 
-    The ways are the same for all lines, so they are written out one by one and compiled.
+    The ways are the same for all lines, so they are written out one by one and compiled; ``lines`` come with their ``length``.
     """
-    length, keys = F.length("line"), []
+    length, keys = F.col("length"), []
     for extra in range(1 if own_only else edits + 1):
         target = length - extra
         for i in range(edits + 1):
-            begin = F.floor(F.lit(i) * target / (edits + 1)).cast("int")
-            size = F.floor(F.lit(i + 1) * target / (edits + 1)).cast("int") - begin
+            begin = _share(i, target, edits)
+            size = _share(i + 1, target, edits) - begin
             for shift in range(max(-i, extra - edits + i), min(i, extra + edits - i) + 1):
                 if own_only and shift:
                     continue
                 key = F.xxhash64(target, F.lit(i), F.substring("line", begin + shift + 1, size))
                 keys.append(F.when(target >= LEAST_CHARS, key) if extra else key)
-    return lines.select("id", F.explode(F.array(*keys)).alias("key")).where(F.col("key").isNotNull())
+    # As columns first: as operands of the generator they would make one method too long to be compiled.
+    named = lines.select("id", *[key.alias(f"key{n}") for n, key in enumerate(keys)])
+    return named.select("id", F.explode(F.array(*named.columns[1:])).alias("key")).where(F.col("key").isNotNull())
 
 
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -222,8 +246,9 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         F.min(F.struct("doc_id", "line_no", "line")).alias("first"), F.count("*").alias("n")
     )
     lines = lines.select("h", "g", "n", "first.doc_id", "first.line_no", "first.line", F.monotonically_increasing_id().alias("id"))
+    lines = lines.withColumn("length", F.length("line"))
     lines = materialise(lines, "lines")
-    pairs = materialise(_candidates(lines.select("id", "line"), edits), "line-pairs")
+    pairs = materialise(_candidates(lines.select("id", "line", "length"), edits), "line-pairs")
     place = F.struct("doc_id", "line_no")
     one = lines.select(F.col("id").alias("a"), F.col("line").alias("la"), place.alias("pa"))
     two = lines.select(F.col("id").alias("b"), F.col("line").alias("lb"), place.alias("pb"))
