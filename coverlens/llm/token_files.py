@@ -1,8 +1,9 @@
 """Token ids as flat binary files.
 
-A dataset is a folder of ``NNNNN.bin`` (unsigned 32-bit little-endian ids, one document after another, each closed by an
-end id), ``NNNNN.idx`` (64-bit document offsets within its .bin, one more than documents) and a manifest table of one row
-per file with its number of documents and ids and its base: how many ids the files before it hold.  Documents stand in
+A dataset is a folder of ``NNNNN.bin`` (unsigned little-endian ids, one document after another, each closed by an end id;
+16 bits wide if every id of the vocabulary and the end id fit, else 32), ``NNNNN.idx`` (64-bit document offsets within its .bin,
+counted in ids, one more than documents) and a manifest table of one row per file with its number of documents and ids, the
+bytes of an id (``width``) and its base: how many ids the files before it hold.  Documents stand in
 ascending ``doc_id`` order over all files; a document's global offset is its file's base plus its local one, so no pass
 over ids is needed to place a file.
 
@@ -30,13 +31,19 @@ from coverlens.session import materialise, scratch_path
 OFFSET = np.dtype("<i8")
 
 
+def narrowest(largest: int) -> np.dtype:
+    """The unsigned type of a file whose ids go up to ``largest``."""
+    return np.dtype("<u2") if largest <= np.iinfo("<u2").max else ID
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, partitions: int | None = None) -> DataFrame:
-    """Write ``docs`` (doc_id, text) to ``folder`` and return the manifest: part, n_docs, n_tokens, base."""
-    end = np.array([end_id], dtype=ID).tobytes()
+    """Write ``docs`` (doc_id, text) to ``folder`` and return the manifest: part, n_docs, n_tokens, width, base."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encode, flat, offsets, ids = encoder(tokenizer).encode, None, [0], [np.zeros(0, OFFSET)]
+        kind = narrowest(max(encoder(tokenizer).largest, end_id))
+        end = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             if flat is None:
                 flat = FlatFile(f"{folder}/{part:05d}.bin")
@@ -44,7 +51,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             ids.append(batch.column(0).to_numpy(zero_copy_only=False).astype(OFFSET))
             for a, b in groups(texts):
                 for found in encode(texts[a:b]):
-                    flat.write(found + end)
+                    flat.write(np.frombuffer(found, ID).astype(kind).tobytes() + end)
                     offsets.append(offsets[-1] + len(found) // ID.itemsize + 1)
         if flat is None:
             return
@@ -54,12 +61,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             beside.write(values.tobytes())
             beside.close()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part]), pa.array([len(offsets) - 1]), pa.array([offsets[-1]])], names=["part", "n_docs", "n_tokens"]
+            [pa.array([part]), pa.array([len(offsets) - 1]), pa.array([offsets[-1]]), pa.array([kind.itemsize], pa.int32())],
+            names=["part", "n_docs", "n_tokens", "width"],
         )
 
     ordered = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     dealt = ordered.repartitionByRange(partitions, "doc_id") if partitions else ordered.repartitionByRange("doc_id")
-    parts = dealt.sortWithinPartitions("doc_id").mapInArrow(write, "part long, n_docs long, n_tokens long")
+    parts = dealt.sortWithinPartitions("doc_id").mapInArrow(write, "part long, n_docs long, n_tokens long, width int")
     parts = materialise(parts, "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -70,8 +78,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for part, base in zip(frame["part"], frame["base"], strict=True):
-                ids = mapped(f"{folder}/{part:05d}.bin", ID)
+            for part, base, width in zip(frame["part"], frame["base"], frame["width"], strict=True):
+                ids = mapped(f"{folder}/{part:05d}.bin", np.dtype(f"<u{width}"))
                 at = mapped(f"{folder}/{part:05d}.idx", OFFSET)
                 names = mapped(f"{folder}/{part:05d}.ids", OFFSET)
                 for a in range(0, len(names), 10_000):
@@ -81,11 +89,11 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                             "doc_id": np.asarray(names[rows.start : rows.stop]),
                             "start": base + np.asarray(at[rows.start : rows.stop]),
                             "n_tokens": np.diff(at[rows.start : rows.stop + 1]),
-                            "ids_crc32": [zlib.crc32(ids[at[i] : at[i + 1]]) for i in rows],
+                            "ids_crc32": [zlib.crc32(ids[at[i] : at[i + 1]].astype(ID)) for i in rows],
                         }
                     )
 
-    dealt = manifest.select("part", "base").repartition(F.col("part"))
+    dealt = manifest.select("part", "base", "width").repartition(F.col("part"))
     return dealt.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

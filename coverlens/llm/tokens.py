@@ -29,6 +29,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.largest = max(self.library.get_vocab().values(), default=0)
         self.cache: dict[str, bytes] = {}
         #: Whether a piece's leading space is part of its tokens.
         self.spaced = self.whole(" a") != self.whole("a")

@@ -163,14 +163,15 @@ ODD_TEXTS = [
 ]
 
 
-def test_token_files_hold_the_library_s_ids(spark):
+@pytest.mark.parametrize("end", [0, 70_000])  # 16 and 32 bits wide
+def test_token_files_hold_the_library_s_ids(spark, end):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
     docs = spark.createDataFrame([(7 * i % 101, t) for i, t in enumerate(ODD_TEXTS)], "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r for r in token_digest(docs, path).collect()}
+    got = {r["doc_id"]: r for r in token_digest(docs, path, end).collect()}
     at = 0
     for doc, text in sorted((7 * i % 101, t) for i, t in enumerate(ODD_TEXTS)):
-        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
         assert (got[doc]["start"], got[doc]["n_tokens"], got[doc]["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes())), text
         at += len(ids)
     assert token_digest(docs.limit(0), path).count() == 0
