@@ -9,8 +9,10 @@ one.  Repeats are dropped, the rest of the text stays as it is; shorter lines ar
   of segment ``i`` and the others to its right.  Lines are indexed by their segments, and probe the indexes of their own and the next shorter
   lengths with the substrings that this rule leaves.
 * A segment that more than ``CROWD`` lines of a length share is not joined: its lines are split again at the longest part
-  that is still open, until fewer share all parts matched so far.  Lines that agree in everything that can be
-  matched are within the threshold, so the first of them stands for all.  No group is turned into all its pairs.
+  that is still open, until fewer share all parts matched so far.  A part no longer than its budget has no segment that must stay:
+  whatever stands in its place is within the budget, unless it is longer than the budget; then one character at least is matched, and
+  the first such is the next key.  Lines that agree in everything that can be matched are within the threshold, so each is
+  compared with the one that stands earliest.  No group is turned into all its pairs.
 * Pairs are verified by bit-parallel edit distance over a band of ``2 * edits + 1`` diagonals: one step a character, after equal
   beginnings and ends, which do not change the distance, are taken off.
 
@@ -107,7 +109,7 @@ def band_distance(a: Column, b: Column, edits: int) -> Column:
 
 
 def _splits(text: Column, target: Column, budget: Column) -> Column:
-    """Ways in which ``text`` can hold a segment of a text of length ``target`` within ``budget`` edits."""
+    """Ways in which ``text`` can hold a segment of a text of length ``target`` within ``budget`` edits; ``target`` is more than ``budget``."""
     extra = F.length(text) - target
 
     def segment(i: Column) -> Column:
@@ -133,6 +135,29 @@ def _splits(text: Column, target: Column, budget: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), budget), segment))
 
 
+def _loose(text: Column, target: Column, budget: Column, own: Column) -> Column:
+    """As ``_splits`` for a ``target`` of 1 to ``budget``.
+
+    A text no longer than the budget needs nothing in common with the other.  A longer one has a first character in common:
+    the ``j``-th of the target at ``p``, which costs the longer of what stands before.  Index lines give each of theirs with all costs.
+    """
+    longer = F.length(text) > budget
+
+    def at(j: Column, p: Column, cost: Column, unshifted: Column) -> Column:
+        rest = F.struct(F.substring(text, p + 2, F.length(text)).alias("text"), (target - j - 1).alias("target"), (budget - cost).alias("budget"))
+        return F.struct((-(j * (budget + 1) + cost) - 2).alias("i"), F.substring(text, p + 1, F.lit(1)).alias("part"), unshifted.alias("unshifted"), F.array(rest).alias("rest"))
+
+    places = F.sequence(F.lit(0), target - 1)
+    nothing = F.array().cast(_WAYS)
+    free = F.array(F.struct(F.lit(-1).alias("i"), F.lit("").alias("part"), (F.length(text) == target).alias("unshifted"), F.array().cast(_PARTS).alias("rest")))
+    index = F.flatten(F.transform(places, lambda j: F.transform(F.sequence(j, budget), lambda cost: at(j, j, cost, F.lit(True)))))
+    probe = F.flatten(
+        F.transform(places, lambda j: F.transform(F.sequence(F.lit(0), F.least(budget, F.length(text) - 1)), lambda p: at(j, p, F.greatest(j, p), F.lit(False))))
+    )
+    fits = F.filter(probe, lambda w: F.abs(F.length(w["rest"][0]["text"]) - w["rest"][0]["target"]) <= w["rest"][0]["budget"])
+    return F.when(longer, fits).otherwise(F.concat(free, F.when(own, index).otherwise(nothing)))
+
+
 _PARTS = "array<struct<text:string,target:int,budget:int>>"
 _WAYS = f"array<struct<i:int,part:string,unshifted:boolean,rest:{_PARTS}>>"
 
@@ -165,10 +190,11 @@ def _first_keys(lines: DataFrame, edits: int, own_only: bool) -> DataFrame:
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
     """As all of ``_first_keys``, with whether each is of the line's own cut and the parts it leaves open."""
     targets = F.filter(F.sequence(F.length("line") - edits, F.length("line")), lambda t: t >= LEAST_CHARS)
-    each = lines.select("id", "line", F.explode(targets).alias("target"))
-    ways = each.select("id", "line", "target", F.explode(_splits(F.col("line"), F.col("target"), F.lit(edits))).alias("w"))
+    each = lines.select("id", "place", "line", F.explode(targets).alias("target"))
+    ways = each.select("id", "place", "line", "target", F.explode(_splits(F.col("line"), F.col("target"), F.lit(edits))).alias("w"))
     own = (F.col("target") == F.length("line")) & F.col("w.unshifted")
-    return ways.select(F.xxhash64("target", "w.i", "w.part").alias("key"), "id", own.alias("own"), F.col("w.rest").alias("rest"))
+    key = F.xxhash64("target", "w.i", "w.part").alias("key")
+    return ways.select(key, "id", "place", own.alias("own"), F.lit(False).alias("loose"), F.col("w.rest").alias("rest"))
 
 
 def _pairs(index: DataFrame, probes: DataFrame) -> DataFrame:
@@ -183,16 +209,19 @@ def _split_again(crowd: DataFrame) -> DataFrame:
     closed = F.transform(F.filter("rest", lambda p: p["budget"] == 0), lambda p: F.struct(p["target"], p["text"]))
     longest = F.array_max(F.transform(open_, lambda p: p["target"]))
     chosen = F.array_position(F.transform(open_, lambda p: p["target"]), longest).cast("int")
-    state = crowd.select("id", "own", F.xxhash64("key", closed).alias("key"), open_.alias("rest"), chosen.alias("n"))
+    state = crowd.select("id", "place", "own", "loose", F.xxhash64("key", closed).alias("key"), open_.alias("rest"), chosen.alias("n"))
     part = F.get("rest", F.col("n") - 1)
     others = F.filter("rest", lambda p, i: i != F.col("n") - 1)
-    way = state.where("n > 0").select(
-        "id", "own", "key", others.alias("others"), F.explode(_splits(part["text"], part["target"], part["budget"])).alias("w")
+    splits = F.when(part["target"] > part["budget"], _splits(part["text"], part["target"], part["budget"])).otherwise(
+        _loose(part["text"], part["target"], part["budget"], F.col("own"))
     )
+    way = state.where("n > 0").select("id", "place", "own", "loose", "key", others.alias("others"), F.explode(splits).alias("w"))
     return way.select(
         F.xxhash64("key", "w.i", "w.part").alias("key"),
         "id",
+        "place",
         (F.col("own") & F.col("w.unshifted")).alias("own"),
+        (F.col("loose") | (F.col("w.i") < -1)).alias("loose"),
         F.concat("others", "w.rest").alias("rest"),
     )
 
@@ -202,15 +231,17 @@ def _is_open() -> Column:
 
 
 def _firsts(crowd: DataFrame) -> DataFrame:
-    """Pairs of lines whose parts are all matched with the first of their key: as many pairs as lines."""
+    """Pairs of lines whose parts are all matched with the earliest of their key: at most two a line."""
     closed = F.transform("rest", lambda p: F.struct(p["budget"] > 0, p["target"], F.when(p["budget"] == 0, p["text"])))
-    done = crowd.where(~_is_open()).select(F.xxhash64("key", closed).alias("key"), "id", "own")
-    ids = done.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("index"), F.min("id").alias("any"))
-    pairs = done.join(ids, "key").select("id", F.explode(F.array("index", F.when(F.col("own"), F.col("any")))).alias("first"))
+    done = crowd.where(~_is_open()).select(F.xxhash64("key", closed).alias("key"), "id", "place", "own")
+    first = F.struct("place", "id")
+    ids = done.groupBy("key").agg(F.min(F.when(F.col("own"), first)).alias("index"), F.min(first).alias("any"))
+    pairs = done.join(ids, "key").select("id", F.explode(F.array("index.id", F.when(F.col("own"), F.col("any.id")))).alias("first"))
     return pairs.where("first <> id").select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b"))
 
 
 def _candidates(lines: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b) that may be within the threshold, of ``lines`` (id, place, line, length)."""
     index, probes = _first_keys(lines, edits, True), _first_keys(lines, edits, False)
     crowded = materialise(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "line-crowds")
     found = [_pairs(index.select("key", "id").join(crowded, "key", "left_anti"), probes)]
@@ -220,8 +251,12 @@ def _candidates(lines: DataFrame, edits: int) -> DataFrame:
     while crowd.limit(1).count():
         found.append(_firsts(crowd))
         state = materialise(_split_again(crowd.where(_is_open())), "line-crowd")
-        counts = state.groupBy("key").agg(F.count(F.when(F.col("own"), 1)).alias("n"), F.count("*").alias("all"))
-        counts = materialise(counts.where((F.col("n") > 0) & (F.col("all") > 1)), "line-crowds")
+        counts = state.groupBy("key").agg(
+            F.count(F.when(F.col("own"), 1)).alias("n"), F.count("*").alias("all"), F.bool_or("loose").alias("loose")
+        )
+        # Index lines of a loose part already meet where nothing is asked in common.
+        meets = (F.col("n") > 0) & (F.col("all") > F.when(F.col("loose"), F.col("n")).otherwise(1))
+        counts = materialise(counts.where(meets), "line-crowds")
         few = state.join(counts.where(F.col("n") <= CROWD).select("key"), "key", "left_semi")
         found.append(_pairs(few.where("own"), few))
         crowd = materialise(state.join(counts.where(F.col("n") > CROWD).select("key"), "key", "left_semi"), "line-crowd")
@@ -248,12 +283,12 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     lines = lines.select("h", "g", "n", "first.doc_id", "first.line_no", "first.line", F.monotonically_increasing_id().alias("id"))
     lines = lines.withColumn("length", F.length("line"))
     lines = materialise(lines, "lines")
-    pairs = materialise(_candidates(lines.select("id", "line", "length"), edits), "line-pairs")
     place = F.struct("doc_id", "line_no")
+    pairs = materialise(_candidates(lines.select("id", place.alias("place"), "line", "length"), edits), "line-pairs")
     one = lines.select(F.col("id").alias("a"), F.col("line").alias("la"), place.alias("pa"))
     two = lines.select(F.col("id").alias("b"), F.col("line").alias("lb"), place.alias("pb"))
     measured = pairs.join(one, "a").join(two, "b").select(
-        F.when(F.col("pa") < F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("id"),
+        F.when(F.col("pa") <= F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("id"),
         band_distance(F.col("la"), F.col("lb"), edits).alias("distance"),
     )
     # Written before it is filtered: the optimiser would work the long expression into its constraints.

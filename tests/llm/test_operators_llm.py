@@ -157,6 +157,35 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, crowd):
             assert got[i]["text"] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in wanted[i])
 
 
+def _late_lines(lines: list[str]) -> set[int]:
+    return {i for i, x in enumerate(lines) if any(_distance(x, y) <= line_dedup.EDITS for y in lines[:i])}
+
+
+@pytest.mark.parametrize("kind", ["numbered", "short parts"])
+def test_line_dedup_ends_on_crowds_of_lines_that_differ_in_few_neighbouring_characters(spark, monkeypatch, kind):
+    rounds, written = [], line_dedup.materialise
+
+    def counted(frame, label):
+        rounds.append(label)
+        assert len(rounds) < 60, "the crowd loop does not end"
+        return written(frame, label)
+
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    if kind == "numbered":
+        lines = [f"the same long running head, page {i:02}" for i in range(100)]
+    else:  # also of other lengths, in few and many differing characters
+        monkeypatch.setattr(line_dedup, "CROWD", 3)
+        draw = random.Random(12)
+        head, tail = "abcdefghijklmnopqrst", "ABCDEFGHIJKLMNOPQRST"
+        mid = lambda: "".join(draw.choice("uvwxyz") for _ in range(draw.randrange(7)))
+        lines = list(dict.fromkeys(head[: 20 - draw.randrange(2)] + mid() + tail[draw.randrange(2) :] for _ in range(160)))
+    docs = spark.createDataFrame([(i * 37 % 1009, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(3)
+    ordered = sorted((i * 37 % 1009, x) for i, x in enumerate(lines))
+    late = _late_lines([x for _, x in ordered])
+    got = {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert got == {ordered[i][0] for i in late}
+
+
 ODD_TEXTS = [
     None, "", " ", "Hello, world!", "a  b\t c\n\nd", "\n", " lead", "trail ", "don't it's 12 345", "<|endoftext|> x",
     "naïve café – ok…", "tab\tand\x1cseparator", "word " * 3000, "x" * 9000, "Hello, world!",
