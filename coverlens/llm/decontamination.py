@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, a bound on words, then Smith-Waterman alignment.
 
 Test items and texts are words of letters and digits, lower-cased.  Every run of ``SEED`` words of an item is a seed (shorter items: all their
-words).  One pass over all texts counts in how many each seed occurs; a seed is rare if that is at most ``RARE`` of the texts, and the rarer half of an
-item's seeds always counts, so a passage that leaked into very many texts is still found.  A second pass finds rare seeds in the
-texts, joins the passages around them to their items and aligns both word by word (local alignment, match 2, mismatch and gap -1), so edited copies
-score too.  The score is the best alignment's share of the item's own; ``LEAST`` or more is a leak.
+words), however common it is.  One pass finds seeds in the texts and joins the passages around them to their items.  A passage that holds too few of
+the item's words to reach the threshold is passed over (the alignment cannot score more than its equal words); the others are aligned word by word (local
+alignment, match 2, mismatch and gap -1), so edited copies score too.  The score is the best alignment's share of the item's own; ``LEAST`` or more is a
+leak.  No frequency decides, so neither the number of texts nor how often an item leaked changes what is found.  A copy of which no ``SEED`` words in a
+row are left (an item of less than ``SEED`` words: not all of them) is not found.
 
 Items are processed in blocks of about ``BLOCK_CHARS`` characters: a block's seeds and words are what a task is sent, however large the benchmark; texts
-are read twice a block.  Nothing is shuffled but counts by seed.  Null and empty texts and items match nothing.  Repeated items each report;
+are read once a block.  Nothing is shuffled.  Null and empty texts and items match nothing.  Repeated items each report;
 repeated rows each get their rows.  Very long texts are searched whole.  Other columns are ignored.
 """
 
@@ -26,7 +27,6 @@ from coverlens.llm.bytehash import ALPHANUMERIC, grams, words
 from coverlens.session import materialise
 
 SEED = 4
-RARE = 0.001
 LEAST = 0.6
 BLOCK_CHARS = 4_000_000
 MATCH, OTHER, GAP = 2, -1, -1
@@ -56,13 +56,6 @@ class Seeds:
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def only(self, rare: np.ndarray) -> None:
-        keep = np.isin(self.hash, rare)
-        self.hash, self.item, self.at = self.hash[keep], self.item[keep], self.at[keep]
-        self.keys = np.unique(self.hash)
-        self.filter[:] = False
-        self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-
     def hits(self, block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, word position and key of every seed in a block of texts."""
         rows, places, keys = [], [], []
@@ -120,41 +113,20 @@ def _leaks(seeds: Seeds, block, least: float) -> Iterator[tuple[int, int, float,
             if c <= b and d - a <= 8 * len(seeds.items[item]) + 64:
                 b = max(b, d)
                 continue
-            found, x, y = align(seeds.items[item], block.hash[a:b])
-            share = found / (MATCH * len(seeds.items[item]))
-            if share > best[0]:
-                best = (share, a + x - int(bounds[row]), a + y - int(bounds[row]))
+            words_, passage = seeds.items[item], block.hash[a:b]
+            if np.isin(words_, passage).sum() / len(words_) >= least:  # else no alignment can reach the threshold
+                found, x, y = align(words_, passage)
+                share = found / (MATCH * len(words_))
+                if share > best[0]:
+                    best = (share, a + x - int(bounds[row]), a + y - int(bounds[row]))
             a, b = c, d
-        if best[0] >= least:
+        if best[0] >= least and best[0] > 0:
             yield row, item, *best
 
 
-def _block(docs: DataFrame, items: list[tuple[int, str]], texts: int, least: float) -> DataFrame:
-    spark = docs.sparkSession
-    seeds = Seeds(items)
-    held = spark.sparkContext.broadcast(seeds)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(len(held.value.keys), np.int64)
-        for batch in batches:
-            for block in words(batch.column(1), ALPHANUMERIC):
-                rows, _, keys = held.value.hits(block)
-                pairs = np.unique(rows * max(len(seen), 1) + keys)
-                seen += np.bincount(pairs % max(len(seen), 1), minlength=len(seen))[: len(seen)]
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(seen[some])], names=["key", "n"])
-
+def _block(docs: DataFrame, items: list[tuple[int, str]], least: float) -> DataFrame:
     chosen = docs.select(F.col("doc_id").cast("long"), "text")
-    counted = chosen.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()  # a row per seed
-    frequency = np.zeros(len(seeds.keys), np.int64)
-    frequency[counted["key"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
-    of_seed = frequency[np.searchsorted(seeds.keys, seeds.hash)]
-    rare = of_seed <= RARE * texts
-    for item in range(len(seeds.items)):
-        own = np.flatnonzero(seeds.item == item)
-        rare[own[np.argsort(of_seed[own], kind="stable")[: (len(own) + 1) // 2]]] = True
-    seeds.only(seeds.hash[rare])
-    kept = spark.sparkContext.broadcast(seeds)
+    kept = docs.sparkSession.sparkContext.broadcast(Seeds(items))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,10 +146,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFr
     items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long"), "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = -(-chars // BLOCK_CHARS)
-    texts = docs.count()
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1))))
     parts = [
-        _block(docs, [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == b).orderBy("item_id", "text").collect()], texts, least)
+        _block(docs, [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == b).orderBy("item_id", "text").collect()], least)
         for b in range(blocks)
     ]
     if not parts:

@@ -296,6 +296,18 @@ def test_leaks_finds_whole_and_edited_items_only(spark):
     assert decontamination.leaks(docs, tests.limit(0)).count() == 0 and decontamination.leaks(docs.limit(0), tests).count() == 0
 
 
+@pytest.mark.parametrize("texts", [300, 2500])  # below and above 1000
+def test_leaks_finds_edited_copies_that_stand_in_many_texts(spark, texts):
+    item = [f"q{i}" for i in range(40)]
+    copies = {n: [w if k % n != n - 1 else f"other{k}" for k, w in enumerate(item)] for n in (5, 6, 7)}
+    rows = [(i, " ".join([f"a{i}", *copies[5 + i % 3], f"z{i}"]) if i < texts // 2 else f"plain text number {i} of its own") for i in range(texts)]
+    rows.append((texts, " ".join(item)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, " ".join(item)), (2, "plain text number 7 zz yy xx ww vv")], "item_id long, text string")
+    got = [(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, tests).collect()]
+    assert sorted(got) == [(i, 1) for i in [*range(texts // 2), texts]]
+
+
 def test_alignment_equals_the_full_table():
     draw = random.Random(8)
     for _ in range(50):
