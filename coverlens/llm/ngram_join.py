@@ -10,7 +10,7 @@ integers, so no rounding) and gives each text the smallest id its links reach.
   among the rarest quarter of theirs.  Any two linked sets share such a shingle (prefix rule), so blocks lose
   nothing.  Rarity comes from one count over all texts.
 * Blocks come from one count by shingle.  A bit map of the shared ones keeps the rest from being shuffled again, and blocks of the same
-  members are one block.
+  members are one block (compared by sums of hashes, so repeated rows do not cancel).
 * Pairs of a block's members with a few hubs (its lowest and highest member and the one that stands in most blocks; then one outside
   that one's class) are bounded and verified first.  What these links join needs no more work, so a group of copies costs
   links in proportion to its size.  Blocks that
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import NOT_SPACE, shingles, words
@@ -132,6 +132,11 @@ def _prefixes(docs: DataFrame, shingle: int, rarity: Broadcast, shared: Broadcas
     return known.mapInArrow(rarest, "doc_id long, key long")
 
 
+def _total(seed: int) -> Column:
+    """Half of an order-free sum of hashes of ids; it tells repeated ids from absent ones, as a xor would not, and fits a long up to 2 ** 30 rows."""
+    return F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 31))
+
+
 def _bit_map(blocks: DataFrame) -> np.ndarray:
     """A bit for each block's key."""
     bit = F.col("key").bitwiseAND(F.lit(BITS - 1))
@@ -304,8 +309,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             F.count("*").alias("rows"),
             F.min("doc_id").alias("lo"),
             F.max("doc_id").alias("hi"),
-            F.bit_xor(F.xxhash64("doc_id")).alias("x"),
-            F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y"),
+            _total(0).alias("x"),
+            _total(1).alias("y"),
         )
         .where("rows > 1")
     )

@@ -106,6 +106,21 @@ def test_jaccard_components_equal_brute_force(spark):
     assert kept == {i for i in ids if find(i) == i}
 
 
+def test_jaccard_components_of_a_doubled_table_equal_those_of_the_table(spark):
+    line = [f"w{i}" for i in range(1, 9)]
+    texts = {1: line, 9: line, 5: line[:7], 7: line[1:]}
+    draw = random.Random(14)
+    for i in range(10, 90):  # near copies of a few lines
+        base = [f"b{i % 7}x{k}" for k in range(20)]
+        texts[i] = base[draw.randrange(3) : 20 - draw.randrange(3)]
+    rows = [(i, " ".join(t)) for i, t in texts.items()]
+    once, twice = (
+        {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(n * rows, "doc_id long, text string")).collect()}
+        for n in (1, 2)
+    )
+    assert [once[i] for i in (1, 5, 7, 9)] == [1, 1, 1, 1] and twice == once
+
+
 def test_rtree_pairs_are_those_of_the_bound():
     draw = np.random.default_rng(1)
     points = draw.integers(0, 4, (90, 16)).astype(np.int32)
