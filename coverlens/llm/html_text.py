@@ -2,10 +2,11 @@
 
 A page is read once into text blocks, each with the path of open elements from the root.  Per path the text's length and
 punctuation are added up over the page and set against the number of its nodes; the ratios are smoothed over blocks in page order with
-their neighbours, fused, and a path is kept if its fused ratio reaches a share of the page's highest.  What the markup says enters as a weight: none for elements that
+their neighbours, fused and weighted, and a path is kept if that reaches a share of the page's highest.  What the markup says enters as a weight: none for elements that
 are never article text by their meaning (navigation, forms, scripts, page headers and footers, and those whose class, id or role says
-menu, advert, notice, comments and the like); if the page marks its article (``article``, ``main``), ``INSIDE`` for paths within it,
-so that its headings and short lines pass, and none for others.
+menu, advert, notice, comments and the like); if the page marks its article (``article``, ``main``), ``INSIDE`` for paths within it and
+``OUTSIDE`` for others.  The ratio can overrule the mark: a path outside is kept from 0.8 of the highest ratio inside on, one
+inside goes below the share.  Headings inside a marked article are short by nature and count ``HEADING`` times.
 
 Null, empty and text-free pages give an empty text.  Broken markup is read as far as it goes: unclosed elements end with their
 parent, stray ends are passed over.  Nothing is cut; very long pages cost time in proportion.  Repeated rows give equal texts; other
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMOOTH = 0.25  # weight of each neighbour
-INSIDE = 1000.0  # weight of a path within a marked article
-SHARE = 0.08  # of the highest fused ratio, below which a path is no content
+INSIDE, OUTSIDE = 4.0, 0.4  # weights of a path within a marked article and beside it
+HEADING = 8.0  # further weight of a heading within one, not counted for the highest
+SHARE = 0.08  # of the highest weighted ratio, below which a path is no content
 
 # Element names of HTML by their meaning.
 RAW = frozenset("script style template noscript textarea title iframe svg math object select canvas xmp noframes".split())
@@ -43,6 +45,7 @@ SELF_CLOSING = {
 }
 FENCE = frozenset("ul ol dl table html body div section article main td th".split())
 ARTICLE = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # Words of class, id and role values that mark what is no article text.
 MARKS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo promoted menu nav navigation navbar breadcrumb breadcrumbs sidebar "
@@ -177,11 +180,14 @@ def main_text(page: str | None) -> str:
     found = text_blocks(page or "")
     if not found:
         return ""
-    ratios = fused_ratios(found)
-    least = SHARE * max(ratios)
     marked = any(inside for _, _, inside in found)
-    weights = [(INSIDE if inside else 0.0) if marked else 1.0 for _, _, inside in found]
-    return "\n".join(text for (text, _, _), r, w in zip(found, ratios, weights, strict=True) if w and w * r >= least)
+    weighted = [r * ((INSIDE if inside else OUTSIDE) if marked else 1.0) for r, (_, _, inside) in zip(fused_ratios(found), found, strict=True)]
+    least = SHARE * max(weighted)
+
+    def heading(path: str) -> float:
+        return 1.0 if HEADINGS.isdisjoint(path.split("/")) else HEADING
+
+    return "\n".join(text for (text, path, inside), w in zip(found, weighted, strict=True) if w * (heading(path) if inside else 1.0) >= least)
 
 
 def extract(pages: DataFrame) -> DataFrame:

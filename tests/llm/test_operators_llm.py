@@ -264,6 +264,24 @@ def test_main_text_keeps_the_article_only():
     assert [html_text.main_text(x) for x in (None, "", "<p>", "just text")] == ["", "", "", "just text"]
 
 
+def test_ratios_overrule_the_article_mark_both_ways():
+    sentence = "This is a sentence of the story, with some words and a point at its end. "
+    body = [f"Part {i}. " + sentence * 5 for i in range(12)]
+    story = "".join(f"<p>{x}</p>" for x in body)
+    teasers = "".join(f"<article><h3>Teaser {i}</h3><p>Read on here</p></article>" for i in range(6))
+    for page in (f"<div class='story'>{story}</div>{teasers}", f"{teasers}<div class='story'>{story}</div>"):
+        text = html_text.main_text(f"<html><body>{page}</body></html>")
+        assert all(x.strip() in text for x in body)
+    # Junk of few characters and no points inside the article, under a class that no list has.
+    junk = "".join(f"<div class='zzq'><span>tag {i}</span></div>" for i in range(20))
+    got = html_text.main_text(f"<article><h1>Head</h1>{story}{junk}</article>").split("\n")
+    assert got[:13] == ["Head", *(x.strip() for x in body)] and "tag 10" not in got
+    # A short block beside a marked article stays out; without a mark the ratios alone decide.
+    beside = html_text.main_text(f"<div>Small note.</div><article>{story}</article>")
+    assert beside == "\n".join(x.strip() for x in body)
+    assert html_text.main_text(f"<div><ul>{'<li>x</li>' * 20}</ul></div><div>{story}</div>").split("\n")[-12:] == [x.strip() for x in body]
+
+
 def test_extract_has_a_row_for_every_page(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>Hé llo.</p></article>"), (1, "u", None), (2, None, "")], "page_id long, url string, html string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract(pages).collect()) == [(1, "", 0), (1, "Hé llo.", 7), (2, "", 0)]
