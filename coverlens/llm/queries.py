@@ -13,6 +13,7 @@ from coverlens.llm.decontamination import leaks
 from coverlens.llm.hnsw import nearest
 from coverlens.llm.html_text import extract
 from coverlens.llm.language_id import identify
+from coverlens.llm.lexical_search import search
 from coverlens.llm.line_dedup import dedup_lines
 from coverlens.llm.ngram_join import jaccard_components
 from coverlens.llm.packing import pack
@@ -83,11 +84,45 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_quality_cotraining, op4_line_dedup, op5_html_extraction,
     op6_nearest_neighbours, op7_decontamination, op8_packing, op9_token_files, op10_toxicity,
+    op13_lexical_search,
 )}
 
 #: No SQL: 2, 3 and 10 fit models, 5 reads markup, 6 is approximate, 7 aligns, 8 and 9 tokenise; 1 and 4 compare
 #: all texts with all others in SQL, which is too slow on whole tables.  Each is tested against brute force instead.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_lexical_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        items AS (
+            SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        totals AS (SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM docs WHERE len(terms) > 0),
+        wanted AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+        tf AS (
+            SELECT r, doc_id, n, term, count(*) AS tf
+            FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        part AS (
+            SELECT r, doc_id, term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+                * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS part
+            FROM tf JOIN df USING (term) JOIN totals ON true),
+        scored AS (SELECT i, item_id, r, doc_id, sum(part * times) AS score FROM part JOIN wanted USING (term) GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+    """,
+}
