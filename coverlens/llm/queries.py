@@ -21,9 +21,14 @@ from coverlens.llm.quality_cotrain import quality_scores
 from coverlens.llm.ship import ship
 from coverlens.llm.token_files import token_digest
 from coverlens.llm.toxicity import toxicity_scores
+from coverlens.llm.url_templates import DEPTH, judge, labelled_pages
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +89,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(labelled_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")), URL_RULES)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -91,12 +100,89 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_quality_cotraining, op4_line_dedup, op5_html_extraction,
     op6_nearest_neighbours, op7_decontamination, op8_packing, op9_token_files, op10_toxicity,
-    op13_lexical_search,
+    op11_url_filters, op13_lexical_search,
 )}
 
+def _url_sql() -> str:
+    """The template tree in SQL, level by level."""
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'"
+        for _, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    verdicts = " ".join(f"WHEN '{h}{p}' THEN '{verdict}'" for verdict, h, p in URL_RULES)
+    shape = r"""CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{8,}\z') AND regexp_matches(s, '[0-9]') AND regexp_matches(s, '[a-fA-F]')
+        THEN '{hex}' WHEN regexp_matches(s, '^[^-_]+([-_][^-_]+){3,}\z') THEN '{slug}'
+        WHEN length(s) >= 24 AND regexp_matches(s, '[0-9]') THEN '{id}' ELSE regexp_replace(s, '[0-9]+', '{n}', 'g') END"""
+    levels = []
+    for k in range(DEPTH):
+        one, two = "(g.bad + 0.5) / (g.labelled + 1.0)", "(b.bad + 0.5) / (b.labelled + 1.0)"
+        alike = f"""abs({one} - {two}) <= 2.0 * sqrt(
+                {one} * (1.0 - {one}) / (g.labelled + 1.0) + {two} * (1.0 - {two}) / (b.labelled + 1.0))"""
+        levels.append(f"""
+        branches{k} AS MATERIALIZED (
+            SELECT host, template, segments[{k + 1}] AS segment, sum(n)::BIGINT AS n, sum(labelled)::BIGINT AS labelled, sum(bad)::BIGINT AS bad
+            FROM tree{k} WHERE len(segments) > {k} GROUP BY ALL),
+        shares{k} AS MATERIALIZED (
+            SELECT host, template, CASE WHEN n >= 8 AND n * 20 >= node_n THEN segment END AS segment, sum(labelled)::BIGINT AS labelled,
+                sum(bad)::BIGINT AS bad
+            FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS node_n FROM branches{k}) GROUP BY ALL),
+        sorted{k} AS MATERIALIZED (
+            SELECT *, row_number() OVER (
+                PARTITION BY host, template ORDER BY (bad + 0.5) / (labelled + 1.0), segment NULLS FIRST) AS place
+            FROM shares{k}),
+        walk{k} AS (
+            SELECT host, template, segment, place, place AS grp, labelled, bad FROM sorted{k} WHERE place = 1
+            UNION ALL
+            SELECT b.host, b.template, b.segment, b.place, CASE WHEN {alike} THEN g.grp ELSE b.place END,
+                CASE WHEN {alike} THEN g.labelled ELSE 0 END + b.labelled, CASE WHEN {alike} THEN g.bad ELSE 0 END + b.bad
+            FROM walk{k} g JOIN sorted{k} b ON b.host = g.host AND b.template = g.template AND b.place = g.place + 1),
+        groups{k} AS MATERIALIZED (
+            SELECT host, template, grp, CASE WHEN count(*) = 1 THEN any_value(segment)
+                ELSE '(' || string_agg(segment, '|' ORDER BY segment) || ')' END AS name
+            FROM walk{k} GROUP BY ALL HAVING count(*) = count(segment)),
+        kept{k} AS MATERIALIZED (SELECT host, template, segment, name FROM walk{k} JOIN groups{k} USING (host, template, grp)),
+        tree{k + 1} AS MATERIALIZED (
+            SELECT t.host, t.shape, t.segments, t.n, t.labelled, t.bad, t.template
+                || CASE WHEN len(t.segments) <= {k} THEN '' WHEN k.host IS NULL THEN '/*' ELSE '/' || k.name END AS template
+            FROM tree{k} t LEFT JOIN kept{k} k
+            ON t.host = k.host AND t.template = k.template AND t.segments[{k + 1}] = k.segment)""")
+    return f"""
+        WITH RECURSIVE marks AS (
+            SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+        raw AS (
+            SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+            FROM pages),
+        cut AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS kept FROM raw),
+        parsed AS MATERIALIZED (
+            SELECT page_id, host, path, bad, list_transform(kept[1:{DEPTH - 1}], lambda s: {shape}) || CASE
+                WHEN len(kept) = {DEPTH} THEN list_transform(kept[{DEPTH}:{DEPTH}], lambda s: {shape})
+                WHEN len(kept) > {DEPTH} THEN ['**'] ELSE [] END AS segments
+            FROM cut LEFT JOIN marks ON doc_id = try_cast(nullif(regexp_extract(path, '/([0-9]+)', 1), '') AS BIGINT)),
+        tree0 AS MATERIALIZED (
+            SELECT host, array_to_string(segments, '/') AS shape, segments, count(*) AS n, count(bad) AS labelled,
+                coalesce(sum(bad), 0) AS bad, '' AS template
+            FROM parsed GROUP BY host, segments),{",".join(levels)},
+        totals AS (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(labelled) + 2.0::DOUBLE) AS rate FROM tree0),
+        hosts AS (
+            SELECT host, (sum(bad) + 4.0::DOUBLE * any_value(rate)) / (sum(labelled) + 4.0::DOUBLE) AS host_rate
+            FROM tree0 JOIN totals ON true GROUP BY host),
+        templates AS (
+            SELECT host, template, 1.0::DOUBLE - (sum(bad) + 4.0::DOUBLE * any_value(host_rate)) / (sum(labelled) + 4.0::DOUBLE) AS purity
+            FROM tree{DEPTH} JOIN hosts USING (host) GROUP BY host, template),
+        judged AS (
+            SELECT page_id, host, path, CASE {fits} END AS rule, template, purity
+            FROM parsed JOIN (SELECT host, segments, template FROM tree{DEPTH}) USING (host, segments) JOIN templates USING (host, template))
+        SELECT page_id, host, path, rule,
+            coalesce(CASE rule {verdicts} END, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+        FROM judged"""
+
+
 #: No SQL: 2, 3 and 10 fit models, 5 reads markup, 6 is approximate, 7 aligns, 8 and 9 tokenise; 1 and 4 compare
 #: all texts with all others in SQL, which is too slow on whole tables.  Each is tested against brute force instead.
 ORACLE: dict[str, str] = {
+    "op11_url_filters": _url_sql(),
     "op13_lexical_search": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
