@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverlens.llm.conversation_trie import prefix_trie, turn_rows, with_shared_openings
 from coverlens.llm.decontamination import leaks
 from coverlens.llm.hnsw import nearest
 from coverlens.llm.html_text import extract
@@ -93,6 +94,11 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(labelled_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")), URL_RULES)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_rows(table(spark, sf_dir, "conversations"))
+    return prefix_trie(with_shared_openings(turns), turns.select("conv_id").distinct())
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,7 +106,7 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_quality_cotraining, op4_line_dedup, op5_html_extraction,
     op6_nearest_neighbours, op7_decontamination, op8_packing, op9_token_files, op10_toxicity,
-    op11_url_filters, op13_lexical_search,
+    op11_url_filters, op12_conversation_trie, op13_lexical_search,
 )}
 
 def _url_sql() -> str:
@@ -183,6 +189,38 @@ def _url_sql() -> str:
 #: all texts with all others in SQL, which is too slow on whole tables.  Each is tested against brute force instead.
 ORACLE: dict[str, str] = {
     "op11_url_filters": _url_sql(),
+    "op12_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS nth
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS MATERIALIZED (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY nth) AS turns, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 4 AS h
+            FROM turns GROUP BY conv_id),
+        rebuilt AS MATERIALIZED (
+            SELECT c.conv_id, coalesce(b.turns[1:c.h], []) || c.turns[c.h + 1:] AS turns
+            FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20),
+        members AS MATERIALIZED (
+            SELECT conv_id, d AS depth, turns[1:d] AS path, len(turns) = d AS ends
+            FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+        nodes AS MATERIALIZED (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                FILTER (WHERE ends), '')) AS ends_sha256,
+                CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(path[depth].text, '[^ 	-]+')) END AS saved
+            FROM members GROUP BY path, depth),
+        kids AS MATERIALIZED (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        above AS (SELECT path[1:d] AS path, path AS below FROM (SELECT path, unnest(range(0, depth + 1)) AS d FROM nodes)),
+        sums AS (
+            SELECT a.path, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum(b.saved) AS saved_tokens
+            FROM above a JOIN nodes b ON b.path = a.below LEFT JOIN kids k ON k.path = a.below GROUP BY a.path)
+        SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(k.n, 0) AS n_children,
+            s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+        FROM nodes x JOIN sums s ON s.path = x.path LEFT JOIN kids k ON k.path = x.path
+        LEFT JOIN nodes p ON x.depth > 0 AND p.path = x.path[1:x.depth - 1]
+    """,
     "op13_lexical_search": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
