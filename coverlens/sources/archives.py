@@ -1,131 +1,286 @@
-"""Archives of delimited text: reading and integrity checks.
+"""Archives of delimited text: a data source that reads and writes them, and integrity checks.
 
-Spark has no codec for this archive type, so a small Arrow function unpacks each
-file's bytes inside the task.  Listing, file access and distribution are Spark's
-(``binaryFile``), one archive is streamed in blocks, and a bad archive becomes an
-error row instead of a failed job.
+Spark has no codec for this archive type.  ``read_archives`` plans tasks of about equal size over the archives; a task opens its
+archives by path and streams the first delimited member in blocks, so an archive is never a row and has no size limit.
+``unpack_archives`` does the same for archives that come as rows.  An archive that cannot be read, damaged, encrypted or packed by
+an unknown method, becomes one error row instead of a failed job: the member's checksum is tested before its rows are given out.
 """
 
 from __future__ import annotations
 
-import re
+import csv
+import io
+import sys
+import uuid
+import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
-from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.csv as pc
+from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    In,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from coverlens.functions.text import NULL_TOKENS
+from coverlens.sources.storage import list_files, locate
 
 FILE = "_file"
 POSITION = "_position"
 FAILURE = "_failure"
+SOURCE = "zipped_text"
+TASK_BYTES = 64 << 20
+BLOCK = 1 << 20
+#: What reading a damaged archive may raise: RuntimeError if it is encrypted, NotImplementedError for an unknown method,
+#: ValueError for text that is no table.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError, NotImplementedError)
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this library
 
 
 def read_archives(
-    spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";", pattern: str = "*.zip"
+    spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";", suffix: str = ".zip"
 ) -> DataFrame:
-    """Rows of the first delimited member of every archive below ``path``; all text."""
-    files = _landed(spark, path, pattern)
-    rows = unpack_archives(files.select("path", "content"), columns, separator)
-    empty = empty_files(files).select(F.col("path").alias(FILE), F.lit("empty file").alias(FAILURE))
-    return rows.unionByName(empty, allowMissingColumns=True)
-
-
-def _landed(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    """Rows of the first delimited member of every archive below ``path``; all text.
 
+    The result has the wanted columns plus file, position in the file, and a failure text; a row with a failure stands for
+    a file that could not be read.  Columns the file lacks are null, other columns of the file are left out.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ArchiveSource)
+    schema = ", ".join([*[f"`{c}` string" for c in columns], f"{FILE} string, {POSITION} long, {FAILURE} string"])
+    reader = spark.read.format(SOURCE).schema(schema)
+    return reader.option("separator", separator).option("suffix", suffix).load(path)
+
+
+def write_archives(df: DataFrame, path: str, separator: str = ";", order: Sequence[str] = ()) -> None:
+    """Add archives of the rows, all as text: one per value of ``_file`` if there is such a column, in that order, else one per task."""
+    df.sparkSession.dataSource.register(ArchiveSource)
+    placed = df.repartition(FILE).sortWithinPartitions(FILE, *order) if FILE in df.columns else df
+    text = placed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    text.write.format(SOURCE).mode("append").option("separator", separator).save(path)
+
+
+def archive_rows(file: str, opened, columns: Sequence[str], separator: str) -> Iterator[pa.RecordBatch]:
+    """The rows of one archive in blocks; a failure is a row of its own."""
+    try:
+        with zipfile.ZipFile(opened) as archive:
+            members = [n for n in archive.namelist() if n.lower().endswith(".csv")]
+            if not members:
+                raise ValueError("no delimited file in the archive")
+            with archive.open(members[0]) as tested:  # its end tests the checksum
+                while tested.read(BLOCK):
+                    pass
+            yield from _member_rows(file, archive, members[0], columns, separator)
+    except DAMAGE as problem:
+        yield _failed(file, f"{type(problem).__name__}: {problem}", columns)
+
+
+def _member_rows(file: str, archive: zipfile.ZipFile, member: str, columns: Sequence[str], separator: str) -> Iterator[pa.RecordBatch]:
+    with archive.open(member) as head:
+        first = head.readline().decode("utf-8-sig")
+    if not first.strip():
+        raise ValueError("empty file")
+    header = next(csv.reader([first], delimiter=separator))
+    with archive.open(member) as body:
+        blocks = pc.open_csv(
+            body,
+            read_options=pc.ReadOptions(block_size=1 << 24),
+            parse_options=pc.ParseOptions(delimiter=separator, newlines_in_values=True),
+            convert_options=pc.ConvertOptions(
+                column_types={h: pa.string() for h in header},
+                null_values=list(NULL_TOKENS),
+                strings_can_be_null=True,
+                include_columns=list(columns),
+                include_missing_columns=True,
+            ),
+        )
+        position = 0
+        for block in blocks:
+            n = block.num_rows
+            values = [block.column(c).cast(pa.string()) for c in columns]
+            places = pa.array(range(position, position + n), pa.int64())
+            yield _batch(columns, values, pa.array([file] * n, pa.string()), places, pa.nulls(n, pa.string()))
+            position += n
+
+
+def _failed(file: str, text: str, columns: Sequence[str]) -> pa.RecordBatch:
+    values = [pa.nulls(1, pa.string()) for _ in columns]
+    return _batch(columns, values, pa.array([file]), pa.nulls(1, pa.int64()), pa.array([text]))
+
+
+def _batch(columns: Sequence[str], values: list, file: pa.Array, position: pa.Array, failure: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*values, file, position, failure], names=[*columns, FILE, POSITION, FAILURE])
+
+
+class ArchiveSource(DataSource):
+    """Delimited text in archives below ``path``.
+
+    Reading takes the columns from the schema, and only they are converted.  A filter on the file's name leaves the other
+    archives unread.  Writing adds archives, which appear under their names when all tasks are done.
+    """
 
-def empty_files(files: DataFrame) -> DataFrame:
-    """(path) of the files without a byte: they are listed, but no scan returns them."""
-    listed = [re.sub(r"^(\w+):/+", r"\1:/", unquote(name)) for name in files.inputFiles()]
-    names = files.sparkSession.createDataFrame([(n,) for n in listed], "path string")
-    return names.join(files.select("path"), "path", "left_anti")
+    @classmethod
+    def name(cls) -> str:
+        return SOURCE
+
+    def schema(self) -> str:
+        raise ValueError("name the columns to read in a schema")
+
+    def reader(self, schema) -> ArchiveReader:
+        return ArchiveReader(dict(self.options), schema.names)
+
+    def writer(self, schema, overwrite: bool) -> ArchiveWriter:
+        if overwrite:
+            raise ValueError("archives are only added: use mode append")
+        return ArchiveWriter(dict(self.options), schema.names)
+
+
+class Archives(InputPartition):
+    """The (file, size) pairs that one task reads."""
+
+    def __init__(self, files: Sequence[tuple[str, int]]) -> None:
+        self.files = tuple(files)
+
+
+class ArchiveReader(DataSourceReader):
+    def __init__(self, options: dict, names: Sequence[str]) -> None:
+        self.path, self.separator = options["path"], options.get("separator", ";")
+        self.suffix, self.task_bytes = options.get("suffix", ".zip").lower(), int(options.get("task_bytes", TASK_BYTES))
+        self.names = list(names)
+        self.columns = [n for n in names if n not in (FILE, POSITION, FAILURE)]
+        self.only: set[str] | None = None
+
+    def pushFilters(self, filters: list) -> Iterator:  # noqa: N802
+        for given in filters:
+            if isinstance(given, EqualTo | In) and given.attribute == (FILE,):
+                values = set(given.value if isinstance(given, In) else [given.value])
+                self.only = values if self.only is None else self.only & values
+            else:
+                yield given
+
+    def partitions(self) -> list[InputPartition]:
+        system, place = locate(self.path)
+        if system.get_file_info(place).type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"nothing at {self.path}")
+        prefix = "file:" if isinstance(system, fs.LocalFileSystem) else f"{self.path.split('://', 1)[0]}://"
+        found = system.get_file_info(fs.FileSelector(place, recursive=True))
+        files = sorted((prefix + f.path, f.size) for f in found if f.is_file and f.path.lower().endswith(self.suffix))
+        tasks: list[list[tuple[str, int]]] = [[]]
+        size = 0
+        for file in files:
+            if self.only is not None and file[0] not in self.only:
+                continue
+            cost = file[1] + (1 << 16)  # opening a file has its price too
+            if tasks[-1] and size + cost > self.task_bytes:
+                tasks.append([])
+                size = 0
+            tasks[-1].append(file)
+            size += cost
+        return [Archives(t) for t in tasks]
+
+    def read(self, partition: Archives) -> Iterator[pa.RecordBatch]:
+        for file, size in partition.files:
+            if not size:
+                yield _failed(file, "empty file", self.columns).select(self.names)
+                continue
+            system, place = locate(file)
+            with system.open_input_file(place) as opened:
+                for batch in archive_rows(file, opened, self.columns, self.separator):
+                    yield batch.select(self.names)
+
+
+class Written(WriterCommitMessage):
+    """The (partial, final) names of the archives that a task wrote."""
+
+    def __init__(self, files: Sequence[tuple[str, str]]) -> None:
+        self.files = tuple(files)
+
+
+class ArchiveWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict, names: Sequence[str]) -> None:
+        self.path, self.separator = options["path"].rstrip("/"), options.get("separator", ";")
+        self.named = FILE in names
+        self.columns = [n for n in names if n != FILE]
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        system, place = locate(self.path)
+        system.create_dir(place, recursive=True)
+        schema = pa.schema([(n, pa.string()) for n in self.columns])
+        options = pc.WriteOptions(delimiter=self.separator, quoting_style="needed")
+        done: list[tuple[str, str]] = []
+        current: str | None = None
+        layers: list = []  # stream, archive, member, rows
+
+        def close() -> None:
+            while layers:
+                layers.pop().close()
+
+        for batch in iterator:
+            rows = pa.Table.from_batches([batch]).select(self.columns).cast(schema)
+            names = batch.column(FILE).to_pylist() if self.named else [f"{uuid.uuid4().hex}.zip"] * batch.num_rows
+            if not self.named and layers:
+                names = [current] * batch.num_rows
+            at = 0
+            while at < len(names):
+                end = at + 1
+                while end < len(names) and names[end] == names[at]:
+                    end += 1
+                if not layers or names[at] != current:
+                    close()
+                    current = names[at]
+                    partial = f"{place}/{uuid.uuid4().hex}.partial"
+                    done.append((partial, f"{place}/{current}"))
+                    layers.append(system.open_output_stream(partial, compression=None))
+                    layers.append(zipfile.ZipFile(layers[0], "w", zipfile.ZIP_DEFLATED))
+                    member = zipfile.ZipInfo("rows.csv")
+                    member.compress_type = zipfile.ZIP_DEFLATED
+                    layers.append(layers[1].open(member, "w", force_zip64=True))
+                    layers.append(pc.CSVWriter(layers[2], schema, write_options=options))
+                layers[-1].write_table(rows.slice(at, end - at))
+                at = end
+        close()
+        return Written(done)
+
+    def commit(self, messages: list) -> None:
+        system, _ = locate(self.path)
+        for message in messages:
+            for partial, final in message.files if message else ():
+                system.move(partial, final)
+
+    def abort(self, messages: list) -> None:
+        system, _ = locate(self.path)
+        for message in messages:
+            for partial, _ in message.files if message else ():
+                system.delete_file(partial)
 
 
 def unpack_archives(files: DataFrame, columns: Sequence[str], separator: str = ";") -> DataFrame:
-    """Unpack a frame of (path, content).
-
-    The result has the wanted columns plus file, position in the file, and a
-    failure text; a row with a failure stands for a file that could not be read.
-    Columns the file lacks are null, other columns of the file are left out.
-    """
+    """As ``read_archives``, of archives that are rows (path, content)."""
     wanted = list(columns)
-    tokens = list(NULL_TOKENS)
-    schema = ", ".join(f"`{c}` string" for c in wanted)
-    schema += f", {FILE} string, {POSITION} long, {FAILURE} string"
-
-    def unpack(batches: Iterator) -> Iterator:
-        import io
-        import zipfile
-
-        import pyarrow as pa
-        import pyarrow.csv as pc
-
-        names = [*wanted, FILE, POSITION, FAILURE]
-        types = [pa.string()] * len(wanted) + [pa.string(), pa.int64(), pa.string()]
-        target = pa.schema(list(zip(names, types, strict=True)))
-
-        def failed(file: str, text: str):
-            values = [pa.array([None], pa.string()) for _ in wanted]
-            values += [pa.array([file], pa.string()), pa.array([None], pa.int64()), pa.array([text], pa.string())]
-            return pa.RecordBatch.from_arrays(values, schema=target)
-
-        def rows(file: str, content: bytes) -> Iterator:
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                members = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-                if not members:
-                    raise ValueError("no delimited file in the archive")
-                with archive.open(members[0]) as head:
-                    first = head.readline().decode("utf-8-sig")
-                if not first.strip():
-                    raise ValueError("empty file")
-                header = next(pc_header(first))
-                with archive.open(members[0]) as body:
-                    reader = pc.open_csv(
-                        body,
-                        read_options=pc.ReadOptions(block_size=1 << 24),
-                        parse_options=pc.ParseOptions(delimiter=separator, newlines_in_values=True),
-                        convert_options=pc.ConvertOptions(
-                            column_types={h: pa.string() for h in header},
-                            null_values=tokens,
-                            strings_can_be_null=True,
-                            include_columns=wanted,
-                            include_missing_columns=True,
-                        ),
-                    )
-                    position = 0
-                    for block in reader:
-                        n = block.num_rows
-                        values = [block.column(c).cast(pa.string()) for c in wanted]
-                        values += [
-                            pa.array([file] * n, pa.string()),
-                            pa.array(range(position, position + n), pa.int64()),
-                            pa.nulls(n, pa.string()),
-                        ]
-                        position += n
-                        yield pa.RecordBatch.from_arrays(values, schema=target)
-
-        def pc_header(line: str) -> Iterator[list[str]]:
-            import csv
-
-            return csv.reader([line], delimiter=separator)
+    schema = ", ".join([*[f"`{c}` string" for c in wanted], f"{FILE} string, {POSITION} long, {FAILURE} string"])
 
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, contents = batch.column(0), batch.column(1)
-            for i in range(batch.num_rows):
-                file = paths[i].as_py()
-                try:
-                    yield from rows(file, contents[i].as_py())
-                except (zipfile.BadZipFile, ValueError, OSError, EOFError) as problem:
-                    yield failed(file, f"{type(problem).__name__}: {problem}")
+            for file, content in zip(batch.column(0), batch.column(1), strict=True):
+                yield from archive_rows(file.as_py(), io.BytesIO(content.as_py() or b""), wanted, separator)
 
-    return files.mapInArrow(unpack, schema)
+    return files.select("path", "content").mapInArrow(unpack, schema)
 
 
 def readable_rows(unpacked: DataFrame) -> DataFrame:
     """Rows of the files that were read to the end; a file that broke half way counts as unread."""
-    broken = unpacked.where(F.col(FAILURE).isNotNull()).select(FILE)
+    broken = unpacked.where(F.col(FAILURE).isNotNull()).select(FILE).distinct()
     return unpacked.where(F.col(FAILURE).isNull()).drop(FAILURE).join(broken, FILE, "left_anti")
 
 
@@ -133,43 +288,50 @@ def failed_files(unpacked: DataFrame) -> DataFrame:
     return unpacked.where(F.col(FAILURE).isNotNull()).select(F.col(FILE).alias("file"), F.col(FAILURE).alias("failure"))
 
 
+def _problem(opened) -> str | None:
+    """What is wrong with an archive: every member is read to its end, block by block."""
+    try:
+        with zipfile.ZipFile(opened) as archive:
+            for member in archive.infolist():
+                with archive.open(member) as tested:
+                    while tested.read(BLOCK):
+                        pass
+    except DAMAGE as problem:
+        return f"unreadable archive: {type(problem).__name__}: {problem}"
+    return None
+
+
 def check_archives(files: DataFrame) -> DataFrame:
     """(path, length, problem) per file of a (path, length, content) frame; null means sound.
 
-    Empty files, unreadable archives and members whose checksum is wrong are problems.
+    Empty files, unreadable or encrypted archives and members whose checksum is wrong are problems.
     """
 
-    def test(batches: Iterator) -> Iterator:
-        import io
-        import zipfile
-        import zlib
-
-        import pyarrow as pa
-
-        def problem(content: bytes) -> str | None:
-            if not content:
-                return "empty file"
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    return None if archive.testzip() is None else "damaged archive"
-            except (zipfile.BadZipFile, zlib.error, EOFError, OSError) as reason:
-                return f"unreadable archive: {reason}"
-
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [problem(c.as_py()) for c in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.string())], ["path", "length", "problem"]
-            )
+            found = ["empty file" if not c.as_py() else _problem(io.BytesIO(c.as_py())) for c in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["path", "length", "problem"])
 
     return files.select("path", "length", "content").mapInArrow(test, "path string, length long, problem string")
 
 
 def check_landed_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    files = _landed(spark, path, pattern)
-    empty = empty_files(files).select(
-        "path", F.lit(0).cast("bigint").alias("length"), F.lit("empty file").alias("problem")
-    )
-    return check_archives(files).unionByName(empty)
+    """The same for the archives below a path, each opened in its task."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for file, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, place = locate(file)
+                if not length:
+                    found.append("empty file")
+                    continue
+                with system.open_input_file(place) as opened:
+                    found.append(_problem(opened))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["path", "length", "problem"])
+
+    files = list_files(spark, path, pattern).select("path", "length")
+    return files.mapInArrow(test, "path string, length long, problem string")
 
 
 def pack_rows(df: DataFrame, separator: str = ";") -> DataFrame:

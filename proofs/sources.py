@@ -8,7 +8,7 @@ from coverlens.operators import quality as q
 from coverlens.operators.lookups import without_match
 from coverlens.plans import marts
 from coverlens.session import materialise, scratch_path
-from coverlens.sources import archives, datasets, delimited, manifest
+from coverlens.sources import archives, datasets, delimited, manifest, storage
 from proofs import roles, sql
 from proofs.mart_queries import DATE, STATES
 from proofs.quality import RULE_ROWS, UNTIDY, rules, untidy_enrolment
@@ -64,26 +64,98 @@ def zip_csv(spark, sf_dir):
     return rows.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_hash"), "absent")
 
 
-@proof("archive_check", "SELECT true AS sound_pass, true AS cut_found, true AS empty_found")
+def spoilt():
+    """How the content of an archive is spoilt: cut off, emptied, overwritten in the middle."""
+    overwritten = F.concat(F.substring("content", 1, 44), F.unhex(F.repeat(F.lit("FF"), 16)), F.substring("content", 61, 1 << 30))
+    half = F.substring("content", F.lit(1), (F.octet_length("content") / 2).cast("int"))
+    return {"cut": half, "empty": F.lit("").cast("binary"), "overwritten": overwritten}
+
+
+@proof("archive_check", "SELECT doc_id, doc_id % 5 IN (1, 2, 3) AS bad FROM documents")
 def archive_check(spark, sf_dir):
-    """Sound, cut-off and empty archives of the orders."""
-    packed = archives.pack_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"))
-    half = (F.octet_length("content") / 2).cast("int")
-    nothing = F.lit("").cast("binary")
-    kinds = (("sound", F.col("content")), ("cut", F.substring("content", F.lit(1), half)), ("empty", nothing))
-    copies = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("content")) for k, c in kinds])
-    files = packed.select(F.inline(copies)).select(
-        F.col("kind").alias("path"), F.octet_length("content").cast("bigint").alias("length"), "content"
-    )
-    checked = archives.check_archives(files)
-    problem, kind = F.col("problem").isNotNull(), F.col("path")
-    return checked.agg(
-        (F.count_if(problem & (kind == "sound")) == 0).alias("sound_pass"),
-        (F.count_if(~problem & (kind == "cut")) == 0).alias("cut_found"),
-        (F.count_if(~problem & (kind == "empty")) == 0).alias("empty_found"),
+    """Every document as an archive on disk: sound, cut off, empty or with overwritten bytes; each is opened and tested in its task."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("text"))
+
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            packed = []
+            for text in batch.column(1):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("rows.csv", text.as_py() or b"")
+                packed.append(out.getvalue())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "content"])
+
+    content = F.col("content")
+    for remainder, damaged in enumerate(spoilt().values(), 1):
+        content = F.when(F.col("doc_id") % 5 == remainder, damaged).otherwise(content)
+    name = F.concat(F.lit("d"), F.pmod("doc_id", F.lit(16)).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".zip"))
+    base = scratch_path(spark, "archives")
+    storage.write_files(texts.mapInArrow(pack, "doc_id long, content binary").select(name.alias("path"), content.alias("content")), base)
+    checked = archives.check_landed_archives(spark, base)
+    return checked.select(
+        F.regexp_extract("path", "([0-9]+)[.]zip$", 1).cast("bigint").alias("doc_id"), F.col("problem").isNotNull().alias("bad")
     )
 
 
+@proof(
+    "archive_source",
+    """SELECT 'docs-' || doc_id % 7 || '.zip' AS file, row_number() OVER (PARTITION BY doc_id % 7 ORDER BY doc_id) - 1 AS position,
+  CAST(doc_id AS VARCHAR) AS doc_id, lang, sha256(text) AS text_hash, NULL::VARCHAR AS absent, false AS failed FROM documents
+UNION ALL SELECT f, NULL, NULL, NULL, NULL, NULL, true FROM (VALUES ('cut.zip'), ('empty.zip'), ('overwritten.zip')) v(f)""",
+)
+def archive_source(spark, sf_dir):
+    """Documents written as seven archives, three damaged copies beside them, and read back with file and position."""
+    base = scratch_path(spark, "archives")
+    name = F.concat(F.lit("docs-"), (F.col("doc_id") % 7).cast("string"), F.lit(".zip"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", name.alias(archives.FILE))
+    archives.write_archives(docs, base, order=["doc_id"])
+    whole = spark.read.format("binaryFile").load(f"{base}/docs-0.zip").select("content")
+    copies = F.array(*[F.struct(F.lit(f"{n}.zip").alias("path"), c.alias("content")) for n, c in spoilt().items()])
+    storage.write_files(whole.select(F.inline(copies)), base)
+    rows = archives.read_archives(spark, base, ["doc_id", "lang", "text", "absent"])
+    return rows.select(
+        F.element_at(F.split(archives.FILE, "/"), -1).alias("file"),
+        F.col(archives.POSITION).alias("position"),
+        "doc_id", "lang", F.sha2("text", 256).alias("text_hash"), "absent", F.col(archives.FAILURE).isNotNull().alias("failed"),
+    )
+
+
+@proof("manifest_of_files", MANIFEST_SQL.replace("'landing/' || ", "").replace(f"'{LANDED_AT}' AS landed_at, ", "").replace("lang AS", "'2024-03' AS"))
+def manifest_of_files(spark, sf_dir):
+    """Every document as a file on disk, listed by tasks and hashed block by block."""
+    base = scratch_path(spark, "landing")
+    storage.write_files(documents_as_files(spark, sf_dir).select(F.expr("substring(path, 9)").alias("path"), "content"), base)
+    listed = manifest.list_landed(spark, base)
+    found = manifest.file_manifest(listed, F.element_at(F.split("path", "/"), -2), F.lit("2024-03")).drop("landed_at")
+    return found.withColumn("path", F.array_join(F.slice(F.split("path", "/"), -2, 2), "/"))
+
+
+@proof(
+    "dialects",
+    """SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name, p_type AS kind, NULL AS text_hash FROM part
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name || ', "' || s_nationkey || ';2|3|4' || chr(34), NULL, NULL FROM supplier
+UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, lang, sha256(text) FROM documents""",
+)
+def dialects(spark, sf_dir):
+    """Files of three dialects, found by their first blocks: quoted fields hold the other separators, quotes and line breaks."""
+    base = scratch_path(spark, "dialects")
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    parts = part.select(F.col("p_partkey").alias("code"), F.col("p_name").alias("name"), F.col("p_type").alias("kind"))
+    tricky = F.concat("s_name", F.lit(', "'), F.col("s_nationkey").cast("string"), F.lit(';2|3|4"'))
+    suppliers = supplier.select(tricky.alias("name"), F.col("s_suppkey").alias("code"))
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("code"), "text", F.col("lang").alias("kind"))
+    for name, frame, separator in (("parts", parts, ";"), ("suppliers", suppliers, ","), ("documents", documents, "|")):
+        delimited.write_delimited(frame, f"{base}/{name}", separator)
+    found = delimited.read_detected(spark, base)
+    return found.select("code", "name", "kind", F.sha2("text", 256).alias("text_hash"))
+
+
 @proof(
     "detected_separators",
     """SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name, p_type AS type FROM part

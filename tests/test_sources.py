@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from coverlens.plans.audit import RunLog, outcome_status
 from coverlens.session import scratch_path
-from coverlens.sources import archives, datasets, delimited, manifest
+from coverlens.sources import archives, datasets, delimited, manifest, storage
 from coverlens.streaming.landing import each_batch, ingest_new_files, landed_stream
 from coverlens.streaming.upserts import BatchUpsert
 
@@ -38,6 +39,99 @@ def test_archives_good_and_bad(spark, tmp_path):
     assert problems["a.zip"] is None and problems["d.zip"] == "empty file" and problems["b.zip"]
 
 
+def _patched(body: bytes, local: int, central: int, value: int) -> bytes:
+    """An archive of one member with a two-byte field set in its local and its central header."""
+    out = bytearray(body)
+    for at in (local, body.index(b"PK\x01\x02") + central):
+        out[at : at + 2] = value.to_bytes(2, "little")
+    return bytes(out)
+
+
+def test_damaged_encrypted_and_unknown_archives_are_error_rows(spark, tmp_path):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", "k;v\n" + "".join(f"{i};{i * i}\n" for i in range(5000)))
+    sound = out.getvalue()
+    broken = bytearray(sound)
+    broken[2000:2064] = b"\xff" * 64
+    bodies = {
+        "sound": sound, "overwritten": bytes(broken), "encrypted": _patched(sound, 6, 8, 1), "unknown": _patched(sound, 8, 10, 97),
+        "cut": sound[: len(sound) // 2], "other": b"no archive",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.zip").write_bytes(body)
+    read = archives.read_archives(spark, str(tmp_path), ["v", "k"])
+    assert archives.readable_rows(read).count() == 5000 and read.count() == 5000 + 5
+    assert {r["file"].rsplit("/", 1)[1] for r in archives.failed_files(read).collect()} == {f"{n}.zip" for n in bodies if n != "sound"}
+    problems = {r["path"].rsplit("/", 1)[1][:-4]: r["problem"] for r in archives.check_landed_archives(spark, str(tmp_path)).collect()}
+    assert {n for n, p in problems.items() if p} == set(bodies) - {"sound"}
+    files = spark.createDataFrame([(n, len(b), bytearray(b)) for n, b in bodies.items()], "path string, length long, content binary")
+    assert {r["path"] for r in archives.check_archives(files).where("problem is not null").collect()} == set(bodies) - {"sound"}
+    unpacked = archives.unpack_archives(files, ["k", "v"])
+    assert archives.readable_rows(unpacked).count() == 5000 and archives.failed_files(unpacked).count() == 5
+
+
+def test_archive_source_plans_by_size_and_prunes(spark, tmp_path):
+    rows = spark.range(700).select("id", F.concat(F.lit("f"), F.col("id") % 7, F.lit(".zip")).alias("_file"), (F.col("id") * 2).alias("twice"))
+    archives.write_archives(rows, str(tmp_path), order=["id"])
+    assert sorted(p.name for p in tmp_path.iterdir()) == [f"f{i}.zip" for i in range(7)]
+    read = archives.read_archives(spark, str(tmp_path), ["twice", "none"])
+    assert read.columns == ["twice", "none", "_file", "_position", "_failure"]
+    one = read.where(F.col("_file") == f"file:{tmp_path}/f3.zip").orderBy("_position").collect()
+    assert [int(r["twice"]) for r in one] == [2 * i for i in range(3, 700, 7)] and [r["_position"] for r in one] == list(range(100))
+    reader = archives.ArchiveReader({"path": str(tmp_path), "task_bytes": str(3 << 16)}, ["twice", "_file"])
+    assert [len(p.files) for p in reader.partitions()] == [2, 2, 2, 1] and reader.columns == ["twice"]
+    left = list(reader.pushFilters([archives.EqualTo(("_file",), f"file:{tmp_path}/f3.zip"), archives.EqualTo(("twice",), "6")]))
+    assert len(left) == 1 and [len(p.files) for p in reader.partitions()] == [1]
+    archives.write_archives(rows.drop("_file").coalesce(1), str(tmp_path / "more"))
+    assert archives.read_archives(spark, str(tmp_path / "more"), ["id"]).count() == 700
+    with pytest.raises(Exception, match="nothing at"):
+        archives.read_archives(spark, str(tmp_path / "absent"), ["id"]).count()
+
+
+def test_sniffing_respects_quotes(tmp_path, spark):
+    assert delimited.sniff(b"a;b\n1;2\n", True) == (";", ["a", "b"])
+    assert delimited.sniff(b'"x;y;z",b\n"1;2;3",2\n"4;5;6",3\n', True) == (",", ["x;y;z", "b"])
+    assert delimited.sniff(b'a|b\n"line\nbreak, and, more, of, it"|2\n1|2\n', True) == ("|", ["a", "b"])
+    assert delimited.sniff(b"a,b;c,d\n1,5;2,5\n1,5;2\n1;7\n", True)[0] == ";"
+    assert delimited.sniff("\ufeffk\tv\n1\t2\n".encode(), True) == ("\t", ["k", "v"])
+    assert delimited.sniff(b"alone\n1\n", True) == (";", ["alone"]) and delimited.sniff(b" \n", True) is None
+    # The sampled bytes end inside a row: that row does not count.
+    assert delimited.sniff(b"a,b;c\n1;2\n3;4\n5,6,", False) == (";", ["a,b", "c"])
+    (tmp_path / "big.csv").write_text("k;v\n" + "1;2\n" * 100_000)
+    found = delimited.detect_separators(spark, str(tmp_path), block=1 << 10)
+    assert [tuple(r)[1:] for r in found.collect()] == [(["k", "v"], ";")]
+    assert "FileScan text" not in found._jdf.queryExecution().toString()
+
+
+def test_hash_of_a_file_beyond_the_batch_limit(spark, tmp_path):
+    """2.2 GB, mostly a hole: more than one Arrow value or Java array holds."""
+    big = tmp_path / "big.csv"
+    with big.open("wb") as out:
+        out.truncate(2_200_000_000)
+        out.seek(0, 2)
+        out.write(b"end")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.CSV").write_bytes(b"abc")
+    with big.open("rb") as opened:
+        wanted = {"big.csv": hashlib.file_digest(opened, "sha256").hexdigest(), "empty.txt": hashlib.sha256().hexdigest(), "a.CSV": hashlib.sha256(b"abc").hexdigest()}
+    listed = manifest.list_landed(spark, str(tmp_path)).collect()
+    assert {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in listed} == wanted
+    assert {r["length"] for r in listed} == {2_200_000_003, 0, 3}
+
+
+def test_files_are_listed_in_tasks(spark, tmp_path):
+    for name in ("x/a.csv", "x/y/b.csv", "c.txt", "_hidden.csv", "x/z.csv.partial"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    names = lambda *a: {r["path"].removeprefix(f"file:{tmp_path}/") for r in storage.list_files(spark, *a).collect()}
+    assert names(str(tmp_path)) == {"x/a.csv", "x/y/b.csv", "c.txt"}
+    assert names(str(tmp_path), "*.csv") == {"x/a.csv", "x/y/b.csv"} and names(f"{tmp_path}/x*") == {"x/a.csv", "x/y/b.csv"}
+    with pytest.raises(FileNotFoundError):
+        storage.list_files(spark, str(tmp_path / "absent"))
+
+
 def test_a_ragged_file_counts_as_unread(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(zipped({"a.csv": "k;v\n1;2\n3;4;5\n"}))
     read = archives.read_archives(spark, str(tmp_path), ["k", "v"])
