@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import struct
 
 import pandas as pd
 import pytest
@@ -106,6 +108,35 @@ def test_changed_rows_treats_null_as_blank(spark):
 # Ranking
 
 
+def test_ordered_keys_of_doubles(spark):
+    """Bits of every kind of double, next to all powers of two, in the order of the values."""
+    draw = random.Random(1)
+    values = [0.0, -0.0, 1.0, -1.0, math.inf, -math.inf, math.nan, 1.7976931348623157e308, 0.1, -0.1]
+    values += [math.nextafter(2.0**e, to) for e in range(-1060, 1023) for to in (0, math.inf)] + [-(2.0**e) for e in range(-1074, 1024)]
+    values += [struct.unpack(">d", draw.getrandbits(64).to_bytes(8, "big"))[0] for _ in range(2000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    pairs = [(r["v"], r["k"]) for r in profile.with_ordered_key(frame, "v", "k").collect()]
+    assert all(v == profile.value_of_key(k) or (math.isnan(v) and math.isnan(profile.value_of_key(k))) for v, k in pairs)
+    plain = sorted((k, v) for v, k in pairs if not math.isnan(v))
+    assert [v for _, v in plain] == sorted(v for v, _ in pairs if not math.isnan(v))
+    assert min(k for v, k in pairs if math.isnan(v)) > plain[-1][0]
+
+
+@pytest.mark.parametrize("digit", [4, 16])
+def test_ranks_by_radix_selection(spark, digit, monkeypatch):
+    monkeypatch.setattr(profile, "DIGIT", digit)
+    draw = random.Random(2)
+    a = [draw.choice([draw.gauss(0, 1e-3), draw.gauss(0, 1e6), 5.0, -5.0, 1e300, 7.0]) for _ in range(3000)] + [None] * 5
+    frame = spark.createDataFrame([(x, i % 3, None) for i, x in enumerate(a)], "a double, b int, c double")
+    every = list(range(0, 3000, 37)) + [2999]
+    found = profile.select_ranks(frame, {"a": lambda n: every, "b": lambda n: [0, n // 2, n - 1], "c": lambda n: [0]})
+    wanted = sorted(x for x in a if x is not None)
+    assert [found["a"][k] for k in every] == [wanted[k] for k in every]
+    assert sorted(found["b"].values()) == [0.0, 1.0, 2.0] and found["c"] == {}
+    assert "Sort" not in profile.profile_numbers(frame)._jdf.queryExecution().toString()
+    assert profile.above_fence(frame.where("false"), "a").count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_spread_rank_is_the_plain_rank(spark, seed):
     rng = random.Random(seed)
