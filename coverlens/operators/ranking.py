@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverlens.operators.rangecut import ranked_in_order
+
 
 def with_previous(df: DataFrame, value: str, order: str, by: Sequence[str] = (), name: str = "previous") -> DataFrame:
     """Add the value of the preceding *loaded* period (a missing month is skipped over).
@@ -23,23 +25,6 @@ def rank_within(df: DataFrame, by: Sequence[str], value: str, name: str, dense:
     return df.withColumn(name, (F.dense_rank() if dense else F.rank()).over(w))
 
 
-def _value_band(value: Column) -> Column:
-    """Order-preserving band of a number: equal values share one, greater values never get a lower one.
-
-    Bands are logarithmic (64 per doubling), so there are a few thousand at most
-    whatever the data, and they do not depend on a sample.  Null comes last.
-    """
-    v = value.cast("double")
-    band = F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)
-    # Not-a-number sorts above all others, as in a plain rank; infinities stand at the ends.
-    return (
-        F.when(v.isNull(), F.lit(-(2**31)))
-        .when(F.isnan(v), F.lit(2**31 - 1))
-        .when(F.abs(v) == float("inf"), F.signum(v).cast("int") * F.lit(2**31 - 2))
-        .otherwise(band.cast("int"))
-    )
-
-
 def rank_spread(
     df: DataFrame,
     by: Sequence[str],
@@ -48,55 +33,19 @@ def rank_spread(
     dense_rank: str | None = None,
     group_total: str | None = None,
 ) -> DataFrame:
-    """Rank by descending value within groups of any size.
-
-    A plain window would put a whole group into one task.  Here the distinct values
-    of a group are counted first, so ties, however many, are one row.  The values
-    are cut into bands, numbered inside the bands, and lifted by what lies in the
-    higher bands; the band table is small (groups times a few thousand), so its
-    window is cheap.  Rows then take the rank of their value.  The result is the
-    exact rank.
+    """Rank by descending value within groups of any size, exactly as a window would.
 
-    The group is carried as one struct: structs with null fields are equal, so
-    null groups survive the joins.
+    A window puts a whole group into one task.  Here rows are cut by ranges of group and value, see ``rangecut``; the frame is read once,
+    when this is called.  The total of a group is added up within tasks first; null groups have one as well.
     """
-    grouped = df.withColumn("_group", F.struct(*by))
-    # A struct again, so that rows without a value find each other too.
-    keyed = grouped.withColumn("_value", F.struct(F.col(value).alias("v")))
-    values = keyed.groupBy("_group", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    banded = values.withColumn("_band", _value_band(F.col("_value.v")))
-    inside = Window.partitionBy("_group", "_band").orderBy(F.col("_value.v").desc())
-    ranked = banded.withColumns(
-        {
-            "_before": F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)),
-            "_place": F.row_number().over(inside),
-        }
-    )
-    bands = banded.groupBy("_group", "_band").agg(
-        F.sum("_n").alias("_rows"),
-        F.count(F.lit(1)).alias("_values"),
-        F.sum(F.col("_n") * F.col("_value.v")).alias("_sum"),
-    )
-    above = Window.partitionBy("_group").orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    lifts = bands.select(
-        "_group",
-        "_band",
-        F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows_above"),
-        F.coalesce(F.sum("_values").over(above), F.lit(0)).alias("_values_above"),
-        F.sum("_sum").over(Window.partitionBy("_group")).alias("_total"),
-    )
-    placed = ranked.join(lifts, ["_group", "_band"])
-    added = []
-    if rank:
-        before = F.coalesce("_before", F.lit(0)) + F.col("_rows_above")
-        added.append((before + 1).cast("int").alias(rank))
-    if dense_rank:
-        added.append((F.col("_place") + F.col("_values_above")).cast("int").alias(dense_rank))
-    if group_total:
-        added.append(F.col("_total").alias(group_total))
-    names = [n for n in (rank, dense_rank, group_total) if n]
-    found = placed.select("_group", "_value", *added)
-    return keyed.join(found, ["_group", "_value"]).select(*df.columns, *names)
+    found = ranked_in_order(df, by, value, "_rank", "_dense_rank")
+    kept = [F.col(old).alias(new) for old, new in (("_rank", rank), ("_dense_rank", dense_rank)) if new]
+    if not group_total:
+        return found.select(*df.columns, *kept)
+    # As one struct: structs with null fields are equal, so null groups find their total.
+    grouped = found.withColumn("_group", F.struct(*by))
+    totals = grouped.groupBy("_group").agg(F.sum(value).alias(group_total))
+    return grouped.join(totals, "_group").select(*df.columns, *kept, group_total)
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str, drop_null: Sequence[str] = ()) -> DataFrame:

@@ -151,6 +151,30 @@ def test_spread_rank_is_the_plain_rank(spark, seed):
     assert pairs(got) == pairs(wanted)
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)"])
+def test_ranks_across_the_borders_of_tasks(spark, kind):
+    """One group and one value with most of the rows, cut over 16 tasks."""
+    from pyspark.sql import Window
+
+    draw = random.Random(7)
+    odd = [0.0, -0.0, None] + ([math.nan, math.inf, -math.inf] if kind == "double" else [])
+    rows = [(draw.choice([1, 1, 1, 1, None, 2]), draw.choice(["x", None]), draw.choice([7.0, 7.0, 7.0, 7.0, *odd, draw.randrange(20)])) for _ in range(3000)]
+    rows = [(g, h, v if v is None else float(v), i) for i, (g, h, v) in enumerate(rows)] + [(1, "x", 7.0, 5000)] * 300
+    df = spark.createDataFrame(rows, "g int, h string, v double, i int").withColumn("v", F.col("v").cast(kind))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = ranking.rank_spread(df, ["g", "h"], "v", rank="r", dense_rank="d")
+        none = ranking.rank_spread(df.where("false"), ["g"], "v", rank="r", group_total="t")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    w = Window.partitionBy("g", "h").orderBy(F.desc("v"))
+    wanted = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    shown = F.col("v").cast("string")  # a value that is no number does not equal itself
+    assert pairs(got.withColumn("v", shown)) == pairs(wanted.withColumn("v", shown))
+    assert none.columns == ["g", "h", "v", "i", "r", "t"] and none.count() == 0
+    assert "Window" not in got._jdf.queryExecution().toString()
+
+
 def test_previous_loaded_period(spark):
     df = spark.createDataFrame([(202401, 1), (202404, 2)], "p int, v long")
     assert pairs(ranking.with_previous(df, "v", "p")) == [(202401, 1, None), (202404, 2, 1)]
