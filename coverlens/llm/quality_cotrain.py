@@ -7,13 +7,14 @@ other's training rows, if it is surer than ``CONFIDENT``.  Each view is then cal
 (Platt scaling), and a document's log-odds are the calibrated ones' sum less the prior counted twice, each weighted by
 its information on those rows.
 
-The sample: at most ``LABELLED`` labelled and ``UNLABELLED`` other rows in the order of a hash of their ids.  Every row and its whole text is
-scored.  Null and empty texts have zero content counts; null metadata is a value of its own.  Without labels of both kinds every score is the share
+The sample: at most ``LABELLED`` labelled and ``UNLABELLED`` other ids in the order of a hash of the id, of texts of at most ``CHARS`` characters.
+Every row and its whole text is scored.  Null and empty texts have zero content counts; null metadata is a value of its own.  Without labels of both kinds every score is the share
 of good labels (0.5 if none).  Repeated rows score alike; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,13 +22,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import ALPHANUMERIC, LETTERS, NOT_SPACE, blocks, mix, table, text_bytes, words
-from coverlens.llm.sampling import thinning
+from coverlens.llm.sampling import drawn
 
 LABELLED, UNLABELLED = 4000, 8000
+CHARS = 20_000  # longer texts are not drawn into the sample
 ROUNDS, EXCHANGED, CONFIDENT = 5, 200, 0.9
 PAIRS = 64  # hashed byte pairs of the content view
 BUCKETS = 128  # hashed metadata values
@@ -168,22 +170,33 @@ COLUMNS = ("doc_id", "text", "source", "lang", "n_chars")
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    marked = docs.where("doc_id is not null").select(*COLUMNS).join(known, "doc_id", "left").withColumn("marked", F.col("quality").isNotNull())
-    marked = marked.where(thinning(marked.select("doc_id", "marked"), "marked", UNLABELLED))
-    order = Window.partitionBy("marked").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = marked.where(F.coalesce(F.length("text"), F.lit(0)) <= 20_000).withColumn("nth", F.row_number().over(order))
-    return ranked.where(F.col("nth") <= F.when(F.col("marked"), LABELLED).otherwise(UNLABELLED))
+    kinds = docs.where("doc_id is not null").select("doc_id").distinct().join(known, "doc_id", "left")
+    # Quality -1 is no label.
+    kinds = kinds.select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"), F.col("quality").isNotNull().alias("marked"))
+    return drawn(docs, kinds, "marked", {True: LABELLED, False: UNLABELLED}, list(COLUMNS), 0, CHARS)
+
+
+def _fitted(sample: DataFrame) -> tuple[list[View] | None, float]:
+    """Both views and the share of good labels; one task fits them, as the sample is bounded, and only the model leaves it."""
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=[*COLUMNS, "quality", "nth"])])
+        rows = rows.sort_values(["nth", "doc_id"], kind="stable")
+        views = [content(pa.array(rows["text"], pa.string())), metadata(rows)]
+        mark = (rows["quality"] >= 0).to_numpy(dtype=bool)
+        y = rows["quality"].to_numpy(dtype=float)[mark]
+        both = len(set(y)) == 2
+        made = co_train([v[mark] for v in views], y, [v[~mark] for v in views]) if both else None
+        yield pd.DataFrame({"model": [pickle.dumps(made)], "base": [float(y.mean()) if len(y) else 0.5]})
+
+    made = sample.coalesce(1).mapInPandas(fit, "model binary, base double").first()
+    return (None, 0.5) if made is None else (pickle.loads(made["model"]), made["base"])
 
 
 def quality_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of each row of ``docs``: the chance of quality 1.  Labels count for the ids of ``labelled`` only."""
     allowed = labels.join(labelled.select("doc_id").distinct(), "doc_id", "left_semi")
-    sample = _sample(docs, allowed).toPandas().sort_values("nth")  # bounded, see above
-    views = [content(pa.array(sample["text"], pa.string())), metadata(sample)]
-    mark = sample["marked"].to_numpy(dtype=bool)
-    y = sample["quality"].to_numpy(dtype=float, na_value=np.nan)[mark]
-    base = float(y.mean()) if len(y) else 0.5
-    fitted = co_train([v[mark] for v in views], y, [v[~mark] for v in views]) if len(set(y)) == 2 else None
+    fitted, base = _fitted(_sample(docs, allowed))
     held = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

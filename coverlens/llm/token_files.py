@@ -2,13 +2,12 @@
 
 A dataset is a folder of ``NNNNN.bin`` (unsigned little-endian ids, one document after another, each closed by an end id;
 16 bits wide if every id of the vocabulary and the end id fit, else 32), ``NNNNN.idx`` (64-bit document offsets within its .bin,
-counted in ids, one more than documents) and a manifest table of one row per file with its number of documents and ids, the
+counted in ids, one more than documents), ``NNNNN.ids`` (the documents' ids, each with a 1, or 0 and a 0 for a null one) and a manifest table of one row per file with its number of documents and ids, the
 bytes of an id (``width``) and its base: how many ids the files before it hold.  Documents stand in
 ascending ``doc_id`` order over all files; a document's global offset is its file's base plus its local one, so no pass
 over ids is needed to place a file.
 
-Null and empty texts are their end id alone.  Equal ids keep any order among themselves; the range cut keeps them in one file
-only if they fit one range, and the order holds either way.  An empty table gives an empty manifest.  Other columns are
+Null and empty texts are their end id alone.  Texts of equal ids stand in the order of a hash of the text.  An empty table gives an empty manifest.  Other columns are
 ignored.  Null ids sort first.
 """
 
@@ -41,14 +40,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, flat, offsets, ids = encoder(tokenizer).encode, None, [0], [np.zeros(0, OFFSET)]
+        encode, flat, offsets, ids = encoder(tokenizer).encode, None, [0], [np.zeros((0, 2), OFFSET)]
         kind = narrowest(max(encoder(tokenizer).largest, end_id))
         end = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             if flat is None:
                 flat = FlatFile(f"{folder}/{part:05d}.bin")
             texts = batch.column(1).to_pylist()
-            ids.append(batch.column(0).to_numpy(zero_copy_only=False).astype(OFFSET))
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids.append(np.stack([batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), known], axis=1).astype(OFFSET))
             for a, b in groups(texts):
                 for found in encode(texts[a:b]):
                     flat.write(np.frombuffer(found, ID).astype(kind).tobytes() + end)
@@ -65,9 +65,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             names=["part", "n_docs", "n_tokens", "width"],
         )
 
-    ordered = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
-    dealt = ordered.repartitionByRange(partitions, "doc_id") if partitions else ordered.repartitionByRange("doc_id")
-    parts = dealt.sortWithinPartitions("doc_id").mapInArrow(write, "part long, n_docs long, n_tokens long, width int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The order is total but for equal rows, so a repeated task writes the same files.
+    order = ("doc_id", F.xxhash64("text"))
+    dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    parts = dealt.sortWithinPartitions(*order).mapInArrow(write, "part long, n_docs long, n_tokens long, width int")
     parts = materialise(parts, "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -81,19 +83,20 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
             for part, base, width in zip(frame["part"], frame["base"], frame["width"], strict=True):
                 ids = mapped(f"{folder}/{part:05d}.bin", np.dtype(f"<u{width}"))
                 at = mapped(f"{folder}/{part:05d}.idx", OFFSET)
-                names = mapped(f"{folder}/{part:05d}.ids", OFFSET)
+                names = mapped(f"{folder}/{part:05d}.ids", OFFSET).reshape(-1, 2)
                 for a in range(0, len(names), 10_000):
                     rows = range(a, min(a + 10_000, len(names)))
                     yield pd.DataFrame(
                         {
-                            "doc_id": np.asarray(names[rows.start : rows.stop]),
+                            "doc_id": pd.arrays.IntegerArray(names[rows.start : rows.stop, 0].copy(), names[rows.start : rows.stop, 1] == 0),
                             "start": base + np.asarray(at[rows.start : rows.stop]),
                             "n_tokens": np.diff(at[rows.start : rows.stop + 1]),
                             "ids_crc32": [zlib.crc32(ids[at[i] : at[i + 1]].astype(ID)) for i in rows],
                         }
                     )
 
-    dealt = manifest.select("part", "base", "width").repartition(F.col("part"))
+    files = manifest.count()
+    dealt = manifest.select("part", "base", "width").coalesce(1).repartition(max(files, 1))  # a file a task
     return dealt.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -19,11 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import LETTERS, words
-from coverlens.llm.sampling import thinning
+from coverlens.llm.sampling import drawn
 from coverlens.llm.wordfeatures import char_grams, distinct
 
 TRAIN_DOCS = 4000
@@ -247,17 +247,8 @@ def _samples(texts: list[str]) -> list[Text]:
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> DataFrame:
     """(text, toxic): at most ``most`` labelled texts, the two kinds evenly as far as there are enough."""
     known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(thinning(known, "toxic", most))
-    usable = docs.where(F.length("text").between(1, chars)).select("doc_id", "text").join(known, "doc_id")
-    ranked = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # A top-k within two kinds: each task keeps its first rows before any are moved.
-    return (
-        usable.withColumn("nth", F.row_number().over(ranked))
-        .where(F.col("nth") <= most)
-        .orderBy("nth", F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
-        .select("text", "toxic")
-    )
+    found = drawn(docs, known, "toxic", {0: most, 1: most}, ["text"], 1, chars)
+    return found.orderBy("nth", F.xxhash64("doc_id"), "doc_id").limit(most).select("text", "toxic")
 
 
 def score_blocks(net: Network, column: pa.Array) -> np.ndarray:
