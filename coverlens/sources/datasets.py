@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlens.session import materialise
+from coverlens.sources.commitlog import KEPT_SECONDS, CommitLog, Part, State, vacuum
 
 
 class DatasetMissing(FileNotFoundError):
@@ -55,56 +56,41 @@ def read_period(spark: SparkSession, path: str, period: int, period_column: str
     return rows
 
 
-LOG_SCHEMA = "table string, part string, version long, filled boolean, note string, folder string"
-
-
 class ConcurrentLoad(RuntimeError):
-    """Another load was published while this one was written."""
+    """Another load replaced the same parts while this one was written."""
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A written version of a table that no reader sees yet."""
+    """A written version of a table that no reader sees yet; ``seen`` holds the versions its parts had before."""
 
     table: PublishedTable
-    seen: int
+    seen: dict[str, int]
     target: str
-    lines: list[tuple[str, str, int, bool, str | None, str]]
+    lines: list[Part]
+    note: str | None
 
 
 class PublishedTable:
     """A table whose readers see whole loads only.
 
-    A load writes new files beside the old ones and then appends one line per
-    written part to a log; readers take the newest line of each part.  A load that
-    dies half way has published nothing, and a rerun publishes again.  The log has
-    one line per part and load, never per row.  Tables that are loaded together
-    share a log (``log``, with a ``name`` for each) and are published together.
+    A load writes new files beside the old ones and is then published by one entry of a log (``CommitLog``); readers take the newest
+    line of each part.  A load that dies half way has published nothing, and a rerun publishes again.  Of two loads that
+    replace the same part at once one is refused.  Tables that are loaded together share a log (``log``, with a ``name`` for
+    each) and are published together.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, part_column: str | None = None, log: str | None = None, name: str = ""
     ):
         self.spark, self.root, self.part_column = spark, root.rstrip("/"), part_column
-        self.log, self.name = log or f"{self.root}/published", name
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log).where(F.col("table") == self.name)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _newest(self) -> dict[str, tuple[int, bool, str]]:
-        log = self._log()
-        if log is None:
-            return {}
-        newest = log.groupBy("part").agg(F.max(F.struct("version", "filled", "folder")).alias("v"))
-        return {r["part"]: (r["v"]["version"], r["v"]["filled"], r["v"]["folder"]) for r in newest.collect()}
+        self.log, self.name = CommitLog(log or f"{self.root}/published"), name
+
+    def _newest(self) -> dict[str, Part]:
+        return self.log.state().of(self.name)
 
     def last_version(self) -> int:
-        return max((v for v, *_ in self._newest().values()), default=0)
+        return max((line.version for line in self._newest().values()), default=0)
 
     def exists(self) -> bool:
         return bool(self._newest())
@@ -113,7 +99,7 @@ class PublishedTable:
         """The published rows, of all or the named parts; None if there are none."""
         newest = self._newest()
         wanted = newest if parts is None else {str(p): newest[str(p)] for p in parts if str(p) in newest}
-        filled = {p: folder for p, (_, has_rows, folder) in wanted.items() if has_rows}
+        filled = {p: line.folder for p, line in wanted.items() if line.filled}
         if not filled:
             return None
         if self.part_column is None:
@@ -123,14 +109,13 @@ class PublishedTable:
 
     def has_note(self, note: str) -> bool:
         """Whether a load with this note was published."""
-        log = self._log()
-        return log is not None and not log.where(F.col("note") == note).isEmpty()
+        return self.log.has_note(note)
 
     def write(self, df: DataFrame, parts: Sequence[int | str] | None = None, note: str | None = None) -> int:
         """Write the frame as a new version and publish it; see ``prepare``."""
         prepared = self.prepare(df, parts, note)
         publish([prepared])
-        return prepared.seen + 1
+        return prepared.lines[0].version if prepared.lines else self.last_version()
 
     def prepare(self, df: DataFrame, parts: Sequence[int | str] | None = None, note: str | None = None) -> Prepared:
         """Write the frame as a new version that ``publish`` makes visible.
@@ -138,8 +123,8 @@ class PublishedTable:
         A partitioned table needs the names of the parts this load replaces; one
         without rows is published as empty.
         """
-        seen = self.last_version()
-        version = seen + 1
+        newest = self._newest()
+        version = max((line.version for line in newest.values()), default=0) + 1
         # A folder of its own: another writer's files are never touched.
         folder = f"{version}-{uuid.uuid4().hex}"
         target = f"{self.root}/data/version={folder}"
@@ -155,22 +140,39 @@ class PublishedTable:
             found = self.spark.read.schema(df.schema).parquet(target).select(self.part_column).distinct().collect()
             present = {str(r[0]) for r in found}
             filled = {str(p): str(p) in present for p in parts}
-        lines = [(self.name, part, version, has_rows, note, folder) for part, has_rows in filled.items()]
-        return Prepared(self, seen, target, lines)
+        lines = [Part(self.name, part, version, has_rows, folder) for part, has_rows in filled.items()]
+        seen = {part: newest[part].version if part in newest else 0 for part in filled}
+        return Prepared(self, seen, target, lines, note)
+
+    def vacuum(self, older_than: float = KEPT_SECONDS) -> int:
+        """Delete versions that no reader can reach any more, after so many seconds, and log entries that the log's state covers."""
+        self.log.tidy(older_than)
+        return vacuum(self.root, {line.folder for line in self._newest().values()}, older_than)
 
 
 def publish(load: Sequence[Prepared]) -> None:
-    """Make all tables of a load visible at once: their lines are one file of their common log."""
+    """Make all tables of a load visible at once, by one entry of their common log.
+
+    Fails if another load published one of the parts since this one read them; loads of other parts do not matter.
+    """
     if not load:
         return
-    first = load[0].table
-    if {p.table.log for p in load} != {first.log}:
+    log = load[0].table.log
+    if {p.table.log.path for p in load} != {log.path}:
         raise ValueError("tables published together share one log")
-    for prepared in load:
-        if prepared.table.last_version() != prepared.seen:
-            raise ConcurrentLoad(f"another load was published at {prepared.table.root} meanwhile; run this one again")
-    lines = first.spark.createDataFrame([line for p in load for line in p.lines], LOG_SCHEMA)
-    lines.coalesce(1).write.mode("append").parquet(first.log)
+    notes = {p.note for p in load if p.note is not None}
+    if len(notes) > 1:
+        raise ValueError("a load has one note")
+
+    def lines(state: State) -> list[Part]:
+        for prepared in load:
+            now = state.of(prepared.table.name)
+            for part, version in prepared.seen.items():
+                if (now[part].version if part in now else 0) != version:
+                    raise ConcurrentLoad(f"another load replaced part {part} at {prepared.table.root} meanwhile; run this one again")
+        return [line for prepared in load for line in prepared.lines]
+
+    log.append(lines, *notes)
 
 
 def reject_records(

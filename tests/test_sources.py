@@ -3,12 +3,16 @@ from __future__ import annotations
 import hashlib
 import io
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
 from coverlens.plans.audit import RunLog, outcome_status
 from coverlens.session import scratch_path
+from coverlens.sources import commitlog
+from coverlens.sources.commitlog import CommitLog, Part
 from coverlens.sources import archives, datasets, delimited, manifest, storage
 from coverlens.streaming.landing import each_batch, ingest_new_files, landed_stream
 from coverlens.streaming.upserts import BatchUpsert
@@ -246,6 +250,62 @@ def test_stream_upsert_applies_corrections_and_ignores_repeats(spark, tmp_path):
     assert {tuple(r) for r in target.result().select("period_key", "k", "v").collect()} == wanted
 
 
+def test_racing_appends_each_get_a_number(tmp_path):
+    log = CommitLog(str(tmp_path / "log"))
+
+    def writer(who: int) -> list[int]:
+        mine = CommitLog(str(tmp_path / "log"))
+        return [mine.append(lambda state: [Part(f"t{who}", "all", state.number + 1, True, f"{who}-{i}")], f"writer={who} load={i}") for i in range(15)]
+
+    with ThreadPoolExecutor(6) as pool:
+        numbers = [n for mine in pool.map(writer, range(6)) for n in mine]
+    assert sorted(numbers) == list(range(1, 91))
+    state = log.state()
+    assert state.number == 90 and {k: line.folder for k, line in state.parts.items()} == {(f"t{w}", "all"): f"{w}-14" for w in range(6)}
+    assert log.has_note("writer=3 load=14") and log.has_note("writer=3 load=2") and not log.has_note("writer=3 load=15")
+    assert not log.has_note("writer=9 load=0") and not log.has_note("other")
+
+
+def test_reading_the_log_costs_the_same_after_many_loads(tmp_path, monkeypatch):
+    log = CommitLog(str(tmp_path / "log"))
+    assert log.state().number == 0 and log.tidy(0) == 0
+    opened = []
+    plain = CommitLog._lines
+    monkeypatch.setattr(CommitLog, "_lines", lambda self, name: opened.append(name) or plain(self, name))
+    for i in range(57):
+        log.append(lambda state, i=i: [Part("t", str(i % 3), i, True, str(i))], "free text")
+    opened.clear()
+    before = log.state()
+    assert len(opened) <= commitlog.EVERY and before.number == 57 and len(before.parts) == 3
+    assert log.tidy(3600) == 0 and log.tidy(0) == 50 + 4
+    assert log.state() == before and log.has_note("free text")
+    assert log.append(lambda state: [Part("t", "0", 99, False, "99")]) == 58
+
+
+def test_two_loads_of_one_part_and_two_of_different_parts(spark, tmp_path):
+    table = datasets.PublishedTable(spark, str(tmp_path / "t"), "p")
+    frame = lambda p, v: spark.createDataFrame([(v, p)], "v int, p int")
+    table.write(frame(1, 0), [1])
+    rivals = [table.prepare(frame(1, 10), [1]), table.prepare(frame(1, 20), [1]), table.prepare(frame(2, 30), [2])]
+    gate = Barrier(3)
+
+    def race(load):
+        gate.wait()
+        try:
+            datasets.publish([load])
+        except datasets.ConcurrentLoad:
+            return False
+        return True
+
+    with ThreadPoolExecutor(3) as pool:
+        won = list(pool.map(race, rivals))
+    assert sum(won[:2]) == 1 and won[2]
+    assert {(r["p"], r["v"]) for r in table.read().collect()} == {(1, 10 if won[0] else 20), (2, 30)}
+    # What nobody can read goes, but only when it is old.
+    assert table.vacuum() == 0 and len(list((tmp_path / "t" / "data").iterdir())) == 4
+    assert table.vacuum(0) == 2 and table.read().count() == 2
+
+
 def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
     from coverlens.operators import facts
     from coverlens.plans.loading import Warehouse
@@ -268,5 +328,5 @@ def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
     assert not any(table.exists() for table in house.tables.values())
     assert house.load_enrolment(batch, 202401, 2).inserted == 1
     assert {name for name, table in house.tables.items() if table.exists()} == {"time", "locality", "enrolment"}
-    log = spark.read.parquet(str(tmp_path / "house" / "published"))
-    assert log.count() == 3
+    log = CommitLog(str(tmp_path / "house" / "published")).state()
+    assert len(log.parts) == 3
