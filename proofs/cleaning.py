@@ -27,7 +27,7 @@ def grain_sum(spark, sf_dir):
     f"""WITH {sql.ENROL}, keyed AS (
   SELECT enrol.* REPLACE (CASE WHEN s_acctbal >= 0 THEN carrier_sk ELSE -1 END AS carrier_sk,
                           CASE WHEN r_name <> 'ASIA' THEN locality_sk ELSE -1 END AS locality_sk)
-  FROM enrol JOIN supplier ON carrier_sk = s_suppkey JOIN nation ON locality_sk = n_nationkey
+  FROM enrol JOIN supplier ON carrier_sk = s_suppkey JOIN nation ON locality_sk // 5 = n_nationkey
   JOIN region ON n_regionkey = r_regionkey)
 SELECT {GRAIN}, {SUMS} FROM keyed GROUP BY {GRAIN}""",
 )
@@ -326,12 +326,12 @@ def folded_groups(spark, sf_dir):
     "expected_files",
     f"""WITH {sql.ENROL} SELECT DISTINCT period_key, 'pda-024-icb-' || n_name || '-' || (period_key // 100) || '_' ||
   lpad(CAST(period_key % 100 AS VARCHAR), 2, '0') || '.zip' AS file
-FROM enrol JOIN nation ON locality_sk = n_nationkey""",
+FROM enrol JOIN nation ON locality_sk // 5 = n_nationkey""",
 )
 def expected_files(spark, sf_dir):
-    """Archives that should have landed: one per locality and period with members."""
+    """Archives that should have landed: one per state and period with members."""
     pairs = roles.enrolment(spark, sf_dir).select("period_key", "locality_sk").distinct()
-    named = pairs.join(roles.places(spark, sf_dir), "locality_sk")
+    named = pairs.join(roles.places(spark, sf_dir), "locality_sk").select("period_key", "state").distinct()
     return named.select("period_key", periods.landing_file_name("state", "period_key").alias("file"))
 
 

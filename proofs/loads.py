@@ -144,7 +144,7 @@ def type2_close_missing(spark, sf_dir):
     "facility_keys_resolved",
     """SELECT p_partkey AS facility_code, p_name AS facility_name,
   CASE WHEN p_type <> 'MEDIUM' THEN ascii(p_type) ELSE -1 END AS facility_type_sk,
-  CASE WHEN p_size < 25 THEN p_size ELSE -1 END AS locality_sk FROM part""",
+  CASE WHEN p_size * 4 < 125 THEN p_size * 4 ELSE -1 END AS locality_sk FROM part""",
 )
 def facility_keys_resolved(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
@@ -152,8 +152,8 @@ def facility_keys_resolved(spark, sf_dir):
         F.col("p_partkey").alias("facility_code"),
         F.col("p_name").alias("facility_name"),
         F.col("p_type").alias("type_code"),
-        F.col("p_size").cast("string").alias("locality_code"),
-        F.col("p_size").cast("string").alias("state"),
+        (F.col("p_size") * 4).cast("string").alias("locality_code"),
+        (F.col("p_size") * 4).cast("string").alias("state"),
     )
     types = parts.where("p_type <> 'MEDIUM'").select(
         F.col("p_type").alias("type_code"), F.ascii("p_type").cast("bigint").alias("facility_type_sk")
@@ -207,66 +207,77 @@ def merge_action_counts(spark, sf_dir):
     return facts.action_counts(facts.upsert_fact(fact, batch, GRAIN, ["active"], ["segment"]))
 
 
-LOAD_PERIOD = roles.PERIOD
+LOAD_PERIOD, NEXT_PERIOD = roles.PERIOD, roles.PERIOD + 1
+LOADED = f"period_key IN ({LOAD_PERIOD}, {NEXT_PERIOD})"
+GRAIN_KEYS = "period_key, locality_sk, sex, age_band, tie_type, segment"
 
 
 @proof(
     "warehouse_load",
-    f"""WITH {sql.ENROL}, e AS (SELECT * FROM enrol WHERE period_key = {LOAD_PERIOD})
-SELECT 'enrolment' AS name, count(*) AS rows, CAST(sum(active) AS BIGINT) AS total FROM (
-  SELECT CASE WHEN s_acctbal >= 0 THEN carrier_sk ELSE -1 END AS c, locality_sk, sex, age_band, tie_type, segment,
-    sum(active) AS active FROM e JOIN supplier ON carrier_sk = s_suppkey GROUP BY ALL)
-UNION ALL SELECT 'unknown_carrier', count(DISTINCT (locality_sk, sex, age_band, tie_type, segment)),
-  CAST(sum(active) AS BIGINT) FROM e JOIN supplier ON carrier_sk = s_suppkey WHERE s_acctbal < 0
-UNION ALL SELECT 'carrier', count(*) + 1, NULL FROM supplier WHERE s_acctbal >= 0
-UNION ALL SELECT 'locality', count(DISTINCT locality_sk) + 1, NULL FROM e
-UNION ALL SELECT 'second_load_inserts', 0, 0""",
+    f"""WITH {sql.ENROL}, {sql.PLACES},
+g AS (SELECT carrier_sk, {GRAIN_KEYS}, CAST(sum(active) AS BIGINT) AS active FROM enrol WHERE {LOADED} GROUP BY ALL),
+loaded AS (
+  SELECT CASE WHEN s_acctbal >= 0 THEN 'c' || carrier_sk ELSE '-' END AS carrier, g.*,
+    period_key = {LOAD_PERIOD} AND tie_type <> 'F' AS again FROM g JOIN supplier ON carrier_sk = s_suppkey)
+SELECT 'enrolment' AS name, period_key, carrier, 'p' || locality_sk AS locality,
+  concat_ws('/', sex, age_band, tie_type, segment) AS detail,
+  CAST(sum(active + CASE WHEN again AND sex = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS value,
+  CAST(CASE WHEN again THEN 3 WHEN period_key = {LOAD_PERIOD} THEN 1 ELSE 2 END AS BIGINT) AS run_id
+FROM loaded GROUP BY carrier, locality_sk, sex, age_band, tie_type, segment, period_key, again
+UNION ALL SELECT 'carrier', NULL, 'c' || s_suppkey, NULL, s_name, NULL, NULL FROM supplier WHERE s_acctbal >= 0
+UNION ALL SELECT DISTINCT 'locality', NULL::INTEGER, NULL, 'p' || locality_sk, 'place ' || locality_sk, NULL::BIGINT, NULL::BIGINT FROM g
+UNION ALL SELECT DISTINCT 'time', period_key, NULL, NULL, NULL, NULL::BIGINT, NULL::BIGINT FROM g""",
 )
 def warehouse_load(spark, sf_dir):
-    """Carriers, localities and one period's fact loaded into published tables, twice."""
-    batch = roles.enrolment(spark, sf_dir).where(F.col("period_key") == LOAD_PERIOD)
-    batch = batch.withColumns(
+    """Carriers, then two months of enrolment, then the first month again without closed rows and with other counts.
+
+    Facts are shown under the natural keys that their surrogate keys lead to; rows that the last load lacks stay.
+    """
+    rows = roles.enrolment(spark, sf_dir).where(F.col("period_key").isin(LOAD_PERIOD, NEXT_PERIOD))
+    rows = rows.withColumns(
         {
-            "carrier_code": F.col("carrier_sk").cast("string"),
-            "locality_code": F.col("locality_sk").cast("string"),
+            "carrier_code": F.concat(F.lit("c"), F.col("carrier_sk").cast("string")),
+            "locality_code": F.concat(F.lit("p"), F.col("locality_sk").cast("string")),
             "locality_name": F.concat(F.lit("place "), F.col("locality_sk").cast("string")),
             "state": F.lit("SP"),
         }
     )
-    # The load reads its batch several times, so it is written first, as the validated layer would be.
-    batch = materialise(sum_to_grain(batch, layouts.ENROLMENT_GRAIN, layouts.MEASURES), "batch")
+    # The loads read their batches several times, so they are written first, as the validated layer would be.
+    batch = materialise(sum_to_grain(rows, layouts.ENROLMENT_GRAIN, layouts.MEASURES), "batch")
     none = F.lit(None).cast("string")
     register = table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
-        F.col("s_suppkey").cast("string").alias("carrier_code"),
+        F.concat(F.lit("c"), F.col("s_suppkey").cast("string")).alias("carrier_code"),
         F.col("s_name").alias("legal_name"),
         *[none.alias(c) for c in ("kind", "seat_state", "registration_no", "trade_name", "seat_locality")],
         F.lit(None).cast("date").alias("registered_on"),
     )
     house = Warehouse(spark, scratch_path(spark, "warehouse"))
     house.load_carriers(register, FIRST_DAY)
-    house.load_enrolment(batch, LOAD_PERIOD, 1)
-    again = house.load_enrolment(batch, LOAD_PERIOD, 2)
-    fact, carrier, locality = house.read("enrolment"), house.read("carrier"), house.read("locality")
-
-    def line(name, df, total):
-        return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), total.alias("total"))
-
-    nothing = F.lit(None).cast("bigint")
-    parts = [
-        line("enrolment", fact, F.sum("active")),
-        line("unknown_carrier", fact.where("carrier_sk = -1"), F.sum("active")),
-        line("carrier", carrier, nothing),
-        line("locality", locality, nothing),
-        fact.agg(
-            F.lit("second_load_inserts").alias("name"),
-            F.lit(again.inserted).cast("bigint").alias("rows"),
-            (F.lit(again.updated) - F.count(F.lit(1))).alias("total"),
-        ),
-    ]
-    stacked = parts[0]
-    for more in parts[1:]:
-        stacked = stacked.unionByName(more)
-    return stacked
+    month = {p: batch.where(F.col("period_key") == p) for p in (LOAD_PERIOD, NEXT_PERIOD)}
+    house.load_enrolment(month[LOAD_PERIOD], LOAD_PERIOD, 1)
+    house.load_enrolment(month[NEXT_PERIOD], NEXT_PERIOD, 2)
+    changed = F.col("active") + F.when(F.col("sex") == "R", 1).otherwise(0)
+    house.load_enrolment(month[LOAD_PERIOD].where("tie_type <> 'F'").withColumn("active", changed), LOAD_PERIOD, 3)
+    carrier, locality = house.read("carrier"), house.read("locality")
+
+    def shown(df, name, **values):
+        kinds = {"period_key": "int", "carrier": "string", "locality": "string", "detail": "string", "value": "bigint", "run_id": "bigint"}
+        columns = [values.get(c, F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]
+        return df.select(F.lit(name).alias("name"), *columns)
+
+    fact = house.read("enrolment").join(carrier.select("carrier_sk", "carrier_code"), "carrier_sk", "left")
+    fact = fact.join(locality.select("locality_sk", "locality_code"), "locality_sk", "left")
+    named = F.when(F.col("carrier_sk") == layouts.UNKNOWN_KEY, "-").otherwise(F.col("carrier_code"))
+    detail = F.concat_ws("/", "sex", "age_band", "tie_type", "segment")
+    facts_shown = shown(fact, "enrolment", period_key=F.col("period_key"), carrier=named, locality=F.col("locality_code"), detail=detail,
+                        value=F.col("active"), run_id=F.col("run_id"))
+    known = carrier.where(F.col("carrier_sk") != layouts.UNKNOWN_KEY)
+    places = locality.where(F.col("locality_sk") != layouts.UNKNOWN_KEY)
+    return (
+        facts_shown.unionByName(shown(known, "carrier", carrier=F.col("carrier_code"), detail=F.col("legal_name")))
+        .unionByName(shown(places, "locality", locality=F.col("locality_code"), detail=F.col("locality_name")))
+        .unionByName(shown(house.read("time"), "time", period_key=F.col("period_key")))
+    )
 
 
 STATE_VALUES = ", ".join(f"({i}, '{c}', '{n}', '{r}')" for i, (c, n, r) in enumerate(layouts.STATES))
@@ -329,42 +340,50 @@ def type_members(spark, sf_dir):
 
 @proof(
     "network_load",
-    f"""WITH {sql.NETWORK}, b AS (SELECT DISTINCT l_partkey, l_suppkey, p_type, locality_sk FROM network
-  WHERE period_key = {LOAD_PERIOD})
-SELECT 'network' AS name, count(*) AS rows, count(DISTINCT p_type) AS kinds, count(DISTINCT locality_sk) AS places FROM b
-UNION ALL SELECT 'facility', count(*) + 1, count(DISTINCT p_type) + 1, count(DISTINCT locality_sk) + 1 FROM b
-UNION ALL SELECT 'second_load_inserts', 0, 0, 0""",
+    f"""WITH {sql.NETWORK}, b AS (SELECT DISTINCT period_key, l_partkey, l_partkey || '-' || l_suppkey AS facility, p_type, locality_sk
+  FROM network WHERE {LOADED})
+SELECT 'network' AS name, period_key, facility, p_type AS kind, 'p' || locality_sk AS locality,
+  CAST(CASE period_key WHEN {LOAD_PERIOD} THEN 3 ELSE 2 END AS BIGINT) AS run_id
+FROM b WHERE period_key <> {LOAD_PERIOD} OR l_partkey % 2 = 0
+UNION ALL SELECT DISTINCT 'facility', NULL::INTEGER, facility, p_type, 'p' || locality_sk, NULL::BIGINT FROM b
+UNION ALL SELECT DISTINCT 'type', NULL::INTEGER, NULL, p_type, NULL, NULL::BIGINT FROM b
+UNION ALL SELECT DISTINCT 'locality', NULL::INTEGER, NULL, NULL, 'p' || locality_sk, NULL::BIGINT FROM b""",
 )
 def network_load(spark, sf_dir):
-    """Types, localities, facility versions and the network fact of one period, loaded twice."""
+    """Two months of the network, then the first again in mode replace with the facilities of even parts only.
+
+    Facts are shown under the natural keys that their surrogate keys lead to.
+    """
     codes = F.array(*[F.lit(c) for c in layouts.STATE_CODES])
-    batch = roles.network(spark, sf_dir).where(F.col("period_key") == LOAD_PERIOD).select(
+    batch = roles.network(spark, sf_dir).where(F.col("period_key").isin(LOAD_PERIOD, NEXT_PERIOD)).select(
+        "period_key",
         "facility_code",
         F.concat(F.lit("facility "), "facility_code").alias("facility_name"),
         F.col("facility_type_sk").alias("type_code"),
         F.lit(None).cast("string").alias("type_label"),
-        F.col("locality_sk").cast("string").alias("locality_code"),
+        F.concat(F.lit("p"), F.col("locality_sk").cast("string")).alias("locality_code"),
         F.concat(F.lit("place "), F.col("locality_sk").cast("string")).alias("locality_name"),
-        F.element_at(codes, (F.col("locality_sk") + 1).cast("int")).alias("state"),
+        F.element_at(codes, (F.floor(F.col("locality_sk") / roles.DISTRICTS) + 1).cast("int")).alias("state"),
     )
     batch = materialise(batch, "batch")
+    month = {p: batch.where(F.col("period_key") == p).drop("period_key") for p in (LOAD_PERIOD, NEXT_PERIOD)}
     house = Warehouse(spark, scratch_path(spark, "warehouse"))
-    house.load_network(batch, LOAD_PERIOD, 1, FIRST_DAY)
-    again = house.load_network(batch, LOAD_PERIOD, 2, SECOND_DAY)
-
-    def line(name, df):
-        kinds = df.select("facility_type_sk", "locality_sk").distinct()
-        return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")).select(
-            "*",
-            kinds.select("facility_type_sk").distinct().agg(F.count(F.lit(1))).scalar().alias("kinds"),
-            kinds.select("locality_sk").distinct().agg(F.count(F.lit(1))).scalar().alias("places"),
-        )
-
-    fact = house.read("network")
-    repeat = fact.agg(
-        F.lit("second_load_inserts").alias("name"),
-        F.lit(again.inserted).cast("bigint").alias("rows"),
-        (F.lit(again.updated) - F.count(F.lit(1))).alias("kinds"),
-        F.lit(0).cast("bigint").alias("places"),
-    )
-    return line("network", fact).unionByName(line("facility", house.read("facility"))).unionByName(repeat)
+    house.load_network(month[LOAD_PERIOD], LOAD_PERIOD, 1, FIRST_DAY)
+    house.load_network(month[NEXT_PERIOD], NEXT_PERIOD, 2, SECOND_DAY)
+    even = F.substring_index("facility_code", "-", 1).cast("bigint") % 2 == 0
+    house.load_network(month[LOAD_PERIOD].where(even), LOAD_PERIOD, 3, SECOND_DAY, fact_mode="replace")
+    unknown = layouts.UNKNOWN_KEY
+    kinds = house.read("facility_type").where(F.col("facility_type_sk") != unknown).select("facility_type_sk", F.col("type_code").alias("kind"))
+    places = house.read("locality").where(F.col("locality_sk") != unknown).select("locality_sk", F.col("locality_code").alias("locality"))
+    known = house.read("facility").where(F.col("facility_sk") != unknown)
+    named = known.select("facility_sk", F.col("facility_code").alias("facility"))
+    fact = house.read("network").join(named, "facility_sk").join(kinds, "facility_type_sk").join(places, "locality_sk")
+    members = known.join(kinds, "facility_type_sk").join(places, "locality_sk").withColumnRenamed("facility_code", "facility")
+
+    def shown(df, name):
+        kinds_of = {"period_key": "int", "facility": "string", "kind": "string", "locality": "string", "run_id": "bigint"}
+        columns = [(F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds_of.items()]
+        return df.select(F.lit(name).alias("name"), *columns)
+
+    stacked = shown(fact, "network").unionByName(shown(members, "facility"))
+    return stacked.unionByName(shown(kinds, "type")).unionByName(shown(places, "locality"))

@@ -41,7 +41,7 @@ ranking AS (
 REGIONAL = f"""{sql.ENROL}, regional AS (
   SELECT period_key, r_name AS region, CAST(carrier_sk AS VARCHAR) AS carrier_code, s_name AS legal_name,
     CAST(sum(active) AS BIGINT) AS active_members
-  FROM enrol JOIN supplier ON carrier_sk = s_suppkey JOIN nation ON locality_sk = n_nationkey
+  FROM enrol JOIN supplier ON carrier_sk = s_suppkey JOIN nation ON locality_sk // 5 = n_nationkey
   JOIN region ON n_regionkey = r_regionkey GROUP BY ALL),
 ranked AS (SELECT *, CAST(rank() OVER (PARTITION BY period_key, region ORDER BY active_members DESC) AS INTEGER)
   AS region_rank FROM regional)"""
@@ -147,8 +147,8 @@ def carriers_by_region(spark, sf_dir):
 
 
 def _summary_sql(over: str) -> str:
-    return f"""WITH {sql.ENROL}, {sql.NETWORK}, n AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS locality_sk, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+    return f"""WITH {sql.ENROL}, {sql.NETWORK}, {sql.PLACES}, n AS (
+  SELECT locality_sk, region AS r_name FROM places),
 m AS (SELECT period_key, r_name, sum(active) AS active FROM enrol JOIN n USING (locality_sk) GROUP BY ALL),
 l AS (SELECT period_key, r_name, locality_sk, count(*) AS k FROM network JOIN n USING (locality_sk) GROUP BY ALL),
 f AS (SELECT period_key, r_name, {over}(k) AS k FROM l GROUP BY ALL),

@@ -26,7 +26,7 @@ def untidy_enrolment(spark, sf_dir):
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(home, F.col("c_nationkey") == F.col("locality_sk"))
+        .join(home, F.col("c_nationkey") * roles.DISTRICTS == F.col("locality_sk"))
     )
     quantity = F.col("l_quantity").cast("bigint")
     return joined.select(

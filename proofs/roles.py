@@ -1,23 +1,25 @@
 """The given tables in the roles of the star schema.
 
 An order line is an enrolment row: the order's month is the period, the supplier
-the carrier, the customer's nation the locality.  A facility is a small part
-(size 5 or less) at a supplier, active in the months it is ordered: rare enough
-that some localities have none in a month.  Events are stage runs.
+the carrier, the customer's nation the state and its market segment the locality
+within.  A facility is a part at a supplier, active in the months it is ordered; it
+lies in one of the five localities of the supplier's nation, by the part's number,
+so some localities have none in a month.  Events are stage runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlens.functions.periods import period_of_date
 from coverlens.plans.star import Star
 from coverlens.session import configure
+from proofs.sql import SEGMENTS
 
 PERIOD = 199806
-FACILITY_SIZE = 5
-ATTENTION, CRITICAL = 250, 750
+DISTRICTS = 5
+ATTENTION, CRITICAL = 25, 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def locality_key(nation: str, district: Column) -> Column:
+    return (F.col(nation) * DISTRICTS + district).cast("bigint")
+
+
 def enrolment(spark: SparkSession, sf_dir: str, locality: bool = True) -> DataFrame:
     """Fact rows at the finest grain.  ``locality=False`` leaves out the customer join."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -46,7 +52,7 @@ def enrolment(spark: SparkSession, sf_dir: str, locality: bool = True) -> DataFr
     if locality:
         customers = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("_customer"),
-            F.col("c_nationkey").cast("bigint").alias("locality_sk"),
+            locality_key("c_nationkey", F.array_position(F.array(*map(F.lit, SEGMENTS)), F.col("c_mktsegment")) - 1).alias("locality_sk"),
             F.col("c_mktsegment").alias("segment"),
         )
         orders = orders.join(customers, "_customer")
@@ -54,14 +60,16 @@ def enrolment(spark: SparkSession, sf_dir: str, locality: bool = True) -> DataFr
 
 
 def places(spark: SparkSession, sf_dir: str, state_is_region: bool = False) -> DataFrame:
-    """Nations as localities; each is its own state, or its region is the state."""
+    """Five localities a nation; the nation is their state, or its region is."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     state = "r_name" if state_is_region else "n_name"
-    return joined.select(
-        F.col("n_nationkey").cast("bigint").alias("locality_sk"),
-        F.col("n_nationkey").cast("string").alias("locality_code"),
-        F.col("n_name").alias("locality_name"),
+    districts = joined.withColumn("district", F.explode(F.sequence(F.lit(0), F.lit(DISTRICTS - 1))))
+    number = locality_key("n_nationkey", F.col("district"))
+    return districts.select(
+        number.alias("locality_sk"),
+        number.cast("string").alias("locality_code"),
+        F.concat_ws("/", "n_name", "district").alias("locality_name"),
         F.col(state).alias("state"),
         F.col(state).alias("state_name"),
         F.col("r_name").alias("region"),
@@ -80,24 +88,19 @@ def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per period and facility.
 
-    Small parts are filtered at the scan of ``part``; distinct facilities are
-    formed before the supplier is joined.
+    Distinct facilities are formed before their parts and suppliers are joined.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    small = table(spark, sf_dir, "part").where(F.col("p_size") <= FACILITY_SIZE).select("p_partkey", "p_type")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", period_of_date("o_orderdate").alias("period_key"))
-    seats = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("locality_sk"))
-    active = (
-        lines.join(small, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("period_key", "l_partkey", "l_suppkey", "p_type")
-        .distinct()
-    )
-    return active.join(seats, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    seats = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    active = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("period_key", "l_partkey", "l_suppkey").distinct()
+    typed = active.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return typed.join(seats, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "period_key",
         F.concat_ws("-", "l_partkey", "l_suppkey").alias("facility_code"),
         F.col("p_type").alias("facility_type_sk"),
-        "locality_sk",
+        locality_key("s_nationkey", F.col("l_partkey") % DISTRICTS).alias("locality_sk"),
         F.lit(1).cast("bigint").alias("facilities"),
     )
 

@@ -7,22 +7,25 @@ from coverlens.functions.text import WHITE_SPACE
 
 PERIOD = "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER)"
 
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+LOCALITY = f"CAST(c_nationkey * 5 + list_position({list(SEGMENTS)}, c_mktsegment) - 1 AS BIGINT)"
+
 ENROL = f"""enrol AS (
-  SELECT {PERIOD} AS period_key, l_suppkey AS carrier_sk, CAST(c_nationkey AS BIGINT) AS locality_sk,
+  SELECT {PERIOD} AS period_key, l_suppkey AS carrier_sk, {LOCALITY} AS locality_sk,
          l_returnflag AS sex, o_orderpriority AS age_band, l_linestatus AS tie_type, c_mktsegment AS segment,
          CAST(l_quantity AS BIGINT) AS active, CAST(round(l_discount * 100) AS BIGINT) AS joined,
          CAST(l_linenumber AS BIGINT) AS cancelled
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
 
 PLACES = """places AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS locality_sk, CAST(n_nationkey AS VARCHAR) AS locality_code,
-         n_name AS locality_name, n_name AS state, n_name AS state_name, r_name AS region
-  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+  SELECT CAST(n_nationkey * 5 + d AS BIGINT) AS locality_sk, CAST(n_nationkey * 5 + d AS VARCHAR) AS locality_code,
+         n_name || '/' || d AS locality_name, n_name AS state, n_name AS state_name, r_name AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey, range(5) district(d))"""
 
 NETWORK = f"""network AS (
-  SELECT DISTINCT {PERIOD} AS period_key, l_partkey, l_suppkey, p_type, CAST(s_nationkey AS BIGINT) AS locality_sk
+  SELECT DISTINCT {PERIOD} AS period_key, l_partkey, l_suppkey, p_type, s_nationkey * 5 + l_partkey % 5 AS locality_sk
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  JOIN supplier ON l_suppkey = s_suppkey WHERE p_size <= 5)"""
+  JOIN supplier ON l_suppkey = s_suppkey)"""
 
 MEMBERS = """members AS (
   SELECT period_key, locality_code, locality_name, state, state_name, region,
