@@ -7,14 +7,16 @@ only unseen ones go through the library.  Texts whose white space or special str
 
 from __future__ import annotations
 
+import gc
 import os
+from array import array
 from itertools import islice
 
 import numpy as np
 
 #: Ids are kept as the bytes of unsigned little-endian integers.
 ID = np.dtype("<u4")
-CACHE = 500_000
+CACHE = 1_000_000
 _PUNCTUATION = ",.!?;:%*#$&|()[]{}<>=+/\\\"-_@^~`"
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python only
 _encoders: dict[str, Encoder] = {}
@@ -37,23 +39,27 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.cache]
-        if not new:
-            return
+    def _learn(self, new: set[str]) -> None:
         if len(self.cache) + len(new) > CACHE:  # what came first is common
             for piece in list(islice(self.cache, CACHE // 4, None)):
                 del self.cache[piece]
-            new = [p for p in pieces if p not in self.cache]
+        known = self.cache
         # Punctuation behind a letter is a token of its own: the word in front of it is often known.
-        cores = {p: p.rstrip(_PUNCTUATION) for p in new}
-        split = {p: c for p, c in cores.items() if c != p and c[-1:].isalpha()}
-        parts = {c for c in split.values()} | {p[len(c) :] for p, c in split.items()} | {p for p in new if p not in split}
-        parts = [p for p in parts if p not in self.cache]
-        for piece, found in zip(parts, self.library.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.cache[piece] = np.array(found.ids, dtype=ID).tobytes()
-        for piece, core in split.items():
-            self.cache[piece] = self.cache[core] + self.cache[piece[len(core) :]]
+        split, parts = [], set()
+        for piece in new:
+            core = piece.rstrip(_PUNCTUATION)
+            if core != piece and core[-1:].isalpha():
+                tail = piece[len(core) :]
+                split.append((piece, core, tail))
+                parts.add(core)
+                parts.add(tail)
+            else:
+                parts.add(piece)
+        unseen = [p for p in parts if p not in known]
+        for piece, found in zip(unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
+            known[piece] = array("I", found.ids).tobytes()
+        for piece, core, tail in split:
+            known[piece] = known[core] + known[tail]
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text in pieces that are encoded alone; None if it must be encoded whole."""
@@ -75,10 +81,33 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is empty."""
-        split = [self._pieces(t) if t else [] for t in texts]
-        self._learn({p for pieces in split if pieces for p in pieces})
-        look = self.cache
-        return [self.whole(t) if pieces is None else b"".join([look[p] for p in pieces]) for t, pieces in zip(texts, split, strict=True)]
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and a collection would walk through all pieces again and again
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        flat: list[str] = []
+        ends: list[int | None] = []  # none: the text is encoded whole
+        for text in texts:
+            pieces = self._pieces(text) if text else []
+            if pieces is not None:
+                flat += pieces
+            ends.append(None if pieces is None else len(flat))
+        found = list(map(self.cache.get, flat))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            self._learn({flat[i] for i in missing})
+            for i in missing:
+                found[i] = self.cache[flat[i]]
+        out, first = [], 0
+        for text, end in zip(texts, ends, strict=True):
+            out.append(self.whole(text) if end is None else b"".join(found[first:end]))
+            first = first if end is None else end
+        return out
 
 
 def encoder(path: str) -> Encoder:
@@ -87,7 +116,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def groups(texts: list[str | None], chars: int = 1_000_000):
+def groups(texts: list[str | None], chars: int = 3_000_000):
     """Slices of about so many characters, so that few ids are held at once."""
     first = size = 0
     for i, t in enumerate(texts):
