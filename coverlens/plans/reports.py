@@ -15,6 +15,7 @@ from coverlens.operators.ranking import latest, share_of_top, top_by_stored_rank
 from coverlens.operators.shape import require_columns
 from coverlens.plans import marts
 from coverlens.plans.star import Star
+from coverlens.session import materialise
 from coverlens.sources.datasets import capped
 
 VALIDATE_STAGE = "validate_trusted"
@@ -245,14 +246,20 @@ def explore_capped(cap: int, *args: object, **options: object) -> tuple[DataFram
     return capped(explore(*args, **options), cap)
 
 
-def filter_choices(df: DataFrame, most: int = 200) -> dict[str, list[str]]:
-    """Values to offer per text column: the columns with 2 to ``most`` distinct values."""
+def filter_choice_rows(df: DataFrame, most: int = 200) -> DataFrame:
+    """(column, value): the values of the text columns that have 2 to ``most`` of them; no more leave a column."""
     names = profile.text_columns(df)
-    if not names:
-        return {}
-    distinct = {r["column"]: r["unique"] for r in profile.profile_texts(df, names).collect()}
-    offered = [c for c in names if 1 < distinct.get(c, 0) <= most]
-    if not offered:
-        return {}
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in offered]).first()
-    return {c: list(row[c]) for c in offered}
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in names]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, value string")
+    values = materialise(df.select(F.inline(F.array(*entries))).where("value is not null").distinct(), "choices")
+    offered = values.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, most))
+    return values.join(F.broadcast(offered.select("column")), "column")  # one row per column
+
+
+def filter_choices(df: DataFrame, most: int = 200) -> dict[str, list[str]]:
+    """The same as sorted lists, in the order of the columns."""
+    found: dict[str, list[str]] = {}
+    for row in filter_choice_rows(df, most).collect():
+        found.setdefault(row["column"], []).append(row["value"])
+    return {c: sorted(found[c]) for c in df.columns if c in found}

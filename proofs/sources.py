@@ -268,23 +268,6 @@ def reject_payload(spark, sf_dir):
     return keyed
 
 
-@proof(
-    "export_marts",
-    f"""WITH {STATES} SELECT 'by_state' AS mart, period_key, CAST(sum(active_members) AS BIGINT) AS active_members
-FROM states GROUP BY 2
-UNION ALL SELECT 'monthly_trend', period_key, CAST(sum(active_members) AS BIGINT) FROM states GROUP BY 2""",
-)
-def export_marts(spark, sf_dir):
-    parts = star(spark, sf_dir, "enrolment", "locality")
-    frames = {name: marts.MARTS[name](parts) for name in ("by_state", "monthly_trend")}
-    written = datasets.export_marts(frames, scratch_path(spark, "exports"), PERIOD)
-    read = [
-        spark.read.parquet(path).select(F.lit(path.rsplit("=", 1)[1]).alias("mart"), "period_key", "active_members")
-        for path in written
-    ]
-    return read[0].unionByName(read[1]).groupBy("mart", "period_key").agg(F.sum("active_members").alias("active_members"))
-
-
 @proof(
     "bound_query",
     f"""WITH {STATES} SELECT state, active_members, {DATE} AS period_date FROM states
