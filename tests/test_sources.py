@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import time
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
 from threading import Barrier
@@ -15,6 +16,7 @@ from coverlens.sources import commitlog
 from coverlens.sources.commitlog import CommitLog, Part
 from coverlens.sources import archives, datasets, delimited, manifest, storage
 from coverlens.streaming.landing import each_batch, ingest_new_files, landed_stream
+from coverlens.streaming.register import read_register, register_deliveries
 from coverlens.streaming.upserts import BatchUpsert
 
 
@@ -306,6 +308,33 @@ def test_two_loads_of_one_part_and_two_of_different_parts(spark, tmp_path):
     assert table.vacuum(0) == 2 and table.read().count() == 2
 
 
+def test_register_knows_deliveries_by_content(spark, tmp_path):
+    landed, register = tmp_path / "landed", str(tmp_path / "register")
+
+    def land(name, text):
+        (landed / name).parent.mkdir(parents=True, exist_ok=True)
+        (landed / name).write_text(text)
+
+    def run(checkpoint, stream):
+        register_deliveries(spark, str(landed), register, str(tmp_path / checkpoint), stream)
+        return sorted((r["path"], r["length"], r["status"], r["first_path"]) for r in read_register(spark, register).collect())
+
+    assert read_register(spark, register).count() == 0
+    land("x/a", "one")
+    land("x/b", "")
+    assert run("c1", "s1") == [("x/a", 3, "new", "x/a"), ("x/b", 0, "new", "x/b")]
+    assert len(run("c1", "s1")) == 2
+    time.sleep(0.02)
+    land("x/a", "other")  # a changed file of the same name
+    land("y/c", "one")  # a known file under another name
+    land("y/d.partial", "not yet")
+    found = run("c1", "s1")
+    assert len(found) == 4 and ("x/a", 5, "new", "x/a") in found and ("y/c", 3, "repeated", "x/a") in found
+    assert run("c2", "s2") == found  # a new checkpoint adds nothing that is known
+    land("z", "one")
+    assert run("c2", "s2") == sorted([*found, ("z", 3, "repeated", "x/a")])
+
+
 def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
     from coverlens.operators import facts
     from coverlens.plans.loading import Warehouse
