@@ -16,7 +16,8 @@ import numpy as np
 
 #: Ids are kept as the bytes of unsigned little-endian integers.
 ID = np.dtype("<u4")
-CACHE = 1_000_000
+CACHE = 600_000
+BATCH = 8192  # unseen pieces that go through the library at once: its answers are large
 _PUNCTUATION = ",.!?;:%*#$&|()[]{}<>=+/\\\"-_@^~`"
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python only
 _encoders: dict[str, Encoder] = {}
@@ -56,8 +57,10 @@ class Encoder:
             else:
                 parts.add(piece)
         unseen = [p for p in parts if p not in known]
-        for piece, found in zip(unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            known[piece] = array("I", found.ids).tobytes()
+        for a in range(0, len(unseen), BATCH):
+            part = unseen[a : a + BATCH]
+            for piece, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[piece] = array("I", found.ids).tobytes()
         for piece, core, tail in split:
             known[piece] = known[core] + known[tail]
 
@@ -116,7 +119,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def groups(texts: list[str | None], chars: int = 3_000_000):
+def groups(texts: list[str | None], chars: int = 2_000_000):
     """Slices of about so many characters, so that few ids are held at once."""
     first = size = 0
     for i, t in enumerate(texts):
