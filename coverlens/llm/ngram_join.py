@@ -3,7 +3,7 @@
 Texts are sets of word shingles.  The join links two sets of Jaccard similarity of at least 3/4 (a ratio of
 integers, so no rounding) and gives each text the smallest id its links reach.
 
-* Equal sets become one representative; members are looked up by the set's 128-bit digest.
+* Equal sets become one representative, numbered by the set's 128-bit digest, so texts under one id stay apart.
 * Every shingle is hashed into one of ``GROUPS`` groups; the group counts are the set's point.  The summed
   coordinate minima of two points bound the overlap of their sets from above.
 * Points alone do not tell large sets apart, so they are indexed inside blocks: sets that share a shingle
@@ -19,7 +19,8 @@ integers, so no rounding) and gives each text the smallest id its links reach.
 * Surviving pairs are verified on the whole sets, rebuilt from the texts that take part.
 
 Null and empty texts have no shingles, are linked with nothing and are their own class.  Repeated rows and ties
-fall under the smallest id.  Other columns are ignored.
+fall under the smallest id.  Texts that share an id are compared each on its own, also those of null ids; a class's id is the smallest known
+one, null if it has none.  Empty tables give no rows.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,9 +40,12 @@ from coverlens.session import materialise
 
 SHINGLE = 5
 GROUPS = 256
-MOST = 0xFFFF  # sets of more shingles are bounded by their size alone
+MOST = 0xFFFF  # sets of more shingles have a point that bounds nothing
+BEYOND = 1 << 23  # the counts of such a point: more than any group of shingles of a text of 2 GB
+NO_ID = -(1 << 63)  # stands for a null id while blocks are made; a real id of this value only makes a block larger
 BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
+_H, _G = "_hash_of_text", "_other_hash_of_text"
 CHUNK = 512
 LEAF = 16
 
@@ -82,33 +86,61 @@ def _point(found: np.ndarray) -> np.ndarray:
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    found = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    found[(found == MOST).all(axis=1)] = BEYOND
+    return found
+
+
+def _own(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text, h, g): ``doc`` is never null, and two hashes of the text tell rows of one id apart."""
+    known = F.col("doc_id").cast("long")
+    hashes = F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g")
+    return docs.select(F.coalesce(known, F.lit(NO_ID)).alias("doc"), known.alias("doc_id"), "text", *hashes)
 
 
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n, digest, counts) of each text."""
-    schema = "doc_id long, n long, digest binary, counts binary"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("counts", pa.binary())])
+    """(doc, doc_id, h, g, n, digest, counts) of each text."""
+    schema = "doc long, doc_id long, h long, g long, n long, digest binary, counts binary"
+    kinds = (*[pa.int64()] * 5, pa.binary(), pa.binary())
+    arrow = pa.schema([(c.split()[0], k) for c, k in zip(schema.split(", "), kinds, strict=True)])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in words(batch.column(1), NOT_SPACE):
+            for block in words(batch.column(2), NOT_SPACE):
                 sets = shingles(block, shingle)
+                rows = slice(block.first, block.first + block.rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[block.first : block.first + block.rows],
+                        *[batch.column(k)[rows] for k in (0, 1, 3, 4)],
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([_point(s).tobytes() for s in sets], pa.binary()),
                     ],
                     schema=arrow,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
+    return _own(docs).mapInArrow(sign, schema)
+
+
+def _digest(found: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(found.tobytes())
+
+
+def _lead_texts(docs: DataFrame, leads: DataFrame, shingle: int) -> DataFrame:
+    """(rep, text) of the first document of each of ``leads`` (rep, first, digest): of the texts under its id, one with that digest."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for block in words(batch.column(1), NOT_SPACE) for s in shingles(block, shingle)]
+            same = [len(s) > 0 and _digest(s) == d for s, d in zip(sets, batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["rep", "text"]).filter(pa.array(same, pa.bool_()))
+
+    found = _own(docs).select(F.col("doc").alias("first"), "text").join(leads, "first")
+    return found.select("rep", "text", "digest").mapInArrow(pick, "rep long, text string").dropDuplicates(["rep"])
 
 
 def _prefixes(docs: DataFrame, shingle: int, rarity: Broadcast, shared: Broadcast | None = None) -> DataFrame:
-    """(doc_id, key): the rarest quarter of each text's shingles; with ``shared`` only keys of that bit map."""
+    """(doc, key): the rarest quarter of each text's shingles; with ``shared`` only keys of that bit map."""
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = rarity.value
@@ -126,15 +158,14 @@ def _prefixes(docs: DataFrame, shingle: int, rarity: Broadcast, shared: Broadcas
                         first = first[shared.value[bit >> 6] >> (bit & 63) & 1 == 1]
                     keys.append(first)
                     owners.append(np.full(len(first), ids[block.first + i]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(owners)), pa.array(np.concatenate(keys))], names=["doc_id", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(owners)), pa.array(np.concatenate(keys))], names=["doc", "key"])
 
-    known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    return known.mapInArrow(rarest, "doc_id long, key long")
+    return _own(docs).select("doc", "text").mapInArrow(rarest, "doc long, key long")
 
 
 def _total(seed: int) -> Column:
     """Half of an order-free sum of hashes of ids; it tells repeated ids from absent ones, as a xor would not, and fits a long up to 2 ** 30 rows."""
-    return F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 31))
+    return F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc"), 31))
 
 
 def _bit_map(blocks: DataFrame) -> np.ndarray:
@@ -294,21 +325,23 @@ def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> D
     )
 
 
-def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+def _classes(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, h, g, n, digest, component_id, best) of each row; ``best`` is the digest that stands for its class."""
     spark = docs.sparkSession
     rarity = spark.sparkContext.broadcast(_rarity(docs, shingle))
     signed = materialise(_signatures(docs, shingle), "jaccard-signatures")
     filled = signed.where("n > 0")
-    leads = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    led = materialise(filled.select("doc_id", "digest").join(leads, "digest").select("doc_id", "rep").distinct(), "jaccard-leads")
+    leads = filled.groupBy("digest").agg(F.min("doc").alias("first"), F.min("doc_id").alias("known"))
+    leads = materialise(leads.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")
+    # An id with several texts leads to the sets of all of them: blocks may grow, but lose nothing.
+    led = materialise(filled.select("doc", "digest").join(leads, "digest").select("doc", "rep").distinct(), "jaccard-leads")
     blocks = (
         _prefixes(docs, shingle, rarity)
         .groupBy("key")
         .agg(
             F.count("*").alias("rows"),
-            F.min("doc_id").alias("lo"),
-            F.max("doc_id").alias("hi"),
+            F.min("doc").alias("lo"),
+            F.max("doc").alias("hi"),
             _total(0).alias("x"),
             _total(1).alias("y"),
         )
@@ -316,7 +349,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
     alike = materialise(blocks.groupBy("rows", "lo", "hi", "x", "y").agg(F.min("key").alias("key")).select("key"), "jaccard-blocks")
     shared = spark.sparkContext.broadcast(_bit_map(alike))
-    members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc_id").select("key", "rep").distinct()
+    members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc").select("key", "rep").distinct()
     members = materialise(members, "jaccard-members")
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
     members = materialise(members.join(degree, "rep"), "jaccard-members")
@@ -326,10 +359,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     ends = materialise(ends.where("lo < hi").select("key", "lo", "hi", F.col("hub.rep").alias("hub")), "jaccard-hubs")
     stars = _spokes(members.join(ends, "key"), "lo", "hi", "hub")
     taking_part = members.join(ends.select("key"), "key", "left_semi").select("rep").distinct()
-    points = signed.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "counts").join(taking_part, "rep", "left_semi")
-    points = materialise(points.dropDuplicates(["rep"]), "jaccard-points")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(taking_part, "rep", "left_semi")
-    texts = materialise(texts.dropDuplicates(["rep"]), "jaccard-texts")
+    leading = materialise(leads.join(taking_part, "rep"), "jaccard-leading")
+    points = filled.select("doc", "digest", "n", "counts").join(leading.select("rep", F.col("first").alias("doc"), "digest"), ["doc", "digest"])
+    points = materialise(points.select("rep", "n", "counts").dropDuplicates(["rep"]), "jaccard-points")
+    texts = materialise(_lead_texts(docs, leading.select("rep", "first", "digest"), shingle), "jaccard-texts")
     tried = materialise(_bounded(stars, points), "jaccard-stars")
     links = materialise(_linked(tried, texts, shingle), "jaccard-links")
     # Blocks still apart: one more hub for each, the best placed outside the class of the first.
@@ -345,15 +378,45 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     classes = components(links, taking_part.select(F.col("rep").alias("id")))
     later = _open_blocks(members.select("key", "rep"), classes, points).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_linked(materialise(later, "jaccard-later"), texts, shingle))
-    classes = components(links).select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
-    own = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(leads, "digest", "left")
-    return own.join(classes, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id")
-    )
+    classes = components(links).select(F.col("id").alias("rep"), "component")
+    sets = leads.join(classes, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    # The set that stands for a class is that of the smallest known id, of two of one id the one with the lower digest.
+    place = F.struct(F.col("known").isNull(), "known", "digest")
+    chosen = sets.groupBy("component").agg(F.min("known").alias("component_id"), F.min_by("digest", place).alias("best"))
+    named = sets.select("digest", "component").join(chosen, "component").select("digest", "component_id", "best")
+    own = signed.select("doc_id", "h", "g", "n", "digest").join(named, "digest", "left")
+    return own.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+
+
+def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+    return _classes(docs, shingle).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id; the others go."""
-    classes = jaccard_components(docs, shingle)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near copies: that of the smallest id; the others go.
+
+    Rows are known by id and text, so a text stays though another of its id goes, and null ids are judged like others.  Rows that
+    agree in both are one document: the first in the order of all their columns stays.  Texts without words stay, repeated rows too.
+    """
+    judged = materialise(_classes(docs, shingle).where("n > 0"), "jaccard-judged")
+    # Of the chosen set, the texts under the chosen id may differ in case or spaces: the one with the lowest hashes stays.
+    stays = (F.col("digest") == F.col("best")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    text = F.struct("h", "g")
+    one = judged.where(stays).groupBy("best").agg(F.min(text).alias("one"))
+    chosen = judged.where(stays).join(one, "best")
+    keys = ["doc_id", "h", "g"]
+    gone = judged.where(~stays).select(*keys).unionByName(chosen.where(text != F.col("one")).select(*keys)).distinct()
+    twice = chosen.where(text == F.col("one")).groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
+    twice = materialise(twice, "jaccard-twice")
+    rows = docs.select("*", F.xxhash64("text").alias(_H), F.xxhash64(F.lit(1), "text").alias(_G))
+
+    def met(some: DataFrame) -> Column:
+        return rows["doc_id"].cast("long").eqNullSafe(some["doc_id"]) & (rows[_H] == some["h"]) & (rows[_G] == some["g"])
+
+    kept = rows.join(gone, met(gone), "left_anti")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    repeated = kept.join(twice, met(twice), "left_semi").groupBy(F.col("doc_id").cast("long"), _H, _G)
+    repeated = repeated.agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(twice, met(twice), "left_anti").select(*docs.columns).unionByName(repeated)

@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from coverlens.llm import quality_cotrain, sampling, toxicity
+from coverlens.llm.ngram_join import jaccard_components, keep_one
 from coverlens.llm.ship import ship
 from coverlens.llm.token_files import token_digest
 
@@ -67,3 +68,74 @@ def test_classifiers_on_odd_tables(spark, score):
     assert all(0 <= r["score"] <= 1 for r in found)
     assert score(docs.limit(0), docs.limit(0), labels).count() == 0
     assert score(docs, docs.limit(0), labels.limit(0)).count() == len(rows)
+
+
+def _shingles(text):
+    found = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    return frozenset(tuple(found[k : k + 5]) for k in range(len(found) - 4)) or (frozenset([tuple(found)]) if found else frozenset())
+
+
+def _components(rows):
+    """(doc_id, n_shingles, component_id, class) of each row, every row with all others."""
+    sets = [_shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                label[root(i)] = root(j)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[k][0] for k in range(len(rows)) if root(k) == root(i) and rows[k][0] is not None]
+        out.append((doc_id, len(sets[i]), min(ids, default=None), root(i)))
+    return out
+
+
+def _near_copies(seed):
+    draw = random.Random(seed)
+    word = lambda: draw.choice("abcdefghij") + draw.choice("klmnopqrst") + str(draw.randrange(40))
+    base = [" ".join(word() for _ in range(30)) for _ in range(12)]
+
+    def near(text):
+        out = text.split()
+        out[draw.choice([0, -1])] = "other"
+        return " ".join(out)
+
+    rows = [(7, base[0]), (7, base[1]), (8, near(base[0])), (9, near(base[1])), (None, base[2]), (None, near(base[2])), (None, base[3])]
+    rows += [(10, near(base[3])), (11, base[4]), (11, base[4]), (11, base[4].upper()), (12, None), (12, ""), (13, "two words"), (14, "two  WORDS")]
+    rows += [(15, " "), (20, base[5]), (20, near(base[5])), (21, base[5])]
+    rows += [(100 + i, near(base[6 + i % 6])) for i in range(40)]
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_join_with_null_and_repeated_ids(spark, seed):
+    rows = _near_copies(seed)
+    docs = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], "doc_id long, text string, rep long, digest string").repartition(3)
+    found = [tuple(r) for r in jaccard_components(docs).collect()]
+    assert sorted(found, key=str) == sorted((r[:3] for r in _components(rows)), key=str)
+    kept = [r["rep"] for r in keep_one(docs).collect()]
+    assert len(kept) == len(set(kept))
+    classes = {}
+    for i, (_, n, component, root) in enumerate(_components(rows)):
+        if n:
+            classes.setdefault((root, component), []).append(i)
+        else:
+            assert i in kept
+    for (_, component), members in classes.items():
+        stay = [i for i in members if i in kept]
+        assert len(stay) == 1 and rows[stay[0]][0] == component
+
+
+def test_jaccard_join_of_no_rows_and_of_a_long_text(spark):
+    empty = spark.createDataFrame([], DOCS)
+    assert jaccard_components(empty).count() == 0 and keep_one(empty).count() == 0
+    long = " ".join(f"w{i}" for i in range(70_000))
+    rows = [(1, long), (2, long + " end"), (3, "a b c")]
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 69_996, 1), (2, 69_997, 1), (3, 1, 3)]
