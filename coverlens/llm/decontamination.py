@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import ALPHANUMERIC, grams, words
+from coverlens.llm.rows import ROW, text_hashes, without
 from coverlens.session import materialise
 
 SEED = 4
@@ -125,24 +126,31 @@ def _leaks(seeds: Seeds, block, least: float) -> Iterator[tuple[int, int, float,
 
 
 def _block(docs: DataFrame, items: list[tuple[int, str]], least: float) -> DataFrame:
-    chosen = docs.select(F.col("doc_id").cast("long"), "text")
+    chosen = docs.select(F.col("doc_id").cast("long"), "text", *text_hashes())
     kept = docs.sparkSession.sparkContext.broadcast(Seeds(items))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, h, g = (batch.column(k).to_pylist() for k in (0, 2, 3))
             for block in words(batch.column(1), ALPHANUMERIC):
-                found = [(ids[block.first + r], kept.value.ids[i], s, a, b) for r, i, s, a, b in _leaks(kept.value, block, least)]
-                columns = list(zip(*found, strict=True)) or [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                names = ["doc_id", "item_id", "score", "first_word", "end_word"]
+                found = []
+                for r, i, s, a, b in _leaks(kept.value, block, least):
+                    row = block.first + r
+                    found.append((ids[row], h[row], g[row], kept.value.ids[i], s, a, b))
+                columns = list(zip(*found, strict=True)) or [[]] * 7
+                kinds = (*[pa.int64()] * 4, pa.float64(), pa.int64(), pa.int64())
+                names = [*ROW, "item_id", "score", "first_word", "end_word"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    return chosen.mapInArrow(search, "doc_id long, item_id long, score double, first_word long, end_word long")
+    found = materialise(chosen.mapInArrow(search, f"doc_id long, h long, g long, {FOUND}"), "leaks")
+    kept.destroy()  # one block's seeds are held at a time
+    return found
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """(doc_id, item_id, score, first_word, end_word): the passage of each text that best aligns with each leaked item."""
+FOUND = "item_id long, score double, first_word long, end_word long"
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
     items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long"), "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = -(-chars // BLOCK_CHARS)
@@ -152,11 +160,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFr
         for b in range(blocks)
     ]
     if not parts:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, first_word long, end_word long")
+        return docs.sparkSession.createDataFrame([], f"doc_id long, h long, g long, {FOUND}")
     return reduce(DataFrame.unionByName, parts)
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+    """(doc_id, item_id, score, first_word, end_word): the passage of each text that best aligns with each leaked item."""
+    return _found(docs, benchmark, least).drop("h", "g")
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """The documents that hold no leaked item."""
-    found = materialise(leaks(docs, benchmark, least).select("doc_id").distinct(), "leaks")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The rows whose text holds no leaked item; another text under the same id stays, null ids are judged like others."""
+    return without(docs, _found(docs, benchmark, least))

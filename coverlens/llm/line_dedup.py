@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 A line (what stands between line ends) of ``LEAST_CHARS`` characters or more is a repeat if an equal line, or one within
-``edits`` insertions, deletions or substitutions, stands earlier: in a document of a smaller id, or further up in the same
-one.  Repeats are dropped, the rest of the text stays as it is; shorter lines are never touched.
+``edits`` insertions, deletions or substitutions, stands earlier: in a document of a smaller id (null first; of two texts under one
+id, the one with the lower hash), or further up in the same one.  Repeats are dropped, the rest of the text stays as it is; shorter lines are never touched.
 
 * Equal lines are counted and placed by two 64-bit hashes; only distinct lines go on.
 * A line within the threshold of another holds one of that one's ``edits + 1`` segments whole, with at most ``i`` edits to the left
@@ -16,8 +16,9 @@ one.  Repeats are dropped, the rest of the text stays as it is; shorter lines ar
 * Pairs are verified by bit-parallel edit distance over a band of ``2 * edits + 1`` diagonals: one step a character, after equal
   beginnings and ends, which do not change the distance, are taken off.
 
-Null texts stay null and have no lines; empty texts have one empty line.  Ties cannot occur within a document; repeated rows of one id are
-one place, so they keep the same lines.  Other columns are left alone.
+Null texts stay null and have no lines; empty texts have one empty line.  Ties cannot occur within a document; rows that agree in id and
+text are one place, so they keep the same lines.  Other columns are left alone, whatever their names, but ``n_lines`` and
+``dropped_lines`` of ``dedup_lines`` replace columns of these names.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coverlens.llm.rows import same_row, text_hashes
 from coverlens.session import materialise
 
 EDITS = 2
@@ -266,24 +268,29 @@ def _candidates(lines: DataFrame, edits: int) -> DataFrame:
     return pairs.distinct()
 
 
+#: Where a line stands: the document's id, two hashes of its text, the line's number.
+PLACE = ("doc_id", "of_h", "of_g", "line_no")
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, h, g) of each line that takes part."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(place, line, h, g) of each line that takes part."""
+    of_h, of_g = text_hashes()
+    lines = docs.select("doc_id", of_h.alias("of_h"), of_g.alias("of_g"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.where(F.length("line") >= LEAST_CHARS)
     return lines.select("*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), F.reverse("line")).alias("g"))
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(doc_id, line_no) of each line that repeats an earlier one."""
+    """(doc_id, of_h, of_g, line_no) of each line that repeats an earlier one."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     occurrences = _occurrences(texts)
     lines = occurrences.groupBy("h", "g").agg(
-        F.min(F.struct("doc_id", "line_no", "line")).alias("first"), F.count("*").alias("n")
+        F.min(F.struct(*PLACE, "line")).alias("first"), F.count("*").alias("n")
     )
-    lines = lines.select("h", "g", "n", "first.doc_id", "first.line_no", "first.line", F.monotonically_increasing_id().alias("id"))
+    lines = lines.select("h", "g", "n", "first.*", F.monotonically_increasing_id().alias("id"))
     lines = lines.withColumn("length", F.length("line"))
     lines = materialise(lines, "lines")
-    place = F.struct("doc_id", "line_no")
+    place = F.struct(*PLACE)
     pairs = materialise(_candidates(lines.select("id", place.alias("place"), "line", "length"), edits), "line-pairs")
     one = lines.select(F.col("id").alias("a"), F.col("line").alias("la"), place.alias("pa"))
     two = lines.select(F.col("id").alias("b"), F.col("line").alias("lb"), place.alias("pb"))
@@ -295,29 +302,35 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     late = materialise(measured, "line-distances").where(F.col("distance") <= edits).select("id").distinct()
     flagged = lines.join(late.withColumn("late", F.lit(True)), "id", "left")
     flagged = flagged.where((F.col("n") > 1) | F.col("late")).select(
-        "h", "g", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.coalesce("late", F.lit(False)).alias("late")
+        "h", "g", place.alias("place"), F.coalesce("late", F.lit(False)).alias("late")
     )
     flagged = materialise(flagged, "line-repeats")
-    repeat = F.col("late") | ~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
-    return occurrences.select("doc_id", "line_no", "h", "g").join(flagged, ["h", "g"]).where(repeat).select("doc_id", "line_no")
+    repeat = F.col("late") | ~place.eqNullSafe(F.col("place"))
+    return occurrences.select(*PLACE, "h", "g").join(flagged, ["h", "g"]).where(repeat).select(*PLACE)
+
+
+def _cut(docs: DataFrame, edits: int) -> tuple[DataFrame, Column, Column, Column]:
+    """``docs`` joined with what goes, and the text that is left, the number of lines and the numbers of those that go."""
+    gone = repeated_lines(docs, edits).distinct().groupBy("doc_id", "of_h", "of_g")
+    gone = gone.agg(F.array_sort(F.collect_list("line_no")).alias("dropped")).withColumnsRenamed({"of_h": "h", "of_g": "g"})
+    joined = docs.join(gone, same_row(docs, gone), "left")
+    dropped = F.coalesce(gone["dropped"], F.array().cast("array<int>"))
+    lines = F.split(docs["text"], "\n")
+    kept = F.when(F.size(dropped) == 0, docs["text"]).otherwise(
+        F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(dropped, i)), "\n")
+    )
+    return joined, kept, F.coalesce(F.size(lines), F.lit(0)), dropped
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` with repeats cut out of ``text``, and ``n_lines`` and ``dropped_lines`` (numbers from 0) added."""
-    gone = repeated_lines(docs, edits).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
-    gone = gone.select(F.col("doc_id").alias("of_doc"), "dropped")
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("of_doc")), "left")
-    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    lines = F.split("text", "\n")
-    kept = F.when(F.size(dropped) == 0, F.col("text")).otherwise(
-        F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(dropped, i)), "\n")
-    )
-    columns = [kept.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), dropped.alias("dropped_lines"))
+    joined, kept, n_lines, dropped = _cut(docs, edits)
+    columns = [kept.alias("text") if c == "text" else docs[c] for c in docs.columns if c not in ("n_lines", "dropped_lines")]
+    return joined.select(*columns, n_lines.alias("n_lines"), dropped.alias("dropped_lines"))
 
 
 def drop_repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` without repeated lines; a document of which no word is left goes, unless it had none before."""
-    left = dedup_lines(docs, edits)
-    emptied = (F.size("dropped_lines") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
-    return left.where(~emptied).select(*docs.columns)
+    joined, kept, _, dropped = _cut(docs, edits)
+    emptied = (F.size(dropped) > 0) & ~F.coalesce(kept, F.lit("")).rlike(r"\S")
+    return joined.where(~emptied).select(*[kept.alias("text") if c == "text" else docs[c] for c in docs.columns])

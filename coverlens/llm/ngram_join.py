@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import NOT_SPACE, shingles, words
 from coverlens.llm.components import components
+from coverlens.llm.rows import ROW, same_row, text_hashes, without
 from coverlens.session import materialise
 
 SHINGLE = 5
@@ -45,7 +46,6 @@ BEYOND = 1 << 23  # the counts of such a point: more than any group of shingles
 NO_ID = -(1 << 63)  # stands for a null id while blocks are made; a real id of this value only makes a block larger
 BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
-_H, _G = "_hash_of_text", "_other_hash_of_text"
 CHUNK = 512
 LEAF = 16
 
@@ -94,8 +94,7 @@ def _points(column: pa.Array) -> np.ndarray:
 def _own(docs: DataFrame) -> DataFrame:
     """(doc, doc_id, text, h, g): ``doc`` is never null, and two hashes of the text tell rows of one id apart."""
     known = F.col("doc_id").cast("long")
-    hashes = F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g")
-    return docs.select(F.coalesce(known, F.lit(NO_ID)).alias("doc"), known.alias("doc_id"), "text", *hashes)
+    return docs.select(F.coalesce(known, F.lit(NO_ID)).alias("doc"), known.alias("doc_id"), "text", *text_hashes())
 
 
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
@@ -405,18 +404,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     text = F.struct("h", "g")
     one = judged.where(stays).groupBy("best").agg(F.min(text).alias("one"))
     chosen = judged.where(stays).join(one, "best")
-    keys = ["doc_id", "h", "g"]
-    gone = judged.where(~stays).select(*keys).unionByName(chosen.where(text != F.col("one")).select(*keys)).distinct()
-    twice = chosen.where(text == F.col("one")).groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
+    gone = judged.where(~stays).select(*ROW).unionByName(chosen.where(text != F.col("one")).select(*ROW))
+    twice = chosen.where(text == F.col("one")).groupBy(*ROW).agg(F.count("*").alias("rows")).where("rows > 1")
     twice = materialise(twice, "jaccard-twice")
-    rows = docs.select("*", F.xxhash64("text").alias(_H), F.xxhash64(F.lit(1), "text").alias(_G))
-
-    def met(some: DataFrame) -> Column:
-        return rows["doc_id"].cast("long").eqNullSafe(some["doc_id"]) & (rows[_H] == some["h"]) & (rows[_G] == some["g"])
-
-    kept = rows.join(gone, met(gone), "left_anti")
+    kept = without(docs, gone)
     if twice.isEmpty():
-        return kept.select(*docs.columns)
-    repeated = kept.join(twice, met(twice), "left_semi").groupBy(F.col("doc_id").cast("long"), _H, _G)
+        return kept
+    h, g = text_hashes()
+    repeated = docs.join(twice, same_row(docs, twice), "left_semi").groupBy(F.col("doc_id").cast("long"), h, g)
     repeated = repeated.agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(twice, met(twice), "left_anti").select(*docs.columns).unionByName(repeated)
+    return without(kept, twice).unionByName(repeated)

@@ -66,10 +66,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    dealt = rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")
     # The order is total but for equal rows, so a repeated task writes the same files.
-    order = ("doc_id", F.xxhash64("text"))
-    dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
-    parts = dealt.sortWithinPartitions(*order).mapInArrow(write, "part long, n_docs long, n_tokens long, width int")
+    parts = dealt.sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(write, "part long, n_docs long, n_tokens long, width int")
     parts = materialise(parts, "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

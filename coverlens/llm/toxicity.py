@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.llm.bytehash import LETTERS, words
+from coverlens.llm.rows import ROW, text_hashes, without
 from coverlens.llm.sampling import drawn
 from coverlens.llm.wordfeatures import char_grams, distinct
 
@@ -289,21 +290,29 @@ def _fitted(sample: DataFrame) -> tuple[Network | None, float]:
     return net, made[0]["flat"] if made else 0.0
 
 
-def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score) of each row of ``docs``; the model is fitted on ``labelled`` (doc_id, text) with ``labels`` (doc_id, toxic)."""
+def _scored(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, h, g, score) of each row."""
     net, flat = _fitted(training_sample(labelled, labels))
     held = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             model = held.value
-            found = score_blocks(model, batch.column(1)) if model else np.full(len(batch), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "score"])
+            found = score_blocks(model, batch.column(3)) if model else np.full(len(batch), flat)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found)], names=[*ROW, "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long"), *text_hashes(), "text")
+    return rows.mapInArrow(score, "doc_id long, h long, g long, score double")
+
+
+def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, score) of each row of ``docs``; the model is fitted on ``labelled`` (doc_id, text) with ``labels`` (doc_id, toxic)."""
+    return _scored(docs, labelled, labels).select("doc_id", "score")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below the threshold; the model learns from all labels."""
-    toxic = toxicity_scores(docs, docs, labels).where(F.col("score") >= threshold).select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    """The rows that score below the threshold; the model learns from all labels.
+
+    A clean text stays though another under its id goes; null ids are judged like others.
+    """
+    return without(docs, _scored(docs, docs, labels).where(F.col("score") >= threshold))

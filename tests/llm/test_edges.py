@@ -11,7 +11,10 @@ import pytest
 from tokenizers import Tokenizer
 
 from coverlens.llm import quality_cotrain, sampling, toxicity
+from coverlens.llm.decontamination import leaks, without_leaks
+from coverlens.llm.line_dedup import dedup_lines, drop_repeated_lines
 from coverlens.llm.ngram_join import jaccard_components, keep_one
+from coverlens.llm.rows import text_hashes
 from coverlens.llm.ship import ship
 from coverlens.llm.token_files import token_digest
 
@@ -139,3 +142,75 @@ def test_jaccard_join_of_no_rows_and_of_a_long_text(spark):
     rows = [(1, long), (2, long + " end"), (3, "a b c")]
     found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in found) == [(1, 69_996, 1), (2, 69_997, 1), (3, 1, 3)]
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def _java_hash(spark, texts):
+    frame = spark.createDataFrame([(t,) for t in set(texts)], "text string")
+    return {r["text"]: (r["h"], r["g"]) for r in frame.select("text", *text_hashes()).collect()}
+
+
+def _kept_lines(spark, rows, edits=2, least=20):
+    """The text of each row without repeats: every line against all that stand before it."""
+    hashes = _java_hash(spark, [t for _, t in rows])
+    places = []
+    for row, (doc_id, text) in enumerate(rows):
+        for n, line in enumerate((text or "").split("\n") if text is not None else []):
+            if len(line) >= least:
+                places.append(((doc_id is not None, doc_id or 0, *hashes[text], n), line, row, n))
+    places.sort(key=lambda p: p[0])
+    gone, seen = set(), []
+    for place, line, row, n in places:
+        if any(place != before and _distance(line, other) <= edits for before, other in seen):
+            gone.add((row, n))
+        seen.append((place, line))
+    return [None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (row, n) not in gone) for row, (_, t) in enumerate(rows)]
+
+
+def test_line_dedup_with_null_and_repeated_ids_and_clashing_columns(spark):
+    line = "a paragraph of some length number {}".format
+    own = ["the quick brown fox jumps", "over a lazy dog in spring", "no line like this one here", "something else altogether"]
+    rows = [(7, f"{line(1)}\n{own[0]}"), (7, f"{own[1]}\n{line(2)}x"), (8, f"{line(1)}\n{own[2]}"), (None, f"{own[3]}\nshort"), (None, f"{own[2]}\n{line(9)}")]
+    rows += [(9, None), (9, ""), (10, "short\nshort"), (11, f"{own[0]}!!\n{own[0]}"), (7, f"{line(1)}\n{own[0]}"), (12, "z" * 30_000 + "\n" + "z" * 30_001)]
+    docs = spark.createDataFrame([(*r, i, "x", "y", 5) for i, r in enumerate(rows)], "doc_id long, text string, n_lines long, dropped string, of_doc string, dropped_lines int")
+    wanted = _kept_lines(spark, rows[:-1]) + ["z" * 30_000]
+    left = {r["n_lines"]: r["text"] for r in drop_repeated_lines(docs).collect()}
+    word = lambda t: t is not None and t.strip()
+    assert left == {i: t for i, t in enumerate(wanted) if word(t) or not word(rows[i][1])}
+    found = dedup_lines(docs.drop("n_lines").withColumnRenamed("dropped", "h").withColumnRenamed("of_doc", "place"))
+    assert found.columns == ["doc_id", "text", "h", "place", "n_lines", "dropped_lines"]
+    assert sorted(str(r["text"]) for r in found.collect()) == sorted(map(str, wanted))
+    assert dedup_lines(docs.limit(0)).count() == 0 and drop_repeated_lines(docs.limit(0)).columns == docs.columns
+
+
+def test_leaks_are_filtered_by_row(spark):
+    item = "seven words of an item that nobody would write by chance at all twice over again"
+    rows = [(1, f"before {item} after"), (1, "clean text under the same id"), (None, item), (None, "clean without id"), (2, None), (3, ""), (4, "x " * 60_000 + item)]
+    docs = spark.createDataFrame([(*r, i, 1.0) for i, r in enumerate(rows)], "doc_id long, text string, item_id long, score double").repartition(2)
+    items = spark.createDataFrame([(1, item), (1, item), (2, None), (None, ""), (3, "other " * 9)], "item_id long, text string")
+    assert sorted(r["item_id"] for r in without_leaks(docs, items).collect()) == [1, 3, 4, 5]
+    found = {(r["doc_id"], r["item_id"]) for r in leaks(docs, items).collect()}
+    assert found == {(1, 1), (None, 1), (4, 1)}
+    assert without_leaks(docs, items.limit(0)).count() == len(rows) and without_leaks(docs.limit(0), items).count() == 0
+
+
+def test_toxic_rows_are_filtered_by_row(spark):
+    draw = random.Random(3)
+    bad, good = ["vile", "nasty", "awful", "horrid"], ["calm", "kind", "gentle", "bright"]
+    text = lambda bag: " ".join(draw.choices(bag + ["the", "of", "and"], k=30))
+    rows = [(i, text(bad if i % 2 else good)) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    odd = [(1, text(good)), (None, text(bad)), (None, text(good)), (400, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows + odd)], "doc_id long, text string, h int")
+    kept = {r["h"] for r in toxicity.without_toxic(docs, labels).collect()}
+    assert kept >= {300, 302} and 301 not in kept
+    assert sum(i in kept for i in range(1, 300, 2)) <= 5 and sum(i in kept for i in range(0, 300, 2)) >= 145
