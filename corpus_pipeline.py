@@ -1,8 +1,9 @@
 """The corpus pipeline: documents through toxicity, line and document deduplication, decontamination and packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written to the shared folder and
-read back.  All but the last return the columns of documents.  An empty table stays empty; null texts pass every filter and are
-packed as an end id.
+read back.  All but the last return the columns of documents.  Filters know a row by its id and text: a clean text stays though another
+under its id goes, and rows without an id are judged like others.  An empty table stays empty; null texts pass every filter and
+are packed as an end id.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: SQL cannot express the network, the alignment or the tokens; the run is tested against brute force.
+#: SQL cannot express the network, the alignment or the tokens; each stage is tested against a plain version of it.
 ORACLE_SQL: str | None = None
 
 
