@@ -16,7 +16,7 @@ import numpy as np
 
 #: Ids are kept as the bytes of unsigned little-endian integers.
 ID = np.dtype("<u4")
-CACHE = 600_000
+CACHE = 800_000
 BATCH = 8192  # unseen pieces that go through the library at once: its answers are large
 _PUNCTUATION = ",.!?;:%*#$&|()[]{}<>=+/\\\"-_@^~`"
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python only
@@ -42,7 +42,7 @@ class Encoder:
 
     def _learn(self, new: set[str]) -> None:
         if len(self.cache) + len(new) > CACHE:  # what came first is common
-            for piece in list(islice(self.cache, CACHE // 4, None)):
+            for piece in list(islice(self.cache, CACHE // 2, None)):
                 del self.cache[piece]
         known = self.cache
         # Punctuation behind a letter is a token of its own: the word in front of it is often known.
