@@ -6,7 +6,10 @@ their neighbours, fused and weighted, and a path is kept if that reaches a share
 are never article text by their meaning (navigation, forms, scripts, page headers and footers, and those whose class, id or role says
 menu, advert, notice, comments and the like); if the page marks its article (``article``, ``main``), ``INSIDE`` for paths within it and
 ``OUTSIDE`` for others.  The ratio can overrule the mark: a path outside is kept from 0.8 of the highest ratio inside on, one
-inside goes below the share.  Headings inside a marked article are short by nature and count ``HEADING`` times.
+inside goes below the share.  Headings inside a marked article are short by nature and count ``HEADING`` times.  What is short by nature too, such as
+lists and tables, follows its neighbours: blocks below the share that stand between kept blocks of the article and hold no link are kept, and
+those of a list or table after the last kept block.  Within an article a class marks only if all its words say so (``share-buttons``,
+not ``share-price``); another one with such a word counts as ``OUTSIDE`` and is kept by its ratio or its neighbours.
 
 Null, empty and text-free pages give an empty text.  Broken markup is read as far as it goes: unclosed elements end with their
 parent, stray ends are passed over.  Nothing is cut; very long pages cost time in proportion.  Repeated rows give equal texts; other
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 SMOOTH = 0.25  # weight of each neighbour
 INSIDE, OUTSIDE = 4.0, 0.4  # weights of a path within a marked article and beside it
 HEADING = 8.0  # further weight of a heading within one, not counted for the highest
+LOOSE = "?"  # in a path: an element within an article that only some word of its class marks
 SHARE = 0.08  # of the highest weighted ratio, below which a path is no content
 
 # Element names of HTML by their meaning.
@@ -54,6 +58,13 @@ MARKS = frozenset(
     "contentinfo search".split()
 )
 
+# Words that say nothing about an element's meaning: a class of these and at least one mark is a mark.
+NEUTRAL = frozenset(
+    "area article articles bar block bottom box button buttons container content count counter field form group header icon icons inner item items "
+    "left line link links list main media message outer page panel post right row section site slot text title top unit user wrap wrapper".split()
+)
+BESIDE = frozenset("li dt dd td th caption pre blockquote".split())  # elements whose text is short by nature
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _MARKED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -61,13 +72,16 @@ _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 _POINT = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
-def _marked(name: str, attributes: str) -> bool:
-    if not attributes:
-        return False
+def _marked(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element's class, id, role or label holds a word that marks, and whether one of them says nothing else."""
+    if not attributes or name in ("html", "body", "article", "main"):
+        hidden = bool(attributes and _HIDDEN.search(attributes))
+        return hidden, hidden
     if _HIDDEN.search(attributes):
-        return True
-    words = {w.lower() for value in _MARKED.findall(attributes) for w in _WORD.findall(value)}
-    return name not in ("html", "body", "article", "main") and bool(words & MARKS)
+        return True, True
+    values = [[w.lower() for w in _WORD.findall(v)] for value in _MARKED.findall(attributes) for v in value.strip("\"'").split()]
+    some = [v for v in values if not MARKS.isdisjoint(v)]
+    return bool(some), any(all(w in MARKS or w in NEUTRAL or w.isdigit() for w in v) for v in some)
 
 
 def text_blocks(page: str) -> list[tuple[str, str, bool]]:
@@ -149,7 +163,9 @@ def text_blocks(page: str) -> list[tuple[str, str, bool]]:
         article = article or name in ARTICLE
         # A header inside an article holds its title; a page's holds menus.
         never = name in NEVER and not (name in ("header", "figcaption") and article)
-        open_.append((name, out or never or _marked(name, attributes), article, f"{path}/{name}"))
+        some, firm = _marked(name, attributes)
+        loose = LOOSE if some and not firm and article else ""
+        open_.append((name, out or never or (firm if article else some), article, f"{path}/{name}{loose}"))
     flush()
     return found
 
@@ -181,13 +197,35 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     marked = any(inside for _, _, inside in found)
-    weighted = [r * ((INSIDE if inside else OUTSIDE) if marked else 1.0) for r, (_, _, inside) in zip(fused_ratios(found), found, strict=True)]
+
+    def weight(path: str, inside: bool) -> float:
+        return 1.0 if not marked else INSIDE if inside and LOOSE not in path else OUTSIDE
+
+    weighted = [r * weight(path, inside) for r, (_, path, inside) in zip(fused_ratios(found), found, strict=True)]
     least = SHARE * max(weighted)
 
     def heading(path: str) -> float:
         return 1.0 if HEADINGS.isdisjoint(path.split("/")) else HEADING
 
-    return "\n".join(text for (text, path, inside), w in zip(found, weighted, strict=True) if w * (heading(path) if inside else 1.0) >= least)
+    kept = [w * (heading(path) if inside else 1.0) >= least for (_, path, inside), w in zip(found, weighted, strict=True)]
+    return "\n".join(text for (text, _, _), k in zip(found, _with_neighbours(found, kept), strict=True) if k)
+
+
+def _with_neighbours(found: list[tuple[str, str, bool]], kept: list[bool]) -> list[bool]:
+    """Also the blocks of an article that hold no link and stand between kept ones of it, and lists and tables after the last."""
+    out = list(kept)
+    at = 0
+    while at < len(found):
+        stop = at
+        while stop < len(found) and not kept[stop] and found[stop][2] and "a" not in found[stop][1].split("/"):
+            stop += 1
+        if stop > at and at > 0 and kept[at - 1] and found[at - 1][2]:
+            followed = stop < len(found) and kept[stop] and found[stop][2]
+            for i in range(at, stop):
+                path = found[i][1]
+                out[i] = followed or (LOOSE not in path and not BESIDE.isdisjoint(path.split("/")))
+        at = max(stop, at + 1)
+    return out
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from coverlens.llm import quality_cotrain, sampling, toxicity
+from coverlens.llm import html_text, quality_cotrain, sampling, toxicity
 from coverlens.llm.decontamination import leaks, without_leaks
 from coverlens.llm.line_dedup import dedup_lines, drop_repeated_lines
 from coverlens.llm.ngram_join import jaccard_components, keep_one
@@ -214,3 +214,31 @@ def test_toxic_rows_are_filtered_by_row(spark):
     kept = {r["h"] for r in toxicity.without_toxic(docs, labels).collect()}
     assert kept >= {300, 302} and 301 not in kept
     assert sum(i in kept for i in range(1, 300, 2)) <= 5 and sum(i in kept for i in range(0, 300, 2)) >= 145
+
+
+PROSE = "A long paragraph of plain prose, with commas, and with several words in it. It goes on for some time, as prose does."
+
+
+def test_short_blocks_of_an_article_follow_their_neighbours():
+    points = "".join(f"<li>point {i}</li>" for i in range(10))
+    cells = "".join(f"<tr><td>row {i}</td><td>{i}</td></tr>" for i in range(15))
+    menu = "<nav><ul><li><a href=x>menu</a></li></ul></nav>"
+    page = (
+        f"<body>{menu}<article><h1>Title</h1>{f'<p>{PROSE}</p>' * 12}<ul>{points}</ul>{f'<p>{PROSE}</p>' * 12}"
+        f"<div class='share-price'>Up 3 percent</div><p>{PROSE}</p><div class='share-buttons'>Tweet</div><div class='user-comments'><p>{PROSE}</p></div>"
+        f"<p>{PROSE}</p><table>{cells}</table><ul class='related-links'><li><a href=y>elsewhere</a></li></ul></article><ul><li>foot</li></ul></body>"
+    )
+    wanted = ["Title", *[PROSE] * 12, *[f"point {i}" for i in range(10)], *[PROSE] * 12, "Up 3 percent", PROSE, PROSE]
+    for i in range(15):
+        wanted += [f"row {i}", str(i)]
+    assert html_text.main_text(page).split("\n") == wanted
+
+
+def test_pages_of_any_kind(spark):
+    deep = "<div>" * 3000 + PROSE + "</div>" * 3000
+    rows = [(1, "u", None), (2, None, ""), (3, "u", deep), (4, "u", f"<p>{PROSE}</p>" * 20_000), (None, "u", f"<p>{PROSE}"), (4, "u", "<p>other</p>")]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    found = sorted(((r["page_id"], r["n_chars"]) for r in html_text.extract(pages).collect()), key=str)
+    n = len(PROSE)
+    assert found == sorted([(1, 0), (2, 0), (3, n), (4, (n + 1) * 20_000 - 1), (None, n), (4, 5)], key=str)
+    assert html_text.extract(pages.limit(0)).count() == 0
