@@ -17,6 +17,7 @@ from coverlens.plans.audit import FAILED, PARTIAL, SUCCESS, RunLog, outcome_stat
 from coverlens.plans.loading import Warehouse
 from coverlens.sources import archives, datasets, delimited, manifest
 
+# The names of the stages, in their order.
 STAGES = (
     "extract",
     "validate_raw",
@@ -28,6 +29,7 @@ STAGES = (
     "export_analytics",
 )
 SOURCES = ("enrolment", "carriers", "facilities")
+PROBLEMS_SHOWN = 20
 
 
 @dataclass
@@ -131,16 +133,13 @@ class Pipeline:
     def _validate_raw(self, source: str) -> StageReport:
         if source != "enrolment":
             return StageReport("validate_raw", source, SUCCESS)
-        checked = archives.check_landed_archives(self.spark, self.raw(source))
-        row = checked.agg(
-            F.count(F.lit(1)).alias("files"),
-            F.count("problem").alias("bad"),
-            # One short text per landed archive.
-            F.concat_ws("; ", F.collect_list(F.when(F.col("problem").isNotNull(), F.concat_ws(": ", "path", "problem")))
-                        ).alias("text"),
-        ).first()
+        checked = datasets.stage_batch(archives.check_landed_archives(self.spark, self.raw(source)), f"{self.root}/staging/archives")
+        row = checked.agg(F.count(F.lit(1)).alias("files"), F.count("problem").alias("bad")).first()
+        # The report names some; all are in the staged table.
+        shown = checked.where("problem is not null").orderBy("path").limit(PROBLEMS_SHOWN).collect()
+        text = "; ".join(f"{r['path']}: {r['problem']}" for r in shown)
         counters = {"received": row["files"], "valid": row["files"] - row["bad"], "rejected": row["bad"]}
-        return StageReport("validate_raw", source, FAILED if row["bad"] else SUCCESS, counters, row["text"] or None)
+        return StageReport("validate_raw", source, FAILED if row["bad"] else SUCCESS, counters, text or None)
 
     def _transform(self, source: str) -> StageReport:
         counters: dict[str, int] = {}

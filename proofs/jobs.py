@@ -10,7 +10,7 @@ from coverlens.operators import sketches
 from coverlens.plans import marts, reports
 from coverlens.plans.jobs import Pipeline
 from coverlens.session import materialise, scratch_path
-from coverlens.sources import archives, datasets, delimited
+from coverlens.sources import archives, datasets, delimited, storage
 from proofs import roles, sql
 from proofs.mart_queries import CLASS, RANKED, RATIO, RATIOS, RUN_ROWS, STATES, TREND
 from proofs.registry import proof
@@ -82,9 +82,7 @@ def transform_enrolment(spark, sf_dir):
     landing = f"{root}/raw/enrolment/{parse_period(format_period(PERIOD))}"
     archives.write_archives(raw, landing)
     damaged = spark.createDataFrame([("damaged.zip", bytearray(b"PK no archive"))], "path string, content binary")
-    from coverlens.sources.storage import write_files
-
-    write_files(damaged, landing)
+    storage.write_files(damaged, landing)
     return _transformed(spark, root, "enrolment")
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from coverlens.plans.audit import RunLog, outcome_status
 from coverlens.session import scratch_path
-from coverlens.sources import commitlog
+from coverlens.sources import archives, commitlog, datasets, delimited, manifest, storage
 from coverlens.sources.commitlog import CommitLog, Part
-from coverlens.sources import archives, datasets, delimited, manifest, storage
 from coverlens.streaming.landing import each_batch, ingest_new_files, landed_stream
 from coverlens.streaming.register import read_register, register_deliveries
 from coverlens.streaming.upserts import BatchUpsert
