@@ -48,6 +48,7 @@ BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
 CHUNK = 512
 LEAF = 16
+PAIRS = 500  # pairs of sets that are rebuilt at once
 
 
 def required(total):
@@ -130,8 +131,10 @@ def _lead_texts(docs: DataFrame, leads: DataFrame, shingle: int) -> DataFrame:
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for block in words(batch.column(1), NOT_SPACE) for s in shingles(block, shingle)]
-            same = [len(s) > 0 and _digest(s) == d for s, d in zip(sets, batch.column(2).to_pylist(), strict=True)]
+            wanted, same = batch.column(2).to_pylist(), []
+            for block in words(batch.column(1), NOT_SPACE):  # one block's sets are held at a time
+                for found in shingles(block, shingle):
+                    same.append(len(found) > 0 and _digest(found) == wanted[len(same)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["rep", "text"]).filter(pa.array(same, pa.bool_()))
 
     found = _own(docs).select(F.col("doc").alias("first"), "text").join(leads, "first")
@@ -183,10 +186,12 @@ def _linked(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            sets = [[s for block in words(batch.column(c), NOT_SPACE) for s in shingles(block, shingle)] for c in (2, 3)]
-            for one, two in zip(*sets, strict=True):
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(shared > 0 and 100 * shared >= 75 * (len(one) + len(two) - shared))
+            for at in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(at, PAIRS)
+                sets = [[s for block in words(part.column(c), NOT_SPACE) for s in shingles(block, shingle)] for c in (2, 3)]
+                for one, two in zip(*sets, strict=True):
+                    shared = len(np.intersect1d(one, two, assume_unique=True))
+                    keep.append(shared > 0 and 100 * shared >= 75 * (len(one) + len(two) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one, two = texts.toDF("a", "ta"), texts.toDF("b", "tb")
