@@ -11,6 +11,7 @@ import gc
 import os
 from array import array
 from itertools import islice
+from string import ascii_uppercase
 
 import numpy as np
 
@@ -36,6 +37,9 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         #: Whether a piece's leading space is part of its tokens.
         self.spaced = self.whole(" a") != self.whole("a")
+        #: Whether capitals of ASCII are lower-cased before anything else.
+        self.folds = all(self.whole(c) == self.whole(c.lower()) for c in ascii_uppercase)
+        self.openers = {s[0] for s in self.special}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
@@ -45,6 +49,11 @@ class Encoder:
             for piece in list(islice(self.cache, CACHE // 2, None)):
                 del self.cache[piece]
         known = self.cache
+        folded = []
+        if self.folds:  # a special string must not come about by folding
+            folded = [(p, p.lower()) for p in new if p.isascii() and not p.islower() and not any(c in p for c in self.openers)]
+        if folded:
+            new = new.difference(p for p, _ in folded).union(low for _, low in folded if low not in known)
         # Punctuation behind a letter is a token of its own: the word in front of it is often known.
         split, parts = [], set()
         for piece in new:
@@ -63,6 +72,8 @@ class Encoder:
                 known[piece] = array("I", found.ids).tobytes()
         for piece, core, tail in split:
             known[piece] = known[core] + known[tail]
+        for piece, low in folded:
+            known[piece] = known[low]
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text in pieces that are encoded alone; None if it must be encoded whole."""
