@@ -1,7 +1,7 @@
 """A register of deliveries by content: a file counts once whatever its name, and a changed file of the same name counts again.
 
-The source lists what changed since the last run and hashes each file in its task.  A keyed state per hash knows the names it came under.
-The register is a table that outlives checkpoints: a stream that starts with a new checkpoint takes it as its initial state.
+The source lists what changed since the last run and hashes each file in its task.  A batch is joined with the register, which knows every
+hash and the names it came under.  The register is a table that outlives checkpoints: a stream that starts with a new checkpoint goes on from it.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import hashlib
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
@@ -18,8 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from coverlens.session import materialise
 from coverlens.sources.storage import BLOCK, locate
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this library
@@ -31,7 +30,6 @@ NEW, REPEATED = "new", "repeated"
 #: Files that land within so many microseconds of the newest one seen are listed again: clocks of writers differ.
 SLACK = 60_000_000
 TASK_FILES = 500
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class LandedFiles(DataSource):
@@ -49,7 +47,7 @@ class LandedFiles(DataSource):
 
 
 class Listed(InputPartition):
-    def __init__(self, files: list[tuple[str, str, int, int]]) -> None:
+    def __init__(self, files: list[tuple[str, int, int]]) -> None:
         self.files = files
 
 
@@ -59,12 +57,12 @@ class LandedReader(DataSourceStreamReader):
     def __init__(self, path: str) -> None:
         self.path = path
 
-    def _files(self) -> list[tuple[str, str, int, int]]:
+    def _files(self) -> list[tuple[str, int, int]]:
         system, place = locate(self.path)
         found = system.get_file_info(fs.FileSelector(place, recursive=True, allow_not_found=True))
         prefix = len(place.rstrip("/")) + 1
         return [
-            (f.path, f.path[prefix:], f.size, f.mtime_ns // 1000)
+            (f.path[prefix:], f.size, f.mtime_ns // 1000)
             for f in found
             if f.is_file and not f.base_name.startswith((".", "_")) and not f.base_name.endswith(".partial")
         ]
@@ -73,19 +71,19 @@ class LandedReader(DataSourceStreamReader):
         return {"modified": 0}
 
     def latestOffset(self) -> dict:  # noqa: N802
-        return {"modified": max((f[3] for f in self._files()), default=0)}
+        return {"modified": max((f[2] for f in self._files()), default=0)}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        changed = sorted(f for f in self._files() if start["modified"] - SLACK < f[3] <= end["modified"])
+        changed = sorted(f for f in self._files() if start["modified"] - SLACK < f[2] <= end["modified"])
         return [Listed(changed[i : i + TASK_FILES]) for i in range(0, len(changed), TASK_FILES)]
 
     def read(self, partition: Listed) -> Iterator[pa.RecordBatch]:
-        system, _ = locate(self.path)
+        system, folder = locate(self.path)
         rows = []
-        for place, name, size, modified in partition.files:
+        for name, size, modified in partition.files:
             state = hashlib.sha256()
             try:
-                with system.open_input_stream(place, compression=None) as file:
+                with system.open_input_stream(f"{folder.rstrip('/')}/{name}", compression=None) as file:
                     while block := file.read(BLOCK):
                         state.update(block)
             except FileNotFoundError:  # replaced or taken away since it was listed; a new one has a later time
@@ -101,68 +99,53 @@ class LandedReader(DataSourceStreamReader):
         """Nothing is kept besides the offset."""
 
 
-class ByContent(StatefulProcessor):
-    """Per hash: the name it first came under, and all names with the time of their last change."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "path string")
-        self.seen = handle.getMapState("seen", "path string", "modified long")
-
-    def _take(self, path: str, modified: int) -> tuple[str, str] | None:
-        """(status, first name) of a delivery; None if it is a known one listed again."""
-        if self.seen.containsKey((path,)) and self.seen.getValue((path,))[0] == modified:
-            return None
-        self.seen.updateValue((path,), (modified,))
-        if self.first.exists():
-            return REPEATED, self.first.get()[0]
-        self.first.update((path,))
-        return NEW, path
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        found = pd.concat(list(rows)).sort_values(["modified", "path"])
-        out = []
-        for path, length, modified in zip(found["path"], found["length"], found["modified"], strict=True):
-            taken = self._take(path, int(modified))
-            if taken:
-                out.append((key[0], path, int(length), int(modified), *taken))
-        yield pd.DataFrame(out, columns=["sha256", "path", "length", "modified", "status", "first_path"])
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        for path, modified, first in zip(initialState["path"], initialState["modified"], initialState["first_path"], strict=True):
-            self.first.update((first,))
-            self.seen.updateValue((path,), (int(modified),))
-
-    def close(self) -> None:
-        """Nothing is held open."""
-
-
 def read_register(spark: SparkSession, register: str) -> DataFrame:
     """The deliveries so far; empty before the first."""
+    return _deliveries(spark, register).drop("stream", "batch")
+
+
+def _deliveries(spark: SparkSession, register: str) -> DataFrame:
+    schema = f"{DELIVERIES}, stream string, batch long"
     try:
-        return spark.read.parquet(register).select("sha256", "path", "length", "modified", "status", "first_path")
+        return spark.read.schema(schema).parquet(register)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return spark.createDataFrame([], DELIVERIES)
+            return spark.createDataFrame([], schema)
         raise
 
 
+def by_content(files: DataFrame, known: DataFrame) -> DataFrame:
+    """Deliveries among ``files`` that ``known`` does not hold: the first of a hash is new, any other repeats it.
+
+    A file listed again with the same content and time is no delivery.  First names are found by aggregation, so copies of one
+    content are not gathered in one task.  ``files`` is read twice.
+    """
+    fresh = files.join(known.select("sha256", "path", "modified"), ["sha256", "path", "modified"], "left_anti")
+    first = fresh.groupBy("sha256").agg(F.min(F.struct("modified", "path")).alias("_first"))
+    before = known.groupBy("sha256").agg(F.min("first_path").alias("_before"))
+    first = first.join(before, "sha256", "left")
+    is_new = F.col("_before").isNull() & (F.col("path") == F.col("_first.path")) & (F.col("modified") == F.col("_first.modified"))
+    return fresh.join(first, "sha256").select(
+        "sha256", "path", "length", "modified",
+        F.when(is_new, NEW).otherwise(REPEATED).alias("status"),
+        F.coalesce("_before", "_first.path").alias("first_path"),
+    )
+
+
 def register_deliveries(spark: SparkSession, landed: str, register: str, checkpoint: str, stream: str) -> None:
     """Add what has landed since the last call to the register, then stop.
 
     ``stream`` names the checkpoint in the register: a batch that Spark repeats after a failure replaces its own rows.  A new
-    checkpoint needs a new name.
+    checkpoint needs a new name; so does one that an earlier version, with a keyed state, has written.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     spark.dataSource.register(LandedFiles)
-    known = read_register(spark, register).groupBy("sha256", "path")
-    known = known.agg(F.max("modified").alias("modified"), F.min("first_path").alias("first_path"))
 
     def add(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{register}/stream={stream}/batch={number}")
+        own = (F.col("stream") == stream) & (F.col("batch") == number)
+        known = _deliveries(batch.sparkSession, register).where(~own)
+        found = by_content(materialise(batch, "landed"), known)
+        found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{register}/stream={stream}/batch={number}")
 
     files = spark.readStream.format(SOURCE).load(landed)
-    deliveries = files.groupBy("sha256").transformWithStateInPandas(
-        ByContent(), DELIVERIES, "Append", "None", initialState=known.groupBy("sha256")
-    )
-    query = deliveries.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = files.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

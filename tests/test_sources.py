@@ -358,3 +358,31 @@ def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
     assert {name for name, table in house.tables.items() if table.exists()} == {"time", "locality", "enrolment"}
     log = CommitLog(str(tmp_path / "house" / "published")).state()
     assert len(log.parts) == 3
+
+
+
+def test_register_takes_hot_content_and_repeated_batches(spark, tmp_path):
+    """Copies are told apart by aggregation, without a state, and a batch that is run again finds what it found before."""
+    from coverlens.streaming.register import by_content
+
+    columns = "path string, length long, modified long, sha256 string"
+    files = spark.createDataFrame([(f"p{i:04}", 0, 1000 - i, "same") for i in range(300)] + [("q", 1, 5, "known"), ("r", 1, 7, "known")], columns)
+    known = spark.createDataFrame([("known", "q", 1, 5, "new", "q")], "sha256 string, path string, length long, modified long, status string, first_path string")
+    found = by_content(files, known)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    shown = {(r["path"], r["status"], r["first_path"]) for r in found.collect()}
+    assert shown == {("p0299", "new", "p0299"), ("r", "repeated", "q")} | {(f"p{i:04}", "repeated", "p0299") for i in range(299)}
+    landed, register = tmp_path / "landed", str(tmp_path / "register")
+    landed.mkdir()
+    for name in ("a", "b"):
+        (landed / name).write_text("one")
+    register_deliveries(spark, str(landed), register, str(tmp_path / "c"), "s")
+    before = sorted(map(tuple, read_register(spark, register).collect()))
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"))
+    state = tmp_path / "c" / "state"
+    assert [r[4] for r in before] == ["new", "repeated"] and not state.exists()
+    commits[-1].unlink()  # as if the run had died before its commit
+    for crc in (tmp_path / "c" / "commits").glob(".*"):
+        crc.unlink()
+    register_deliveries(spark, str(landed), register, str(tmp_path / "c"), "s")
+    assert sorted(map(tuple, read_register(spark, register).collect())) == before
