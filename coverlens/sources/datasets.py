@@ -191,10 +191,11 @@ def reject_records(
 
 
 def write_reject_lines(records: DataFrame, path: str) -> None:
-    """JSON lines per dataset, period and run; a rerun of one run replaces its lines."""
+    """JSON lines per dataset, period and run, each file gzipped; a rerun of one run replaces its lines."""
     (
         records.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
         .option("ignoreNullFields", False)
         .partitionBy("dataset", "period_key", "run_id")
         .json(path)

@@ -386,3 +386,15 @@ def test_register_takes_hot_content_and_repeated_batches(spark, tmp_path):
         crc.unlink()
     register_deliveries(spark, str(landed), register, str(tmp_path / "c"), "s")
     assert sorted(map(tuple, read_register(spark, register).collect())) == before
+
+
+
+def test_reject_lines_are_compressed(spark, tmp_path):
+    rejected = spark.range(5000).select(F.lit("rule").alias("rule"), F.lit("why it was rejected").alias("reason"), F.struct("id", F.lit(None).cast("string").alias("none")).alias("record"))
+    records = datasets.reject_records(rejected, 7, "enrolment", 199801)
+    datasets.write_reject_lines(records, str(tmp_path / "r"))
+    files = [p for p in (tmp_path / "r").rglob("part-*")]
+    assert files and sum(p.stat().st_size for p in files) < 5000 * 40
+    back = spark.read.schema(records.schema).json(str(tmp_path / "r"))
+    assert back.count() == 5000 and back.agg(F.sum("record.id")).first()[0] == 5000 * 4999 // 2
+    assert {(r["run_id"], r["dataset"], r["period_key"]) for r in back.select("run_id", "dataset", "period_key").distinct().collect()} == {(7, "enrolment", 199801)}
