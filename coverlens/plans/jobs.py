@@ -219,7 +219,6 @@ class Pipeline:
         return StageReport("refresh_views", None, SUCCESS, {"valid": len(made)})
 
     def _export(self) -> StageReport:
-        star = self.star()
-        frames = {name: marts.MARTS[name](star) for name in marts.EXPORTED}
+        frames = {name: marts.MARTS[name](star) for name, star in marts.exported_stars(self.star()).items()}
         written = datasets.export_marts(frames, f"{self.root}/analytics", self.period_key)
         return StageReport("export_analytics", None, SUCCESS, {"valid": len(written)})

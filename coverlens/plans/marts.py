@@ -8,6 +8,8 @@ key, so the time dimension is not joined.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from coverlens.functions.periods import period_date, period_label
 from coverlens.operators.lookups import left_measures
 from coverlens.operators.ranking import rank_spread, rank_within, with_previous
 from coverlens.plans.star import Star
+from coverlens.session import materialise
 
 # Coverage classes.
 CRITICAL = "Cobertura crítica"
@@ -217,6 +220,28 @@ EXPORTED = (
 )
 
 
+def exported_stars(star: Star) -> dict[str, Star]:
+    """The star for each exported mart; facts are read once, added up at the grains the marts need, written and shared.
+
+    A row of the sums belongs to one grouping set: marts by locality, the trend among them, read one, the others the other.
+    """
+
+    def sums(fact: DataFrame, key: str, measure: str) -> tuple[DataFrame, DataFrame]:
+        sets = [["period_key", "locality_sk"], ["period_key", key]]
+        both = fact.groupingSets(sets, "period_key", "locality_sk", key).agg(F.sum(measure).alias(measure), F.grouping_id().alias("_left_out"))
+        written = materialise(both, "mart-sums")
+        return (
+            written.where("_left_out = 1").select("period_key", "locality_sk", measure),
+            written.where("_left_out = 2").select("period_key", key, measure),
+        )
+
+    members, by_carrier = sums(star.enrolment, "carrier_sk", "active")
+    facilities, by_type = sums(star.network, "facility_type_sk", "facilities")
+    local = replace(star, enrolment=members, network=facilities)
+    other = replace(star, enrolment=by_carrier, network=by_type)
+    return {name: other if name in ("carrier_ranking", "facilities_by_type") else local for name in EXPORTED}
+
+
 def register_views(star: Star, names: tuple[str, ...] | None = None) -> list[str]:
     """Make the marts available to SQL as temporary views; names of the views."""
     made = []

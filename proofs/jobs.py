@@ -191,7 +191,8 @@ def export_marts(spark, sf_dir):
     whole = star(spark, sf_dir, "enrolment", "network", "locality", "carrier", "facility_type", "runs")
     build = {name: marts.MARTS[name] for name in marts.EXPORTED}
     build["coverage_class"] = lambda parts: marts.coverage_class(parts, roles.ATTENTION, roles.CRITICAL)
-    written = datasets.export_marts({name: make(whole) for name, make in build.items()}, scratch_path(spark, "exports"), PERIOD)
+    stars = marts.exported_stars(whole)
+    written = datasets.export_marts({name: make(stars[name]) for name, make in build.items()}, scratch_path(spark, "exports"), PERIOD)
     stacked = None
     for path in written:
         name = path.rsplit("=", 1)[1]

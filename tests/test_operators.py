@@ -304,3 +304,35 @@ def test_profile_matches_describe(spark):
     assert got == pytest.approx(wanted.tolist())
     assert tuple(profile.profile_texts(df).first()) == ("t", 3, 2, "x", 2)
     assert pairs(profile.null_counts(df)) == [("n", 0), ("t", 1)]
+
+
+def test_exported_marts_read_each_fact_once(spark, tmp_path):
+    """The facts are counted while they are read: eight marts, one reading each, also with null keys and repeated rows."""
+    from coverlens.plans import marts
+    from coverlens.plans.star import Star
+
+    enrolled = [(202401, 1, 1, 5), (202401, 1, 1, 5), (202401, 2, None, 7), (202402, None, 2, 1), (202402, 2, 2, None)]
+    open_facilities = [(202401, "T", 1, 1), (202401, "T", 2, 1), (202402, None, 2, 1), (202402, "U", None, 1)]
+    read = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(rows, schema, seen):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return spark.createDataFrame(rows, schema).mapInArrow(count, schema)
+
+    star = Star(
+        enrolment=counted(enrolled, "period_key int, carrier_sk long, locality_sk long, active long", read[0]),
+        network=counted(open_facilities, "period_key int, facility_type_sk string, locality_sk long, facilities long", read[1]),
+        locality=spark.createDataFrame([(i, str(i), f"p{i}", "S", "State", "R") for i in (1, 2)], "locality_sk long, locality_code string, locality_name string, state string, state_name string, region string"),
+        carrier=spark.createDataFrame([(i, f"c{i}", "n", "k") for i in (1, 2)], "carrier_sk long, carrier_code string, legal_name string, kind string"),
+        facility_type=spark.createDataFrame([("T", "T", "t"), ("U", "U", "u")], "facility_type_sk string, type_code string, type_label string"),
+    )
+    stars = marts.exported_stars(star)
+    names = [n for n in marts.EXPORTED if n != "run_history"]
+    found = {n: sorted(map(str, marts.MARTS[n](stars[n]).collect())) for n in names}
+    assert [a.value for a in read] == [len(enrolled), len(open_facilities)]
+    assert found == {n: sorted(map(str, marts.MARTS[n](star).collect())) for n in names}
+    assert set(stars) == set(marts.EXPORTED)
