@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import os
 import time
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
@@ -398,3 +399,14 @@ def test_reject_lines_are_compressed(spark, tmp_path):
     back = spark.read.schema(records.schema).json(str(tmp_path / "r"))
     assert back.count() == 5000 and back.agg(F.sum("record.id")).first()[0] == 5000 * 4999 // 2
     assert {(r["run_id"], r["dataset"], r["period_key"]) for r in back.select("run_id", "dataset", "period_key").distinct().collect()} == {(7, "enrolment", 199801)}
+
+
+
+def test_damaged_copies_are_written_by_blocks(spark, tmp_path):
+    from proofs.sources import write_spoilt
+
+    whole = os.urandom(2_500_001)
+    (tmp_path / "docs-0.zip").write_bytes(whole)
+    write_spoilt(spark, f"file:{tmp_path}/docs-0.zip", f"file:{tmp_path}")
+    assert (tmp_path / "cut.zip").read_bytes() == whole[:1_250_000] and (tmp_path / "empty.zip").read_bytes() == b""
+    assert (tmp_path / "overwritten.zip").read_bytes() == whole[:44] + b"\xff" * 16 + whole[60:]
