@@ -30,6 +30,8 @@ STAGES = (
 )
 SOURCES = ("enrolment", "carriers", "facilities")
 PROBLEMS_SHOWN = 20
+#: Bytes of a row group of unpacked archives, so that the rows of a large one are read by several tasks.
+STAGED_GROUP = 8 << 20
 
 
 @dataclass
@@ -145,9 +147,9 @@ class Pipeline:
         counters: dict[str, int] = {}
         failed = 0
         if source == "enrolment":
-            unpacked = archives.read_archives(self.spark, self.raw(source), layouts.ENROLMENT_COLUMNS)
+            unpacked = archives.read_archives(self.spark, self.raw(source), layouts.ENROLMENT_COLUMNS).drop(archives.POSITION)
             # Unpacked once; the status rows and the data rows both come from this copy.
-            landed = datasets.stage_batch(unpacked, f"{self.root}/staging/enrolment")
+            landed = datasets.stage_batch(unpacked, f"{self.root}/staging/enrolment", STAGED_GROUP)
             failed = archives.failed_files(landed).count()
             rows = archives.readable_rows(landed)
             if rows.isEmpty():

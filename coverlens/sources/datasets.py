@@ -208,9 +208,13 @@ def reject_table_rows(records: DataFrame) -> DataFrame:
     return records.select("run_id", "dataset", "rule", "reason", payload.alias("record_json"), "rejected_at")
 
 
-def stage_batch(df: DataFrame, path: str) -> DataFrame:
-    """Replace the staging copy of a batch and read it back."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def stage_batch(df: DataFrame, path: str, group_bytes: int | None = None) -> DataFrame:
+    """Replace the staging copy of a batch and read it back.
+
+    Tasks share a file by its row groups, so where files are few and large, name smaller groups.
+    """
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -361,7 +361,6 @@ def test_failed_load_publishes_nothing(spark, tmp_path, monkeypatch):
     assert len(log.parts) == 3
 
 
-
 def test_register_takes_hot_content_and_repeated_batches(spark, tmp_path):
     """Copies are told apart by aggregation, without a state, and a batch that is run again finds what it found before."""
     from coverlens.streaming.register import by_content
@@ -389,7 +388,6 @@ def test_register_takes_hot_content_and_repeated_batches(spark, tmp_path):
     assert sorted(map(tuple, read_register(spark, register).collect())) == before
 
 
-
 def test_reject_lines_are_compressed(spark, tmp_path):
     rejected = spark.range(5000).select(F.lit("rule").alias("rule"), F.lit("why it was rejected").alias("reason"), F.struct("id", F.lit(None).cast("string").alias("none")).alias("record"))
     records = datasets.reject_records(rejected, 7, "enrolment", 199801)
@@ -401,7 +399,6 @@ def test_reject_lines_are_compressed(spark, tmp_path):
     assert {(r["run_id"], r["dataset"], r["period_key"]) for r in back.select("run_id", "dataset", "period_key").distinct().collect()} == {(7, "enrolment", 199801)}
 
 
-
 def test_damaged_copies_are_written_by_blocks(spark, tmp_path):
     from proofs.sources import write_spoilt
 
@@ -410,3 +407,18 @@ def test_damaged_copies_are_written_by_blocks(spark, tmp_path):
     write_spoilt(spark, f"file:{tmp_path}/docs-0.zip", f"file:{tmp_path}")
     assert (tmp_path / "cut.zip").read_bytes() == whole[:1_250_000] and (tmp_path / "empty.zip").read_bytes() == b""
     assert (tmp_path / "overwritten.zip").read_bytes() == whole[:44] + b"\xff" * 16 + whole[60:]
+
+
+def test_small_archives_are_spread_over_tasks(tmp_path):
+    for i in range(6):
+        (tmp_path / f"{i}.zip").write_bytes(bytes(3 << 20))
+    assert [len(p.files) for p in archives.ArchiveReader({"path": str(tmp_path)}, ["v"]).partitions()] == [1] * 6
+
+
+def test_staged_rows_are_read_by_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(0, 400_000, 1, 1).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("text"))
+    assert datasets.stage_batch(df, str(tmp_path / "s"), 1 << 20).count() == 400_000
+    (file,) = (tmp_path / "s").glob("part-*")
+    assert pq.ParquetFile(file).num_row_groups > 4
