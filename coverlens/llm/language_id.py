@@ -14,11 +14,13 @@ ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,10 +152,20 @@ def predict(model: Model | None, column: pa.Array) -> tuple[np.ndarray, np.ndarr
     return np.where(lettered, lang, UNKNOWN), np.where(lettered, score, 0.0)
 
 
+def _fitted(sample: DataFrame) -> Model | None:
+    """One task fits the model, as the sample is bounded, and only the model leaves it."""
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["text", "lang"])]).sort_values(["lang", "text"])
+        yield pd.DataFrame({"model": [pickle.dumps(fit(rows["text"].tolist(), rows["lang"].tolist()))]})
+
+    made = sample.coalesce(1).mapInPandas(learn, "model binary").first()
+    return None if made is None else pickle.loads(made["model"])
+
+
 def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """(doc_id, lang_pred, score) of each row of ``docs`` (doc_id, text), learned from ``labelled`` (doc_id, text, lang)."""
-    sample = training_sample(labelled).toPandas().sort_values(["lang", "text"])  # bounded, see above
-    held = docs.sparkSession.sparkContext.broadcast(fit(sample["text"].tolist(), sample["lang"].tolist()))
+    held = docs.sparkSession.sparkContext.broadcast(_fitted(training_sample(labelled)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -370,6 +370,20 @@ def test_languages_are_told_apart_on_held_out_texts(spark):
     assert {r["lang_pred"] for r in language_id.identify(docs, docs.limit(0)).collect()} == {"und"}
 
 
+def test_language_model_is_fitted_in_a_task(spark, monkeypatch):
+    """The sample does not come to the driver; with null and repeated ids and nothing learned for null texts."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    def refused(*_):
+        raise AssertionError("the sample came to the driver")
+
+    monkeypatch.setattr(Frame, "toPandas", refused)
+    rows = [(i % 7 or None, f"the cat and the dog {i}", "en") for i in range(20)] + [(i % 7 or None, f"der Hund und die Katze {i}", "de") for i in range(20)]
+    docs = spark.createDataFrame([*rows, (9, None, "de")], "doc_id long, text string, lang string")
+    got = {r["lang_pred"] for r in language_id.identify(docs.where("text like 'der%'"), docs).collect()}
+    assert got == {"de"} and language_id.identify(docs, docs).count() == 41
+
+
 def test_toxic_words_are_learned_and_found_in_long_texts(spark):
     draw = random.Random(10)
     rows, labels = [], []
