@@ -5,7 +5,9 @@ integers, so no rounding) and gives each text the smallest id its links reach.
 
 * Equal sets become one representative, numbered by the set's 128-bit digest, so texts under one id stay apart.
 * Every shingle is hashed into one of ``GROUPS`` groups; the group counts are the set's point.  The summed
-  coordinate minima of two points bound the overlap of their sets from above.
+  coordinate minima of two points bound the overlap of their sets from above.  R-trees stand on sums of ``GROUPS / COARSE``
+  neighbouring counts; what they find is bounded again by the whole points before it leaves the task, so that texts which
+  fall a little short of the threshold are not handed on once for every block they share.
 * Points alone do not tell large sets apart, so they are indexed inside blocks: sets that share a shingle
   among the rarest quarter of theirs.  Any two linked sets share such a shingle (prefix rule), so blocks lose
   nothing.  Rarity comes from one count over all texts.
@@ -40,9 +42,10 @@ from coverlens.llm.rows import ROW, same_row, text_hashes, without
 from coverlens.session import materialise
 
 SHINGLE = 5
-GROUPS = 256
-MOST = 0xFFFF  # sets of more shingles have a point that bounds nothing
-BEYOND = 1 << 23  # the counts of such a point: more than any group of shingles of a text of 2 GB
+GROUPS = 1024
+COARSE = 256  # coordinates of the R-trees
+MOST = 0xFF  # sets with more shingles in a group have a point that bounds nothing: this in all groups
+BEYOND = 1 << 23  # the coordinates of such a point: more than any group of shingles of a text of 2 GB
 NO_ID = -(1 << 63)  # stands for a null id while blocks are made; a real id of this value only makes a block larger
 BITS = 1 << 25  # of the filter on shared keys: a fixed size, sent to every task
 CELLS = 1 << 18  # of the rarity count: a fixed size, sent to every task
@@ -81,17 +84,32 @@ def _rarity(docs: DataFrame, shingle: int) -> np.ndarray:
 
 def _point(found: np.ndarray) -> np.ndarray:
     """How many shingles fall into each group."""
-    if len(found) > MOST:
-        return np.full(GROUPS, MOST, dtype=np.uint16)
-    return np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
+    counts = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=GROUPS)
+    if counts.max() > MOST or counts.min() == MOST:
+        return np.full(GROUPS, MOST, dtype=np.uint8)
+    return counts.astype(np.uint8)
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    found = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int32)
-    found[(found == MOST).all(axis=1)] = BEYOND
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
+
+
+def _boundless(points: np.ndarray) -> np.ndarray:
+    return points.min(axis=1, initial=MOST) == MOST
+
+
+def _coarse(points: np.ndarray) -> np.ndarray:
+    """The points as the R-trees take them."""
+    found = points.reshape(len(points), COARSE, GROUPS // COARSE).sum(axis=2, dtype=np.int32)
+    found[_boundless(points)] = BEYOND
     return found
 
 
+def _reaches(one: np.ndarray, two: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether the bound of the points in each row reaches what sets with these sums of sizes need."""
+    return (np.minimum(one, two).sum(axis=1, dtype=np.int64) >= required(total)) | (_boundless(one) & _boundless(two))
+
+
 def _own(docs: DataFrame) -> DataFrame:
     """(doc, doc_id, text, h, g): ``doc`` is never null, and two hashes of the text tell rows of one id apart."""
     known = F.col("doc_id").cast("long")
@@ -209,8 +227,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
             total = batch.column(2).to_numpy(zero_copy_only=False) + batch.column(3).to_numpy(zero_copy_only=False)
             for at in range(0, len(batch), 2000):
                 rows = slice(at, at + 2000)
-                minima = np.minimum(_points(batch.column(4)[rows]), _points(batch.column(5)[rows])).sum(axis=1)
-                keep[rows] = minima >= required(total[rows])
+                keep[rows] = _reaches(_points(batch.column(4)[rows]), _points(batch.column(5)[rows]), total[rows])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ca", "cb")
@@ -262,36 +279,41 @@ def _chunk_pairs(points: np.ndarray, sizes: np.ndarray, reps: np.ndarray, classe
     one, two = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
     found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     if len(one) and len(two):
-        for x, y in RTree(points[one], sizes[one]).pairs(RTree(points[two], sizes[two])):
+        coarse = _coarse(points)
+        tree = RTree(coarse[one], sizes[one])
+        for x, y in tree.pairs(tree if len(one) == len(two) == len(sides) else RTree(coarse[two], sizes[two])):
             x, y = one[x], two[y]
             apart = classes[x] != classes[y]
-            a, b = reps[x[apart]], reps[y[apart]]
+            x, y = x[apart], y[apart]
+            near = _reaches(points[x], points[y], sizes[x] + sizes[y])
+            a, b = reps[x[near]], reps[y[near]]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
     return np.concatenate(found)
 
 
 def _stream_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """R-tree joins of the chunk pairs that stand one after another in the input; one that goes on in the next batch waits."""
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def join(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def join(rows: np.ndarray, points: np.ndarray) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
         found = [np.zeros((0, 2), np.int64)]
-        for part in np.split(rows, cuts):
-            found.append(_chunk_pairs(part[:, 7:].astype(np.int32), part[:, 6], part[:, 3], part[:, 4], part[:, 5]))
+        for part, own in zip(np.split(rows, cuts), np.split(points, cuts), strict=True):
+            found.append(_chunk_pairs(own, part[:, 6], part[:, 3], part[:, 4], part[:, 5]))
         pairs = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
     for batch in batches:
         plain = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)], axis=1)
-        rows = np.concatenate([*held, np.concatenate([plain, _points(batch.column(7))], axis=1)])
+        rows = np.concatenate([*[r for r, _ in held], plain])
+        points = np.concatenate([*[p for _, p in held], _points(batch.column(7))])
         last = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
         whole = int(last[-1]) + 1 if len(last) else 0
         if whole:
-            yield from join(rows[:whole])
-        held = [rows[whole:]]
-    if held and len(held[0]):
-        yield from join(held[0])
+            yield from join(rows[:whole], points[:whole])
+        held = [(rows[whole:], points[whole:])]
+    if held and len(held[0][0]):
+        yield from join(*held[0])
 
 
 def _spokes(members: DataFrame, *hubs: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from coverlens.llm import decontamination, hnsw, html_text, language_id, line_dedup, packing, quality_cotrain, toxicity
+from coverlens.llm import decontamination, hnsw, html_text, language_id, line_dedup, ngram_join, packing, quality_cotrain, toxicity
 from coverlens.llm.bytehash import ALPHANUMERIC, NOT_SPACE, shingles, words
 from coverlens.llm.ngram_join import RTree, jaccard_components, keep_one, required
 from coverlens.llm.ship import ship
@@ -121,6 +121,21 @@ def test_jaccard_components_of_a_doubled_table_equal_those_of_the_table(spark):
     assert [once[i] for i in (1, 5, 7, 9)] == [1, 1, 1, 1] and twice == once
 
 
+def test_jaccard_join_hands_on_no_pairs_that_fall_short_in_every_block_they_share(spark, monkeypatch):
+    found, fallen = [], ngram_join._open_blocks
+    monkeypatch.setattr(ngram_join, "_open_blocks", lambda *of: found.append(fallen(*of)) or found[-1])
+    base = [f"b{k}" for k in range(400)]
+    texts = []
+    for i in range(11):  # any two sets share 326 of 396 shingles, 14 less than the threshold asks for
+        text = list(base)
+        for k in range(7):
+            text[57 * k + 5 * i] = f"x{i}y{k}"
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard_components(docs).collect())
+    assert found[0].count() < 10
+
+
 def test_rtree_pairs_are_those_of_the_bound():
     draw = np.random.default_rng(1)
     points = draw.integers(0, 4, (90, 16)).astype(np.int32)
