@@ -76,9 +76,9 @@ def _rarity(docs: DataFrame, shingle: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(seen[cells])], names=["cell", "n"])
 
     counted = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # at most CELLS rows
+    rows = counted.toArrow()  # at most CELLS rows, never as Python objects
     rarity = np.zeros(CELLS, dtype=np.int64)
-    rarity[rows["cell"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    rarity[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     return rarity
 
 
@@ -192,9 +192,9 @@ def _bit_map(blocks: DataFrame) -> np.ndarray:
     """A bit for each block's key."""
     bit = F.col("key").bitwiseAND(F.lit(BITS - 1))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
-    words_ = blocks.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()  # BITS / 64 rows
+    words_ = blocks.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()  # BITS / 64 rows
     out = np.zeros(BITS // 64, dtype=np.int64)
-    out[words_["at"].to_numpy(dtype=np.int64)] = words_["bits"].to_numpy(dtype=np.int64)
+    out[words_["at"].to_numpy()] = words_["bits"].to_numpy()
     return out
 
 
@@ -351,6 +351,18 @@ def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> D
     )
 
 
+def _with_links(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (id, component) after further links (a, b) between their ids: only classes are linked anew, not their members."""
+    one, two = classes.toDF("a", "ca"), classes.toDF("b", "cb")
+    between = links.join(one, "a").join(two, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    between = materialise(between, "jaccard-between")
+    if between.isEmpty():
+        return classes
+    lower = components(between).toDF("component", "lower")
+    joined = classes.join(lower, "component", "left").select("id", F.coalesce("lower", "component").alias("component"))
+    return materialise(joined, "jaccard-classes")
+
+
 def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, h, g, n, digest, component_id, best) of each row; ``best`` is the digest that stands for its class."""
     spark = docs.sparkSession
@@ -377,6 +389,8 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     shared = spark.sparkContext.broadcast(_bit_map(alike))
     members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc").select("key", "rep").distinct()
     members = materialise(members, "jaccard-members")
+    for sent in (rarity, shared):
+        sent.destroy()
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
     members = materialise(members.join(degree, "rep"), "jaccard-members")
     ends = members.groupBy("key").agg(
@@ -392,7 +406,7 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     tried = materialise(_bounded(stars, points), "jaccard-stars")
     links = materialise(_linked(tried, texts, shingle), "jaccard-links")
     # Blocks still apart: one more hub for each, the best placed outside the class of the first.
-    classes = components(links, taking_part.select(F.col("rep").alias("id")))
+    classes = materialise(components(links, taking_part.select(F.col("rep").alias("id"))), "jaccard-classes")
     labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")), "rep")
     first = ends.join(classes.select(F.col("id").alias("hub"), F.col("component").alias("hub_class")), "hub")
     others = labelled.join(first.select("key", "hub_class"), "key").where("class <> hub_class")
@@ -400,11 +414,10 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     more = _spokes(others.join(second.select("key", F.col("hub.rep").alias("hub")), "key"), "hub")
     more = materialise(_bounded(more.join(tried, ["a", "b"], "left_anti"), points), "jaccard-stars")
     tried = tried.unionByName(more)
-    links = links.unionByName(materialise(_linked(more, texts, shingle), "jaccard-links"))
-    classes = components(links, taking_part.select(F.col("rep").alias("id")))
+    classes = _with_links(classes, _linked(more, texts, shingle))
     later = _open_blocks(members.select("key", "rep"), classes, points).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(_linked(materialise(later, "jaccard-later"), texts, shingle))
-    classes = components(links).select(F.col("id").alias("rep"), "component")
+    classes = _with_links(classes, _linked(materialise(later, "jaccard-later"), texts, shingle))
+    classes = classes.select(F.col("id").alias("rep"), "component")
     sets = leads.join(classes, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # The set that stands for a class is that of the smallest known id, of two of one id the one with the lower digest.
     place = F.struct(F.col("known").isNull(), "known", "digest")

@@ -136,6 +136,15 @@ def test_jaccard_join_hands_on_no_pairs_that_fall_short_in_every_block_they_shar
     assert found[0].count() < 10
 
 
+def test_jaccard_join_takes_no_rows_to_the_driver_as_objects(spark, monkeypatch):
+    def refuse(frame):
+        raise AssertionError("rows as Python objects in the driver")
+
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refuse)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e  f")], "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard_components(docs).collect()} == {1}
+
+
 def test_rtree_pairs_are_those_of_the_bound():
     draw = np.random.default_rng(1)
     points = draw.integers(0, 4, (90, 16)).astype(np.int32)
