@@ -4,15 +4,18 @@ A line (what stands between line ends) of ``LEAST_CHARS`` characters or more is
 ``edits`` insertions, deletions or substitutions, stands earlier: in a document of a smaller id (null first; of two texts under one
 id, the one with the lower hash), or further up in the same one.  Repeats are dropped, the rest of the text stays as it is; shorter lines are never touched.
 
-* Equal lines are counted and placed by two 64-bit hashes; only distinct lines go on.
+* Equal lines are counted and placed by two 64-bit hashes; only distinct lines go on, first as hashes without their text.
 * A line within the threshold of another holds one of that one's ``edits + 1`` segments whole, with at most ``i`` edits to the left
-  of segment ``i`` and the others to its right.  Lines are indexed by their segments, and probe the indexes of their own and the next shorter
-  lengths with the substrings that this rule leaves.
-* A segment that more than ``CROWD`` lines of a length share is not joined: its lines are split again at the longest part
+  of segment ``i`` and the others to its right.  Lines are indexed by their segments, which are cut by the length rounded down (so lines of
+  about one length are cut alike; the last is measured from the end, and what is left over belongs to none), and probe the index with
+  the substrings that this rule leaves.  The texts of lines that meet others at a key are fetched from their documents.
+* A segment that more than ``CROWD`` lines share is not joined: its lines are cut again by their exact lengths, and split at the longest part
   that is still open, until fewer share all parts matched so far.  A part no longer than its budget has no segment that must stay:
   whatever stands in its place is within the budget, unless it is longer than the budget; then one character at least is matched, and
   the first such is the next key.  Lines that agree in everything that can be matched are within the threshold, so each is
   compared with the one that stands earliest.  No group is turned into all its pairs.
+* The join of keys compares the texts of a key, at most ``CROWD`` for each, and lets a pair out only if what lies between their
+  equal beginnings and ends can be within the threshold (``may_be_near``).
 * Pairs are verified by bit-parallel edit distance over a band of ``2 * edits + 1`` diagonals: one step a character, after equal
   beginnings and ends, which do not change the distance, are taken off.
 
@@ -23,6 +26,8 @@ text are one place, so they keep the same lines.  Other columns are left alone,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,25 +173,33 @@ def _share(i: int, target: Column, edits: int) -> Column:
     return F.floor(F.lit(i) * target / (edits + 1)).cast("int")
 
 
-def _first_keys(lines: DataFrame, edits: int, own_only: bool) -> DataFrame:
-    """(key, id) of each line's segments: of its own cut, or also of all substrings that the cuts of shorter lengths ask for.
+def _rounded(length: Column, edits: int) -> Column:
+    """The length down to a step of an eighth to a sixteenth of it; steps are at least ``edits``, so a line probes two at most."""
+    least = F.lit(1 << max(edits - 1, 0).bit_length())
+    return length - length % F.greatest(least, F.call_function("shiftleft", F.lit(1), F.length(F.bin(length)) - 4))
+
 
-    The ways are the same for all lines, so they are written out one by one and compiled; ``lines`` come with their ``length``.
+def _first_keys(line: Column, edits: int) -> tuple[list[Column], list[int]]:
+    """Keys of a line's segments and of all substrings that the cuts of shorter lines ask for (or null), and which are of its own cut.
+
+    The ways are the same for all lines, so they are written out one by one and compiled.
     """
-    length, keys = F.col("length"), []
-    for extra in range(1 if own_only else edits + 1):
-        target = length - extra
+    length = F.length(line)
+    own = _rounded(length, edits)
+    below = F.when(own > F.greatest(length - edits, F.lit(LEAST_CHARS)), _rounded(own - 1, edits))
+    keys, index = [], []
+    for cut in (own, below):
         for i in range(edits + 1):
-            begin = _share(i, target, edits)
-            size = _share(i + 1, target, edits) - begin
-            for shift in range(max(-i, extra - edits + i), min(i, extra + edits - i) + 1):
-                if own_only and shift:
-                    continue
-                key = F.xxhash64(target, F.lit(i), F.substring("line", begin + shift + 1, size))
-                keys.append(F.when(target >= LEAST_CHARS, key) if extra else key)
-    # As columns first: as operands of the generator they would make one method too long to be compiled.
-    named = lines.select("id", *[key.alias(f"key{n}") for n, key in enumerate(keys)])
-    return named.select("id", F.explode(F.array(*named.columns[1:])).alias("key")).where(F.col("key").isNotNull())
+            begin = _share(i, cut, edits)
+            size = _share(i + 1, cut, edits) - begin
+            # With i edits to the left and the others to the right, the last segment stands at the end.
+            shifts = range(max(-i, i - edits), i + 1) if i < edits else [0]
+            for shift in shifts:
+                if cut is own and not shift:
+                    index.append(len(keys))
+                part = F.substring(line, (begin + shift if i < edits else length - size) + 1, size)
+                keys.append(F.when(cut.isNotNull(), F.xxhash64(cut, F.lit(i), part)))
+    return keys, index
 
 
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -199,9 +212,66 @@ def _keys(lines: DataFrame, edits: int) -> DataFrame:
     return ways.select(key, "id", "place", own.alias("own"), F.lit(False).alias("loose"), F.col("w.rest").alias("rest"))
 
 
-def _pairs(index: DataFrame, probes: DataFrame) -> DataFrame:
-    near = index.select("key", F.col("id").alias("a")).join(probes.select("key", F.col("id").alias("b")), "key").where("a <> b")
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _alike(x: Column, y: Column, most: Column) -> Column:
+    """How many characters, up to ``most``, two texts begin with alike: by halving steps."""
+    step = lambda e: F.call_function("shiftleft", F.lit(1), e)
+
+    def further(at: Column, e: Column) -> Column:
+        fits = (at + step(e) <= most) & (F.substring(x, at + 1, step(e)) == F.substring(y, at + 1, step(e)))
+        return F.when(fits, at + step(e)).otherwise(at)
+
+    return F.aggregate(F.sequence(F.length(F.bin(most)) - 1, F.lit(0), F.lit(-1)), F.lit(0), further)
+
+
+def may_be_near(a: Column, b: Column, edits: int) -> Column:
+    """Whether two texts can be within the threshold; true for all that are.
+
+    What lies between equal beginnings and ends begins and ends with an edit, unless it is no longer than the threshold.  The
+    shorter one's core within these two has ``edits - 2`` edits at most, so one of its ``edits - 1`` segments stands whole in the other.
+    """
+    long, short = F.when(F.length(a) >= F.length(b), a).otherwise(b), F.when(F.length(a) >= F.length(b), b).otherwise(a)
+
+    def cored(r: Column) -> Column:
+        core = F.greatest(r["m"] - 2, F.lit(0))
+        found = F.lit(False)
+        for i in range(edits - 1):
+            begin = F.floor(i * core / (edits - 1)).cast("int")
+            size = F.floor((i + 1) * core / (edits - 1)).cast("int") - begin
+            for shift in range(1 - edits, edits):
+                at = r["head"] + 1 + begin
+                stands = F.substring(r["y"], at + 1, size) == F.substring(r["x"], at + shift + 1, size)
+                found = found | ((at + shift >= 0) & stands)
+        return (r["n"] <= edits) | found
+
+    def ended(r: Column) -> Column:
+        rest = [(F.length(r[t]) - r["head"] - r["tail"]).alias(n) for t, n in (("x", "n"), ("y", "m"))]
+        return _let(F.struct(r["x"].alias("x"), r["y"].alias("y"), r["head"].alias("head"), *rest), cored)
+
+    def turned(r: Column) -> Column:
+        back = F.struct(F.reverse(r["x"]).alias("x"), F.reverse(r["y"]).alias("y"), (F.length(r["y"]) - r["head"]).alias("most"))
+        tail = _let(back, lambda t: _alike(t["x"], t["y"], t["most"]))
+        return _let(F.struct(r["x"].alias("x"), r["y"].alias("y"), r["head"].alias("head"), tail.alias("tail")), ended)
+
+    def headed(r: Column) -> Column:
+        head = _let(F.length(r["y"]), lambda most: _alike(r["x"], r["y"], most))
+        return _let(F.struct(r["x"].alias("x"), r["y"].alias("y"), head.alias("head")), turned)
+
+    return (F.abs(F.length(a) - F.length(b)) <= edits) & _let(F.struct(long.alias("x"), short.alias("y")), headed)
+
+
+def _side(rows: DataFrame, mark: str) -> DataFrame:
+    return rows.withColumnsRenamed({"id": mark, "place": f"p{mark}", "line": f"l{mark}"})
+
+
+def _pairs(rows: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b, their places and lines) of ``rows`` (round, key, id, own) that share a key of the cut of one and may be near."""
+    full = rows.join(texts, "id")
+    index, probes = _side(full.where("own").drop("own"), "a"), _side(full, "b")
+    # Two index lines meet both ways.
+    once = F.when(F.col("own"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    shared = (index["key"] == probes["key"]) & (index["round"] == probes["round"])
+    met = index.join(probes, shared & once & may_be_near(F.col("la"), F.col("lb"), edits))
+    return met.select("a", "b", "pa", "pb", "la", "lb")
 
 
 def _split_again(crowd: DataFrame) -> DataFrame:
@@ -242,17 +312,11 @@ def _firsts(crowd: DataFrame) -> DataFrame:
     return pairs.where("first <> id").select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b"))
 
 
-def _candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs (a, b) that may be within the threshold, of ``lines`` (id, place, line, length)."""
-    index, probes = _first_keys(lines, edits, True), _first_keys(lines, edits, False)
-    crowded = materialise(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "line-crowds")
-    found = [_pairs(index.select("key", "id").join(crowded, "key", "left_anti"), probes)]
-    crowded_lines = probes.join(crowded, "key", "left_semi").select("id").distinct()
-    crowd = _keys(lines.join(crowded_lines, "id", "left_semi"), edits).join(crowded, "key", "left_semi")
-    crowd = materialise(crowd, "line-crowd")
-    while crowd.limit(1).count():
-        found.append(_firsts(crowd))
-        state = materialise(_split_again(crowd.where(_is_open())), "line-crowd")
+def _crowded(texts: DataFrame, edits: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Of lines (id, place, line) of which many share keys: rows (key, id, own) that few share, and the pairs of ``_firsts``."""
+    state = materialise(_keys(texts, edits), "line-crowd")
+    rows, firsts = [], []
+    while True:
         counts = state.groupBy("key").agg(
             F.count(F.when(F.col("own"), 1)).alias("n"), F.count("*").alias("all"), F.bool_or("loose").alias("loose")
         )
@@ -260,12 +324,53 @@ def _candidates(lines: DataFrame, edits: int) -> DataFrame:
         meets = (F.col("n") > 0) & (F.col("all") > F.when(F.col("loose"), F.col("n")).otherwise(1))
         counts = materialise(counts.where(meets), "line-crowds")
         few = state.join(counts.where(F.col("n") <= CROWD).select("key"), "key", "left_semi")
-        found.append(_pairs(few.where("own"), few))
+        rows.append(few.select("key", "id", "own"))
         crowd = materialise(state.join(counts.where(F.col("n") > CROWD).select("key"), "key", "left_semi"), "line-crowd")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct()
+        if not crowd.limit(1).count():
+            return rows, firsts
+        firsts.append(_firsts(crowd))
+        state = materialise(_split_again(crowd.where(_is_open())), "line-crowd")
+
+
+def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, place, line) of ``lines`` (id and place), their texts taken from ``docs`` (doc_id, text)."""
+    wanted = lines.groupBy(*PLACE[:3]).agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
+    wanted = materialise(wanted.withColumnsRenamed({"of_h": "h", "of_g": "g"}), "line-wanted")
+    joined = docs.join(wanted, same_row(docs, wanted))
+    cut = _let(
+        F.split(docs["text"], "\n"),
+        lambda all_: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), w["line_no"].alias("line_no"), F.get(all_, w["line_no"]).alias("line"))),
+    )
+    found = joined.select(wanted["doc_id"], wanted["h"].alias("of_h"), wanted["g"].alias("of_g"), F.explode(cut).alias("of"))
+    # Rows that agree in id and text hold the same line.
+    found = found.select("doc_id", "of_h", "of_g", "of.*").dropDuplicates(["id"])
+    return found.select("id", F.struct(*PLACE).alias("place"), "line")
+
+
+def _late(docs: DataFrame, lines: DataFrame, keys: list[str], index: list[int], edits: int) -> DataFrame:
+    """Ids of ``lines`` (id, place, ``keys``) that are within the threshold of an earlier one."""
+    each = lines.select("id", F.posexplode(F.array(*keys)).alias("n", "key")).where(F.col("key").isNotNull())
+    each = each.select("key", "id", F.col("n").isin(index).alias("own"))
+    met = each.groupBy("key").agg(F.count(F.when(F.col("own"), 1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
+    met = met.where("n > 0 and least < most").select("key", (F.col("n") > CROWD).alias("crowd"))
+    rows = materialise(each.join(materialise(met, "line-keys"), "key"), "line-met")
+    known = lines.select("id", *PLACE).join(rows.select("id").distinct(), "id", "left_semi")
+    texts = materialise(_texts(docs, known), "line-texts")
+    few, firsts = [rows.where("not crowd").select("key", "id", "own")], []
+    crowded = rows.where("crowd").select("id").distinct()
+    if crowded.limit(1).count():
+        crowd = materialise(texts.join(crowded, "id", "left_semi"), "line-crowd-texts")
+        more, firsts = _crowded(crowd, edits)
+        few += more
+    pairs = _pairs(reduce(DataFrame.unionByName, [each.withColumn("round", F.lit(n)) for n, each in enumerate(few)]), texts, edits)
+    if firsts:
+        ends = reduce(DataFrame.unionByName, firsts).distinct().join(_side(crowd, "a"), "a").join(_side(crowd, "b"), "b")
+        pairs = pairs.unionByName(ends)
+    late = F.when(F.col("pa") <= F.col("pb"), F.col("b")).otherwise(F.col("a"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), late.alias("id"), "la", "lb")
+    measured = pairs.dropDuplicates(["a", "b"]).select("id", band_distance(F.col("la"), F.col("lb"), edits).alias("distance"))
+    # Written before it is filtered: the optimiser would work the long expression into its constraints.
+    return materialise(measured, "line-distances").where(F.col("distance") <= edits).select("id").distinct()
 
 
 #: Where a line stands: the document's id, two hashes of its text, the line's number.
@@ -284,22 +389,13 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """(doc_id, of_h, of_g, line_no) of each line that repeats an earlier one."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     occurrences = _occurrences(texts)
-    lines = occurrences.groupBy("h", "g").agg(
-        F.min(F.struct(*PLACE, "line")).alias("first"), F.count("*").alias("n")
-    )
-    lines = lines.select("h", "g", "n", "first.*", F.monotonically_increasing_id().alias("id"))
-    lines = lines.withColumn("length", F.length("line"))
-    lines = materialise(lines, "lines")
+    keys, index = _first_keys(F.col("line"), edits)
+    names = [f"key{n}" for n in range(len(keys))]
+    lines = occurrences.select(*PLACE, "h", "g", *[key.alias(name) for key, name in zip(keys, names, strict=True)])
+    lines = lines.groupBy("h", "g").agg(F.min(F.struct(*PLACE, *names)).alias("first"), F.count("*").alias("n"))
+    lines = materialise(lines.select("h", "g", "n", "first.*", F.monotonically_increasing_id().alias("id")), "lines")
+    late = _late(texts, lines, names, index, edits)
     place = F.struct(*PLACE)
-    pairs = materialise(_candidates(lines.select("id", place.alias("place"), "line", "length"), edits), "line-pairs")
-    one = lines.select(F.col("id").alias("a"), F.col("line").alias("la"), place.alias("pa"))
-    two = lines.select(F.col("id").alias("b"), F.col("line").alias("lb"), place.alias("pb"))
-    measured = pairs.join(one, "a").join(two, "b").select(
-        F.when(F.col("pa") <= F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("id"),
-        band_distance(F.col("la"), F.col("lb"), edits).alias("distance"),
-    )
-    # Written before it is filtered: the optimiser would work the long expression into its constraints.
-    late = materialise(measured, "line-distances").where(F.col("distance") <= edits).select("id").distinct()
     flagged = lines.join(late.withColumn("late", F.lit(True)), "id", "left")
     flagged = flagged.where((F.col("n") > 1) | F.col("late")).select(
         "h", "g", place.alias("place"), F.coalesce("late", F.lit(False)).alias("late")
@@ -313,13 +409,15 @@ def _cut(docs: DataFrame, edits: int) -> tuple[DataFrame, Column, Column, Column
     """``docs`` joined with what goes, and the text that is left, the number of lines and the numbers of those that go."""
     gone = repeated_lines(docs, edits).distinct().groupBy("doc_id", "of_h", "of_g")
     gone = gone.agg(F.array_sort(F.collect_list("line_no")).alias("dropped")).withColumnsRenamed({"of_h": "h", "of_g": "g"})
-    joined = docs.join(gone, same_row(docs, gone), "left")
+    # Counted before the join, which then moves the texts only if they are asked for; no other column has so long a name.
+    count = "n".ljust(1 + max(map(len, docs.columns)), "_")
+    counted = docs.withColumn(count, F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
+    joined = counted.join(gone, same_row(counted, gone), "left")
     dropped = F.coalesce(gone["dropped"], F.array().cast("array<int>"))
-    lines = F.split(docs["text"], "\n")
-    kept = F.when(F.size(dropped) == 0, docs["text"]).otherwise(
-        F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(dropped, i)), "\n")
+    kept = F.when(F.size(dropped) == 0, counted["text"]).otherwise(
+        F.array_join(F.filter(F.split(counted["text"], "\n"), lambda line, i: ~F.array_contains(dropped, i)), "\n")
     )
-    return joined, kept, F.coalesce(F.size(lines), F.lit(0)), dropped
+    return joined, kept, counted[count], dropped
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
