@@ -225,6 +225,56 @@ def test_line_dedup_ends_on_crowds_of_lines_that_differ_in_few_neighbouring_char
     assert got == {ordered[i][0] for i in late}
 
 
+def _written(monkeypatch) -> dict:
+    """What line_dedup writes from now on, by label: the last frame of each."""
+    frames, written = {}, line_dedup.materialise
+
+    def kept(frame, label):
+        frames[label] = written(frame, label)
+        return frames[label]
+
+    monkeypatch.setattr(line_dedup, "materialise", kept)
+    return frames
+
+
+def test_line_dedup_moves_no_texts_of_lines_that_meet_no_other(spark, monkeypatch):
+    frames, draw = _written(monkeypatch), random.Random(3)
+    lines = ["".join(draw.choice("abcdefgh") for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*lines, lines[7] + "!", lines[9][1:]])], "doc_id long, text string")
+    assert {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()} == {40, 41}
+    assert "line" not in frames["lines"].columns and frames["line-texts"].count() == 4
+
+
+def test_line_dedup_lets_no_pair_out_that_differs_too_much(spark, monkeypatch):
+    frames, draw = _written(monkeypatch), random.Random(4)
+    half = lambda: "".join(draw.choice("abcdefgh") for _ in range(40))
+    head, family = half(), []
+    for _ in range(30):  # fewer than a crowd, of one beginning
+        family.append(head + half())
+    near = _edit(draw, family[3], 2)
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*family, near])], "doc_id long, text string")
+    assert {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()} == {30}
+    assert frames["line-distances"].count() == 1
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_lines_within_the_threshold_may_be_near_and_share_a_key(spark, edits):
+    draw, rows = random.Random(edits + 20), []
+    for n in range(400):
+        a = "".join(draw.choice("ab" if n % 2 else "abcdefé") for _ in range(draw.choice([20, 21, 24, 31, 33, 40, 64, 66])))
+        b = _edit(draw, a, draw.randrange(edits + 1))
+        long, short = (a, b) if len(a) >= len(b) else (b, a)
+        rows.append((long, short, _distance(a, b)))
+    frame = spark.createDataFrame([r for r in rows if len(r[1]) >= line_dedup.LEAST_CHARS], "a string, b string, d int")
+    probes, _ = line_dedup._first_keys(F.col("a"), edits)
+    keys, index = line_dedup._first_keys(F.col("b"), edits)
+    share = F.arrays_overlap(F.array(*probes), F.array(*[keys[i] for i in index]))
+    got = frame.select("*", line_dedup.may_be_near(F.col("a"), F.col("b"), edits).alias("near"), share.alias("share")).collect()
+    assert all(r["near"] and r["share"] for r in got if r["d"] <= edits)
+    if edits == 1:  # what differs in more than a character is told at once
+        assert not any(r["near"] for r in got if r["d"] > edits)
+
+
 ODD_TEXTS = [
     None, "", " ", "Hello, world!", "a  b\t c\n\nd", "\n", " lead", "trail ", "don't it's 12 345", "<|endoftext|> x",
     "naïve café – ok…", "tab\tand\x1cseparator", "word " * 3000, "x" * 9000, "Hello, world!",
