@@ -325,7 +325,7 @@ def _spokes(members: DataFrame, *hubs: str) -> DataFrame:
 
 def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs of different classes within a block, by R-trees over chunks of its points."""
-    labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")), "rep")
+    labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")).hint("merge"), "rep")
     apart = (
         labelled.groupBy("key")
         .agg(F.count("*").alias("rows"), F.min("class").alias("lo"), F.max("class").alias("hi"))
@@ -334,7 +334,7 @@ def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> D
     )
     own = F.pmod(F.xxhash64("rep", "key"), F.col("chunks")).cast("int")
     return (
-        labelled.join(apart, "key")
+        labelled.join(apart.hint("merge"), "key")
         .join(points, "rep")
         .withColumn("own", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -353,12 +353,12 @@ def _open_blocks(members: DataFrame, classes: DataFrame, points: DataFrame) -> D
 
 def _with_links(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``classes`` (id, component) after further links (a, b) between their ids: only classes are linked anew, not their members."""
-    one, two = classes.toDF("a", "ca"), classes.toDF("b", "cb")
+    one, two = classes.toDF("a", "ca").hint("merge"), classes.toDF("b", "cb").hint("merge")
     between = links.join(one, "a").join(two, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     between = materialise(between, "jaccard-between")
     if between.isEmpty():
         return classes
-    lower = components(between).toDF("component", "lower")
+    lower = components(between).toDF("component", "lower").hint("merge")
     joined = classes.join(lower, "component", "left").select("id", F.coalesce("lower", "component").alias("component"))
     return materialise(joined, "jaccard-classes")
 
@@ -372,7 +372,7 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     leads = filled.groupBy("digest").agg(F.min("doc").alias("first"), F.min("doc_id").alias("known"))
     leads = materialise(leads.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")
     # An id with several texts leads to the sets of all of them: blocks may grow, but lose nothing.
-    led = materialise(filled.select("doc", "digest").join(leads, "digest").select("doc", "rep").distinct(), "jaccard-leads")
+    led = materialise(filled.select("doc", "digest").join(leads.hint("merge"), "digest").select("doc", "rep").distinct(), "jaccard-leads")
     blocks = (
         _prefixes(docs, shingle, rarity)
         .groupBy("key")
@@ -387,19 +387,19 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     )
     alike = materialise(blocks.groupBy("rows", "lo", "hi", "x", "y").agg(F.min("key").alias("key")).select("key"), "jaccard-blocks")
     shared = spark.sparkContext.broadcast(_bit_map(alike))
-    members = _prefixes(docs, shingle, rarity, shared).join(alike, "key").join(led, "doc").select("key", "rep").distinct()
+    members = _prefixes(docs, shingle, rarity, shared).join(alike.hint("merge"), "key").join(led.hint("merge"), "doc").select("key", "rep").distinct()
     members = materialise(members, "jaccard-members")
     for sent in (rarity, shared):
         sent.destroy()
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
-    members = materialise(members.join(degree, "rep"), "jaccard-members")
+    members = materialise(members.join(degree.hint("merge"), "rep"), "jaccard-members")
     ends = members.groupBy("key").agg(
         F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.max(F.struct("degree", "rep")).alias("hub")
     )
     ends = materialise(ends.where("lo < hi").select("key", "lo", "hi", F.col("hub.rep").alias("hub")), "jaccard-hubs")
-    stars = _spokes(members.join(ends, "key"), "lo", "hi", "hub")
-    taking_part = members.join(ends.select("key"), "key", "left_semi").select("rep").distinct()
-    leading = materialise(leads.join(taking_part, "rep"), "jaccard-leading")
+    stars = _spokes(members.join(ends.hint("merge"), "key"), "lo", "hi", "hub")
+    taking_part = members.join(ends.select("key").hint("merge"), "key", "left_semi").select("rep").distinct()
+    leading = materialise(leads.join(taking_part.hint("merge"), "rep"), "jaccard-leading")
     points = filled.select("doc", "digest", "n", "counts").join(leading.select("rep", F.col("first").alias("doc"), "digest"), ["doc", "digest"])
     points = materialise(points.select("rep", "n", "counts").dropDuplicates(["rep"]), "jaccard-points")
     texts = materialise(_lead_texts(docs, leading.select("rep", "first", "digest"), shingle), "jaccard-texts")
@@ -407,23 +407,23 @@ def _classes(docs: DataFrame, shingle: int) -> DataFrame:
     links = materialise(_linked(tried, texts, shingle), "jaccard-links")
     # Blocks still apart: one more hub for each, the best placed outside the class of the first.
     classes = materialise(components(links, taking_part.select(F.col("rep").alias("id"))), "jaccard-classes")
-    labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")), "rep")
-    first = ends.join(classes.select(F.col("id").alias("hub"), F.col("component").alias("hub_class")), "hub")
-    others = labelled.join(first.select("key", "hub_class"), "key").where("class <> hub_class")
+    labelled = members.join(classes.select(F.col("id").alias("rep"), F.col("component").alias("class")).hint("merge"), "rep")
+    first = ends.join(classes.select(F.col("id").alias("hub"), F.col("component").alias("hub_class")).hint("merge"), "hub")
+    others = labelled.join(first.select("key", "hub_class").hint("merge"), "key").where("class <> hub_class")
     second = others.groupBy("key").agg(F.max(F.struct("degree", "rep")).alias("hub"))
-    more = _spokes(others.join(second.select("key", F.col("hub.rep").alias("hub")), "key"), "hub")
+    more = _spokes(others.join(second.select("key", F.col("hub.rep").alias("hub")).hint("merge"), "key"), "hub")
     more = materialise(_bounded(more.join(tried, ["a", "b"], "left_anti"), points), "jaccard-stars")
     tried = tried.unionByName(more)
     classes = _with_links(classes, _linked(more, texts, shingle))
     later = _open_blocks(members.select("key", "rep"), classes, points).join(tried, ["a", "b"], "left_anti")
     classes = _with_links(classes, _linked(materialise(later, "jaccard-later"), texts, shingle))
     classes = classes.select(F.col("id").alias("rep"), "component")
-    sets = leads.join(classes, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sets = leads.join(classes.hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # The set that stands for a class is that of the smallest known id, of two of one id the one with the lower digest.
     place = F.struct(F.col("known").isNull(), "known", "digest")
     chosen = sets.groupBy("component").agg(F.min("known").alias("component_id"), F.min_by("digest", place).alias("best"))
-    named = sets.select("digest", "component").join(chosen, "component").select("digest", "component_id", "best")
-    own = signed.select("doc_id", "h", "g", "n", "digest").join(named, "digest", "left")
+    named = sets.select("digest", "component").join(chosen.hint("merge"), "component").select("digest", "component_id", "best")
+    own = signed.select("doc_id", "h", "g", "n", "digest").join(named.hint("merge"), "digest", "left")
     return own.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
 

@@ -242,3 +242,27 @@ def test_pages_of_any_kind(spark):
     n = len(PROSE)
     assert found == sorted([(1, 0), (2, 0), (3, n), (4, (n + 1) * 20_000 - 1), (None, n), (4, 5)], key=str)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_links_and_classes_do_not_pass_through_the_driver(spark, monkeypatch):
+    from coverlens.llm import components as rounds
+    from coverlens.llm import ngram_join
+
+    plans, written = {}, rounds.materialise
+
+    def kept(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    monkeypatch.setattr(rounds, "materialise", kept)
+    monkeypatch.setattr(ngram_join, "materialise", kept)
+    rows = [(n, n, n + 1) for n in range(1, 40)]
+    links = spark.createDataFrame([(a, b) for _, a, b in rows], "a long, b long")
+    found = rounds.components(links, spark.createDataFrame([(77,), (5,)], "id long"))
+    assert sorted(map(tuple, found.collect())) == [*((n, 1) for n in range(1, 41)), (77, 77)]
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+    classes = written(spark.createDataFrame([(n, n // 2 * 2) for n in range(8)], "id long, component long"), "classes")
+    joined = ngram_join._with_links(classes, spark.createDataFrame([(1, 6)], "a long, b long"))
+    assert sorted(map(tuple, joined.collect())) == [(n, 0 if n in (6, 7) else n // 2 * 2) for n in range(8)]
+    assert {"component-labels", "jaccard-between", "jaccard-classes"} <= set(plans)
+    assert not [label for label, texts in plans.items() if any("BroadcastExchange" in text for text in texts)]
